@@ -65,6 +65,13 @@ ENTITLEMENTS = [("REGIONAL_ANALYST", "north"), ("REGIONAL_ANALYST", "east"), ("R
 # Tables the queries start from.
 
 
+def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table several parts of one query read: built once, written, read back."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _clients(spark: SparkSession, sf: str) -> DataFrame:
     return silver.stg_clients(bridge.raw_clients(spark, sf))
 
@@ -98,7 +105,8 @@ def _payments_view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    clients, payments = _clients(spark, sf), _payments(spark, sf)
+    clients = _stored(spark, _clients(spark, sf), "clients")
+    payments = _stored(spark, _payments(spark, sf), "payments")
     dim = gold.dim_borrower(clients)
     analyst = governance.gov_borrower_analyst(dim)
     return {
@@ -115,17 +123,25 @@ def _models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     }
 
 
-def _suite(spark: SparkSession, sf: str, rows: tuple[int, int]) -> DataFrame:
-    return quality.dq_suite(publish.build_gold(_clients(spark, sf)), quality.gold_suites(rows))
+def _gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return publish.build_gold(_stored(spark, _clients(spark, sf), "clients"))
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
-    first = quality.dq_results(_suite(spark, sf, ROWS_A), RUN_A)
-    return first.unionByName(quality.dq_results(_suite(spark, sf, ROWS_B), RUN_B))
+    tables = _gold(spark, sf)
+    first = quality.dq_results(quality.dq_suite(tables, quality.gold_suites(ROWS_A)), RUN_A)
+    second = quality.dq_results(quality.dq_suite(tables, quality.gold_suites(ROWS_B)), RUN_B)
+    return first.unionByName(second)
+
+
+def _published_results(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "dq_results")
+    publish.publish_dq_results(_results(spark, sf), path)
+    return spark.read.parquet(path).select(*quality.RESULT_COLUMNS)
 
 
 def _summary(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.mart_data_quality(_results(spark, sf))
+    return quality.mart_data_quality(_published_results(spark, sf))
 
 
 def _test_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,10 +177,11 @@ def load_transactions(spark: SparkSession, sf: str) -> DataFrame:
 
 def load_loan_tape(spark: SparkSession, sf: str) -> DataFrame:
     landing, raw = scratch_path(spark, "tape"), scratch_path(spark, "raw")
-    bridge.loan_tape(spark, sf).filter("delivery = 1").coalesce(1).write.csv(landing, header=True)
-    bronze.load_source(spark, "loan_tape", landing, raw, LOADED_AT)
-    loaded = spark.read.parquet(f"{raw}/{SOURCES['loan_tape'].table}")
-    return loaded.drop("_source_file", "grade", "loan_status")
+    tape = bridge.loan_tape(spark, sf)
+    tape.write.csv(landing, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    target = f"{raw}/{SOURCES['loan_tape'].table}"
+    bronze.load_tape(spark, landing, target, LOADED_AT, tape.schema)
+    return spark.read.parquet(target).drop("_source_file")
 
 
 def latest_partition(spark: SparkSession, sf: str) -> DataFrame:
@@ -208,7 +225,7 @@ def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
 
 def publish_dq_results(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "dq_results")
-    results = _results(spark, sf)
+    results = _stored(spark, _results(spark, sf), "results")
     publish.publish_dq_results(results, path)
     publish.publish_dq_results(results.filter(F.col("run_id") == quality.run_id_of(RUN_B)), path)
     return spark.read.parquet(path).select(*quality.RESULT_COLUMNS)
@@ -280,7 +297,7 @@ def _checks_of(kind: str, *more: checks.Check) -> Callable[[SparkSession, str],
             if (found := [c for c in declared if c.kind == kind])
         }
         suites["feature_default_prediction"] = [*suites.get("feature_default_prediction", []), *more]
-        return quality.dq_suite(publish.build_gold(_clients(spark, sf)), suites)
+        return quality.dq_suite(_gold(spark, sf), suites)
 
     return run
 
@@ -535,7 +552,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             Check(checks.BETWEEN, "max_repay_status", high=0),
         ),
         "expect_mean_between": _checks_of(checks.MEAN_BETWEEN, Check(checks.MEAN_BETWEEN, "age", low=18, high=100)),
-        "dq_suite": lambda s, sf: _suite(s, sf, ROWS_A),
+        "dq_suite": lambda s, sf: quality.dq_suite(_gold(s, sf), quality.gold_suites(ROWS_A)),
         "dq_results": _results,
         "dq_gate": lambda s, sf: quality.failed_checks(_results(s, sf)),
         "test_not_null": lambda s, sf: contracts.not_null_tests(_models(s, sf)),
@@ -548,7 +565,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fk_orphans": fk_orphans,
         "source_freshness": source_freshness,
         "mart_data_quality": _summary,
-        "dq_latest_detail": lambda s, sf: quality.dq_latest_detail(_results(s, sf)),
+        "dq_latest_detail": lambda s, sf: quality.dq_latest_detail(_published_results(s, sf)),
         "dq_latest_kpis": lambda s, sf: quality.dq_latest_kpis(_summary(s, sf)),
         # serving
         "portfolio_kpis": lambda s, sf: serving.portfolio_kpis(_features(s, sf)),

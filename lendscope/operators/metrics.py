@@ -29,8 +29,7 @@ def roc_points(long: DataFrame) -> DataFrame:
     totals = flagged.groupBy("model").agg(
         F.sum("positives").alias("all_positives"), F.sum("negatives").alias("all_negatives")
     )
-    # One row per model.
-    return curve.join(F.broadcast(totals), "model").select(
+    return curve.join(totals, "model").select(
         "model",
         "score",
         "positives",

@@ -36,8 +36,8 @@ def running_totals(
     """Per distinct ``order`` value, descending: its sums and the sums so far.
 
     Adds ``cum_<measure>`` including the row itself. Rows that share a value
-    are summed first, so one very frequent value costs one row; the broadcast
-    side holds at most ``slices`` rows per ``by`` group.
+    are summed first, so one very frequent value costs one row. The join with
+    the slice offsets and the window share one partitioning.
     """
     per_value = df.groupBy(*by, order).agg(*[F.sum(m).alias(m) for m in measures])
     sliced = _with_slice(per_value, order, _slice_edges(df, order, slices))
@@ -49,7 +49,7 @@ def running_totals(
     )
 
     inside = Window.partitionBy(*by, _SLICE).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    return sliced.join(F.broadcast(offsets), [*by, _SLICE]).select(
+    return sliced.join(offsets, [*by, _SLICE]).select(
         *by,
         order,
         *measures,
@@ -64,31 +64,32 @@ def exact_quantiles(
 
     A sketch brackets every wanted rank to a ``4 * error`` share of the rows,
     one pass counts what lies below each bracket, and only the rows inside the
-    brackets are grouped by value. The driver receives two values per quantile.
+    brackets are grouped by value. Up to ``2 / error`` rows there is nothing to
+    narrow down. The driver receives two values per quantile.
     """
     numbers = df.select(
         *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
     )
-    wanted = [
-        point
-        for p in probabilities
-        for point in (max(0.0, p - 2 * error), min(1.0, p + 2 * error))
-    ]
-    sketch = dict(zip(columns, numbers.approxQuantile(list(columns), wanted, error)))
+    counts = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    large = [c for c in columns if counts[c] > 2 / error]
+    # The margin of 2 * error covers the sketch's own error and the step between ranks.
+    ends = [e for p in probabilities for e in (max(0.0, p - 2 * error), min(1.0, p + 2 * error))]
+    sketch = dict(zip(large, numbers.approxQuantile(large, ends, error))) if large else {}
     brackets = {
-        f"{c}#{i}": (c, p, sketch[c][2 * i], sketch[c][2 * i + 1])
+        f"{c}#{i}": (c, p, *(sketch[c][2 * i : 2 * i + 2] if c in sketch else (-math.inf, math.inf)))
         for c in columns
         for i, p in enumerate(probabilities)
-        if sketch[c]
+        if counts[c]
     }
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     if not brackets:
         return result
 
-    sizes = numbers.agg(
-        *[F.count(c).alias(f"n#{c}") for c in columns],
-        *[F.count_if(F.col(c) < low).alias(slot) for slot, (c, _, low, _) in brackets.items()],
-    ).first()
+    sizes = {slot: 0 for slot in brackets}
+    narrowed = {slot: low for slot, (c, _, low, _) in brackets.items() if c in sketch}
+    if narrowed:
+        below = [F.count_if(F.col(brackets[slot][0]) < low).alias(slot) for slot, low in narrowed.items()]
+        sizes.update(numbers.agg(*below).first().asDict())
 
     inside = [
         F.when(F.col(c).between(low, high), F.struct(F.lit(slot).alias("slot"), F.col(c).alias("value")))
@@ -102,7 +103,7 @@ def exact_quantiles(
     ordered = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = candidates.withColumn("upto", F.sum("rows").over(ordered))
 
-    ranks = {slot: p * (sizes[f"n#{c}"] - 1) for slot, (c, p, _, _) in brackets.items()}
+    ranks = {slot: p * (counts[c] - 1) for slot, (c, p, _, _) in brackets.items()}
     wanted_rows = _any(
         [
             (F.col("slot") == slot) & (_covers(math.floor(r) - sizes[slot]) | _covers(math.ceil(r) - sizes[slot]))

@@ -17,6 +17,7 @@ from lendscope.session import ensure_checkpoint_dir
 
 ID, TARGET = "client_id", "is_default"
 TEST_SHARE, SEED = 0.25, 42
+ROWS_PER_TASK = 20_000
 
 NUMERIC_FEATURES = (
     "credit_limit",
@@ -69,8 +70,11 @@ def fit_models(train: DataFrame, rounds: int = 300, only: tuple[str, ...] = ("lo
     try:
         prep = fit_preprocessor(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
         prepared = prep.transform(train).select(TARGET, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        makers = {"logreg": lambda: logistic_regression(prepared.count()), "xgboost": lambda: boosted_trees(rounds)}
-        return {name: PipelineModel([*prep.stages, makers[name]().fit(prepared)]) for name in only}
+        rows = prepared.count()
+        # Every step of a fit is a job over all partitions; tiny ones only add overhead.
+        sized = prepared.coalesce(max(1, rows // ROWS_PER_TASK))
+        makers = {"logreg": lambda: logistic_regression(rows), "xgboost": lambda: boosted_trees(rounds)}
+        return {name: PipelineModel([*prep.stages, makers[name]().fit(sized)]) for name in only}
     finally:
         train.unpersist()
         if prepared is not None:

@@ -16,7 +16,7 @@ from lendscope.sources.files import (
     read_clients,
     read_feed,
     read_partition,
-    read_tape_file,
+    read_loan_tape,
     stamp_load_metadata,
 )
 
@@ -49,6 +49,10 @@ def replace_partition(df: DataFrame, path: str, key: str = "_load_date", **parti
     return stored.count()
 
 
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -66,12 +70,7 @@ def load_source(
     target = f"{bronze}/{spec.table}"
     if name == "loan_tape":
         path = find_loan_tape(spark, (landing, *extra_folders))
-        if path is None:
-            return None
-        file_name = path.rsplit("/", 1)[1]
-        # A tape has no load date of its own; its file name is the partition.
-        stamped = stamp_load_metadata(read_tape_file(spark, path), "1970-01-01", file_name, loaded_at)
-        return replace_partition(stamped, target, "_source_file", _source_file=file_name)
+        return None if path is None else load_tape(spark, path, target, loaded_at)
 
     load_date = latest_partition(spark, landing)
     if load_date is None:
@@ -84,6 +83,22 @@ def load_source(
     return replace_partition(stamped, target, _load_date=load_date)
 
 
+def load_tape(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    loaded_at: datetime | None = None,
+    schema: T.StructType | None = None,
+) -> int:
+    """One tape, a file or a folder of part files, to its own bronze partition.
+
+    A tape has no load date; the partition is the name of what was delivered.
+    """
+    name = path.rstrip("/").rsplit("/", 1)[1]
+    stamped = stamp_load_metadata(read_loan_tape(spark, path, schema), "1970-01-01", name, loaded_at)
+    return replace_partition(stamped, target, "_source_file", _source_file=name)
+
+
 def load_sources(spark: SparkSession, names: tuple[str, ...], landing: str, bronze: str) -> dict[str, int | None]:
     """Load the chosen sources; an absent one is skipped."""
     return {n: load_source(spark, n, f"{landing}/{n}", bronze) for n in names}
@@ -103,7 +118,7 @@ def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def catalog_inventory(spark: SparkSession, database: str) -> DataFrame:
     """The inventory of every table a catalog database holds."""
-    names = [t.name for t in spark.catalog.listTables(database)]
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
     if not names:
         return empty_table(
             spark, T.StructType([T.StructField("table_name", T.StringType()), T.StructField("row_count", T.LongType())])

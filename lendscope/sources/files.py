@@ -80,18 +80,12 @@ def find_loan_tape(spark: SparkSession, folders: Sequence[str]) -> str | None:
     return None
 
 
-def read_loan_tape(
-    spark: SparkSession, folders: Sequence[str], schema: T.StructType | None = None
-) -> DataFrame | None:
-    """The tape's rows, or None when no folder has a file. CSV needs no schema."""
-    path = find_loan_tape(spark, folders)
-    if path is None:
-        return None
-    return read_tape_file(spark, path, schema)
-
-
-def read_tape_file(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    if path.endswith(".parquet"):
+def read_loan_tape(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a tape: one file, or a folder of part files of one delivery.
+
+    Without a declared schema a CSV is read twice, once for its types.
+    """
+    if file_format(spark, path) == "parquet":
         return spark.read.parquet(path)
     if schema is not None:
         return spark.read.schema(schema).csv(path, header=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from datetime import datetime
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         found = []
         for path in batch["path"]:
-            store, inner = fs.FileSystem.from_uri(path)
+            store, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
             digest = hashlib.sha256()
             with store.open_input_stream(inner) as stream:
                 while chunk := stream.read(_CHUNK):
@@ -57,9 +58,9 @@ def file_manifest(
         per_file = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
             F.count(F.lit(1)).alias("row_count")
         )
-        per_file = per_file.select(
-            F.regexp_replace("file_path", "^file:/+", "file:///").alias("path"), "row_count"
-        )
+        # The scan reports its paths percent-encoded.
+        plain = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))
+        per_file = per_file.select(F.regexp_replace(plain, "^file:/+", "file:///").alias("path"), "row_count")
         counted = hashed.join(per_file, "path", "left")
     moment = F.lit(loaded_at.isoformat(sep=" ")) if loaded_at else F.current_timestamp()
     return counted.select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-_BATCH = "_batch_id"
+_BATCH, _SALT = "_batch", "_salt"
 
 
 def read_landed(spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -21,9 +21,11 @@ def read_landed(spark: SparkSession, landing: str, schema: T.StructType, files_p
 def ingest_stream(landed: DataFrame, bronze: str, checkpoint: str, load_date: str = "load_date") -> StreamingQuery:
     """New files to stamped bronze, then stop.
 
-    Each micro-batch owns one partition and overwrites it, so a batch that is
-    run again after a failure leaves no second copy.
+    Each micro-batch owns one partition, named by its checkpoint and number,
+    and overwrites it, so a batch that runs again after a failure leaves no
+    second copy.
     """
+    stream = checkpoint.rstrip("/").rsplit("/", 1)[-1]
     stamped = landed.select(
         *[c for c in landed.columns if c != load_date],
         F.col("_metadata.file_name").alias("_source_file"),
@@ -33,7 +35,7 @@ def ingest_stream(landed: DataFrame, bronze: str, checkpoint: str, load_date: st
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn(_BATCH, F.lit(batch_id))
+            batch.withColumn(_BATCH, F.lit(f"{stream}-{batch_id}"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(_BATCH)
@@ -48,15 +50,18 @@ def ingest_stream(landed: DataFrame, bronze: str, checkpoint: str, load_date: st
     )
 
 
-def dedupe_stream(landed: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+def dedupe_stream(landed: DataFrame, key: str, event_time: str, delay: str, spread: int = 16) -> DataFrame:
     """The first arrival of each key within the watermark.
 
     State is dropped once the watermark passes, so it stays as large as the
-    delay, not as the feed. Silver keeps the newest row instead and stays a
-    batch job.
+    delay, not as the feed. Copies of one key are first thinned in ``spread``
+    groups, so a key that fills a third of a batch does not end in one task.
+    Silver keeps the newest row instead and stays a batch job.
     """
-    timed = landed.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    timed = landed.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
+    salted = timed.withColumn(_SALT, F.floor(F.rand(7) * spread).cast("int"))
+    thinned = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT)
+    return thinned.dropDuplicatesWithinWatermark([key])
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -490,9 +490,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "load_loan_tape": _with(
             "raw_tape",
-            f"""select loan_id::int as loan_id, client_id::int as client_id, principal, int_rate, issue_date,
-            delivery::int as delivery, date '1970-01-01' as _load_date, {TIME} as _loaded_at
-            from raw_tape where delivery = 1""",
+            f"select *, date '1970-01-01' as _load_date, {TIME} as _loaded_at from raw_tape",
         ),
         "latest_partition": """
             select max(ts)::date::varchar as load_date,
