@@ -21,6 +21,7 @@ from lendscope.operators import checks, metrics, preprocess  # noqa: E402
 from lendscope.operators.dedupe import dedupe_latest  # noqa: E402
 from lendscope.plans import (  # noqa: E402
     contracts,
+    daily,
     gold,
     governance,
     history,
@@ -50,7 +51,7 @@ ROUNDS = 20
 LOAN_SCHEMA = T.StructType(
     [
         T.StructField("loan_id", T.LongType()),
-        T.StructField("client_id", T.IntegerType()),
+        T.StructField("client_id", T.LongType()),
         T.StructField("principal", T.DoubleType()),
         T.StructField("int_rate", T.DoubleType()),
         T.StructField("grade", T.StringType()),
@@ -108,18 +109,14 @@ def _models(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     clients = _stored(spark, _clients(spark, sf), "clients")
     payments = _stored(spark, _payments(spark, sf), "payments")
     dim = gold.dim_borrower(clients)
-    analyst = governance.gov_borrower_analyst(dim)
     return {
+        **daily.governed_views(dim, payments),
         "stg_clients": clients,
         "stg_payments": payments,
         "dim_borrower": dim,
         "fct_payment_history": gold.fct_payment_history(clients),
         "mart_portfolio_risk": gold.mart_portfolio_risk(gold.labelled_borrowers(clients)),
         "feature_default_prediction": gold.feature_default_prediction(clients),
-        "gov_borrower_risk_analyst": governance.gov_borrower_risk_analyst(dim),
-        "gov_borrower_analyst": analyst,
-        "gov_payments_analyst": governance.gov_payments_analyst(payments),
-        "gov_borrower_regional": governance.gov_borrower_regional(analyst),
     }
 
 
@@ -332,11 +329,15 @@ def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
-    return model.split(_features(spark, sf)).select("client_id", "is_default", "is_test")
+    return model.split(_feature_table(spark, sf)).select("client_id", "is_default", "is_test")
+
+
+def _feature_table(spark: SparkSession, sf: str) -> DataFrame:
+    return _stored(spark, _features(spark, sf), "features")
 
 
 def _imputed(spark: SparkSession, sf: str) -> DataFrame:
-    features = _features(spark, sf).select("client_id", *model.NUMERIC_FEATURES)
+    features = _feature_table(spark, sf).select("client_id", *model.NUMERIC_FEATURES)
     return preprocess.median_impute(features, preprocess.fit_medians(features, model.NUMERIC_FEATURES))
 
 
@@ -350,7 +351,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     """How many rows switch on each position of each encoded feature."""
     from pyspark.ml import Pipeline
 
-    features = _features(spark, sf)
+    features = _feature_table(spark, sf)
     encoded = Pipeline(stages=preprocess.one_hot_stages(model.CATEGORICAL_FEATURES)).fit(features).transform(features)
     arrays = ", ".join(f"'{c}', {c}_array" for c in model.CATEGORICAL_FEATURES)
     dense = encoded.select(*[vector_to_array(f"{c}_onehot").alias(f"{c}_array") for c in model.CATEGORICAL_FEATURES])
@@ -364,7 +365,7 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
 
 def _score_one(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        parted = model.split(_features(spark, sf))
+        parted = model.split(_feature_table(spark, sf))
         fitted = model.fit_models(parted.filter(~F.col("is_test")), ROUNDS, only=(name,))
         output = dict(model.MODELS)[name]
         return model.score(parted, fitted[name], output).select("client_id", output, "is_default", "is_test")
@@ -373,7 +374,7 @@ def _score_one(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def model_scores(spark: SparkSession, sf: str) -> DataFrame:
-    parted = model.split(_features(spark, sf))
+    parted = model.split(_feature_table(spark, sf))
     return model.model_scores(parted, model.fit_models(parted.filter(~F.col("is_test")), ROUNDS))
 
 
@@ -494,6 +495,12 @@ def dq_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     return monitoring.dq_anomaly(long, limit=2.0)
 
 
+def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "clustered")
+    bronze.write_clustered(_tape(spark, sf), path, "loan_status", ["grade", "issue_date"])
+    return spark.read.parquet(path)
+
+
 def mart_delinquency_trend(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "mart_delinquency_trend")
     portfolio.mart_delinquency_trend(_fact(spark, sf)).write.mode("overwrite").parquet(path)
@@ -599,6 +606,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dedupe_events_stream": dedupe_events_stream,
         # history, portfolio, monitoring
         "clean_loan_tape": _tape,
+        "clustered_layout": clustered_layout,
         "scd2_snapshot": scd2_snapshot,
         "mart_delinquency_trend": mart_delinquency_trend,
         "vintage_curves": lambda s, sf: portfolio.vintage_curves(bridge.loan_defaults(s, sf)),

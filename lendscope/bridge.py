@@ -38,7 +38,7 @@ def _slot_columns() -> str:
 
 RAW_CLIENTS_SQL = f"""
 select
-    cast(c.c_custkey as int) as ID,
+    c.c_custkey as ID,
     cast(floor(abs(c.c_acctbal)) as int) * 50 as LIMIT_BAL,
     c.c_nationkey % 3 as SEX,
     c.c_nationkey % 5 as EDUCATION,
@@ -82,7 +82,7 @@ where r.ID %% 2 = 0
 RAW_TRANSACTIONS_SQL = """
 select
     cast(l.l_orderkey as string) || '-' || cast(l.l_linenumber as string) as txn_id,
-    cast(o.o_custkey as int) as borrower_id,
+    o.o_custkey as borrower_id,
     l.l_shipdate as txn_ts,
     l.l_extendedprice as amount,
     case l.l_orderkey % 4 when 0 then 'ACH' when 1 then 'CARD' when 2 then 'WIRE' else 'CHECK' end as channel,
@@ -106,7 +106,7 @@ PAYMENT_TIES = ("_part", "_supplier")
 # Scores by a closed formula of the key: many ties, one model with signal.
 MODEL_SCORES_SQL = """
 select
-    cast(k as int) as client_id,
+    k as client_id,
     (k * 7919 % 100) / cast(100 as double) as pd_logreg,
     (k * 7919 % 60 + 30 * is_default) / cast(100 as double) as pd_xgboost,
     is_default,
@@ -137,7 +137,7 @@ where copy = 1 or o_orderkey % 5 = 0
 FEED_SQL = """
 select
     cast(event_id as string) as txn_id,
-    cast(user_id as int) as borrower_id,
+    user_id as borrower_id,
     ts as txn_ts,
     value as amount,
     upper(event_type) as channel,
@@ -150,6 +150,7 @@ from {events}
 """
 
 # Loans that failed, dated by their first returned line after the issue date.
+# One row per loan and day goes into the join, however many lines a loan has.
 LOAN_DEFAULTS_SQL = """
 select
     o.o_orderkey as loan_id,
@@ -158,9 +159,11 @@ select
 from {orders} o
 left join (
     select x.o_orderkey as returned_key, min(l.l_shipdate) as returned
-    from {lineitem} l
+    from (
+        select l_orderkey, l_shipdate from {lineitem} where l_returnflag = 'R' group by l_orderkey, l_shipdate
+    ) l
     join {orders} x on x.o_orderkey = l.l_orderkey
-    where l.l_returnflag = 'R' and l.l_shipdate >= x.o_orderdate
+    where l.l_shipdate >= x.o_orderdate
     group by x.o_orderkey
 ) r on r.returned_key = o.o_orderkey
 """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,11 +99,24 @@ def write_silver(clients: DataFrame, root: str, run_id: str) -> str:
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The newest version of a table that passed its gate."""
+    return spark.read.parquet(published_path(spark, root, name))
+
+
+def published_path(spark: SparkSession, root: str, name: str) -> str:
+    """The folder of that version."""
     pointers = spark.read.schema(PUBLISHED).json(f"{root}/meta/published")
     newest = pointers.filter(F.col("table_name") == name).agg(F.max_by("path", "run_id").alias("path")).first()
     if newest.path is None:
         raise LookupError(f"{name} was never published")
-    return spark.read.parquet(newest.path)
+    return newest.path
+
+
+def publish_views(spark: SparkSession, root: str, database: str, names: Sequence[str]) -> None:
+    """Point one catalog view per table at its newest published version."""
+    spark.sql(f"create database if not exists {database}")
+    for name in names:
+        path = published_path(spark, root, name)
+        spark.sql(f"create or replace view {database}.{name} as select * from parquet.`{path}`")
 
 
 def write_table(df: DataFrame, table: str) -> None:

@@ -155,6 +155,18 @@ def dq_latest_kpis(summary: DataFrame) -> DataFrame:
     return totals.withColumn("pass_rate", rate)
 
 
+class StaleSource(RuntimeError):
+    """A source is older than its error limit."""
+
+
+def require_fresh(freshness: DataFrame) -> str:
+    """The status of a one-row freshness report; raises on ``error``."""
+    row = freshness.first()
+    if row.status == "error":
+        raise StaleSource(f"newest load {row.max_loaded_at}, {row.age_seconds} seconds old")
+    return row.status
+
+
 def source_freshness(
     df: DataFrame, as_of: datetime, warn_after: timedelta, error_after: timedelta, loaded_at: str = "_loaded_at"
 ) -> DataFrame:

@@ -12,7 +12,7 @@ from lendscope.schemas import MONTHS, RAW_DEFAULT_FLAG, RAW_STATUS_COLUMNS, clas
 
 # silver column -> (bronze column, type)
 CLIENT_COLUMNS = {
-    "client_id": ("ID", "int"),
+    "client_id": ("ID", "long"),
     "credit_limit": ("LIMIT_BAL", "int"),
     "sex_code": ("SEX", "int"),
     "education_code": ("EDUCATION", "int"),
@@ -28,7 +28,7 @@ CLIENT_COLUMNS = {
 
 PAYMENT_COLUMNS = {
     "txn_id": ("txn_id", "string"),
-    "client_id": ("borrower_id", "int"),
+    "client_id": ("borrower_id", "long"),
     "txn_ts": ("txn_ts", "timestamp_ntz"),
     "amount": ("amount", "double"),
     "channel": ("channel", "string"),

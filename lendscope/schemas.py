@@ -15,10 +15,12 @@ RAW_DEFAULT_FLAG = "default payment next month"
 
 LOAD_STAMPS = ("_source_file", "_load_date", "_loaded_at")
 
-_CLIENT_ATTRIBUTES = ("ID", "LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE")
+_CLIENT_ATTRIBUTES = ("LIMIT_BAL", "SEX", "EDUCATION", "MARRIAGE", "AGE")
 
+# Client ids are long throughout: an int ends at 2.1 billion clients.
 RAW_CLIENTS = T.StructType(
-    [T.StructField(c, T.IntegerType()) for c in (*_CLIENT_ATTRIBUTES, *RAW_STATUS_COLUMNS)]
+    [T.StructField("ID", T.LongType())]
+    + [T.StructField(c, T.IntegerType()) for c in (*_CLIENT_ATTRIBUTES, *RAW_STATUS_COLUMNS)]
     + [T.StructField(f"BILL_AMT{m}", T.DoubleType()) for m in MONTHS]
     + [T.StructField(f"PAY_AMT{m}", T.DoubleType()) for m in MONTHS]
     + [T.StructField(RAW_DEFAULT_FLAG, T.IntegerType())]
@@ -27,7 +29,7 @@ RAW_CLIENTS = T.StructType(
 RAW_TRANSACTIONS = T.StructType(
     [
         T.StructField("txn_id", T.StringType()),
-        T.StructField("borrower_id", T.IntegerType()),
+        T.StructField("borrower_id", T.LongType()),
         T.StructField("txn_ts", T.TimestampType()),
         T.StructField("amount", T.DoubleType()),
         T.StructField("channel", T.StringType()),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,20 @@ def replace_partition(df: DataFrame, path: str, key: str = "_load_date", **parti
     return stored.count()
 
 
+def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str]) -> None:
+    """Partition folders whose files are sorted by ``cluster_by``.
+
+    Readers skip partitions by folder and row groups by their min and max.
+    """
+    (
+        df.hint("rebalance", F.col(partition_by))
+        .sortWithinPartitions(partition_by, *cluster_by)
+        .write.mode("overwrite")
+        .partitionBy(partition_by)
+        .parquet(path)
+    )
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 

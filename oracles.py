@@ -34,7 +34,7 @@ FEED = _fill(bridge.FEED_SQL)
 DEFAULTS = _fill(bridge.LOAN_DEFAULTS_SQL)
 
 CLIENT_COLUMNS = f"""
-    ID::int as client_id, LIMIT_BAL::int as credit_limit, SEX::int as sex_code,
+    ID::bigint as client_id, LIMIT_BAL::int as credit_limit, SEX::int as sex_code,
     EDUCATION::int as education_code, MARRIAGE::int as marriage_code, AGE::int as age,
     {", ".join(f"PAY_{0 if m == 1 else m}::int as repay_status_m{m}" for m in M)},
     {_list("BILL_AMT{m}::double as bill_amt_m{m}")}, {_list("PAY_AMT{m}::double as pay_amt_m{m}")},
@@ -49,7 +49,7 @@ CTES = {
         select {CLIENT_COLUMNS} from raw_one
         qualify row_number() over (partition by ID order by _loaded_at desc) = 1""",
     "pay": """
-        select txn_id::varchar as txn_id, borrower_id::int as client_id, txn_ts::timestamp as txn_ts,
+        select txn_id::varchar as txn_id, borrower_id::bigint as client_id, txn_ts::timestamp as txn_ts,
             amount::double as amount, channel, txn_type, status, borrower_email, borrower_ip,
             _load_date as load_date, _loaded_at as loaded_at
         from raw_pay
@@ -122,7 +122,7 @@ CTES = {
         union all
         select 'xgboost', pd_xgboost, is_default from scores where is_test""",
     "tape": """
-        select loan_id, client_id::int as client_id, principal, int_rate, lower(trim(grade)) as grade,
+        select loan_id, client_id::bigint as client_id, principal, int_rate, lower(trim(grade)) as grade,
             lower(trim(loan_status)) as loan_status, issue_date
         from raw_tape
         qualify row_number() over (partition by loan_id order by delivery desc) = 1""",
@@ -258,9 +258,8 @@ SUMMARY = """
     select run_id, run_at, target_table, severity, count(*) as checks,
         count(*) filter (where success) as passed, count(*) filter (where not success) as failed,
         round(count(*) filter (where success) / count(*), 4) as pass_rate,
-        run_id = max(run_id) over () as is_latest
+        run_id = max(max(run_id)) over () as is_latest
     from results group by run_id, run_at, target_table, severity"""
-SUMMARY = SUMMARY.replace("max(run_id) over ()", "max(max(run_id)) over ()")
 
 
 def _not_null() -> str:
@@ -369,19 +368,6 @@ METRICS = f"""
 
 
 def _calibration(model: str, column: str) -> str:
-    return f"""
-        select '{model}' as model, row_number() over (order by slot)::int as bin,
-            round_even(avg(p), 4) as predicted_pd, round_even(avg(is_default), 4) as observed_default_rate
-        from (
-            select {column} as p, is_default,
-                (select len(list_filter(
-                    quantile_cont({column}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]), lambda e: e < s.{column}))
-                 from scores where is_test) as slot
-            from scores s where is_test
-        ) group by slot"""
-
-
-def _calibration_joined(model: str, column: str) -> str:
     return f"""
         select '{model}' as model, row_number() over (order by slot)::int as bin,
             round_even(avg(p), 4) as predicted_pd, round_even(avg(is_default), 4) as observed_default_rate
@@ -447,7 +433,7 @@ def _null_rates() -> str:
 def _schema_rows() -> str:
     declared = {
         "txn_id": ("string", "string", "ok"),
-        "borrower_id": ("int", "int", "ok"),
+        "borrower_id": ("bigint", "bigint", "ok"),
         "txn_ts": ("timestamp", "timestamp_ntz", "type_changed"),
         "amount": ("double", "double", "ok"),
         "channel": ("string", "string", "ok"),
@@ -475,7 +461,8 @@ SCD2 = "credit_limit, sex_code, education_code, marriage_code, age"
 def oracle_sql() -> dict[str, str]:
     stamps = f"date '2024-01-31' as _load_date, {TIME} as _loaded_at"
     raw_columns = ", ".join(
-        [f"{c}::int as {c}" for c in "ID LIMIT_BAL SEX EDUCATION MARRIAGE AGE PAY_0 PAY_2 PAY_3 PAY_4 PAY_5 PAY_6".split()]
+        ["ID"]
+        + [f"{c}::int as {c}" for c in "LIMIT_BAL SEX EDUCATION MARRIAGE AGE PAY_0 PAY_2 PAY_3 PAY_4 PAY_5 PAY_6".split()]
         + [f"BILL_AMT{m}" for m in M]
         + [f"PAY_AMT{m}" for m in M]
         + ['"default payment next month"::int as "default payment next month"']
@@ -741,9 +728,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "calibration_deciles": _with(
             "scores",
-            _calibration_joined("logreg", "pd_logreg")
+            _calibration("logreg", "pd_logreg")
             + "\nunion all\n"
-            + _calibration_joined("xgboost", "pd_xgboost"),
+            + _calibration("xgboost", "pd_xgboost"),
         ),
         "model_metrics": _with("test_scores", METRICS),
         "champion_model": _with(
@@ -760,6 +747,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dedupe_events_stream": _with("raw_pay", "select distinct txn_id, borrower_id from raw_pay"),
         "clean_loan_tape": _with("tape", "select * from tape"),
+        "clustered_layout": _with("tape", "select * from tape"),
         "scd2_snapshot": _with(
             "raw_two",
             f"""with old as (select {CLIENT_COLUMNS} from raw_two where _load_date = date '2024-01-30'),
