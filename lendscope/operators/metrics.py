@@ -26,18 +26,15 @@ def roc_points(long: DataFrame) -> DataFrame:
         (1 - F.col("label")).cast("long").alias("negatives"),
     )
     curve = running_totals(flagged, "score", ["positives", "negatives"], by=["model"])
-    totals = flagged.groupBy("model").agg(
-        F.sum("positives").alias("all_positives"), F.sum("negatives").alias("all_negatives")
-    )
-    return curve.join(totals, "model").select(
+    return curve.select(
         "model",
         "score",
         "positives",
         "negatives",
         "cum_positives",
         "cum_negatives",
-        _share("cum_positives", "all_positives").alias("tpr"),
-        _share("cum_negatives", "all_negatives").alias("fpr"),
+        _share("cum_positives", "total_positives").alias("tpr"),
+        _share("cum_negatives", "total_negatives").alias("fpr"),
     )
 
 

@@ -35,25 +35,35 @@ def running_totals(
 ) -> DataFrame:
     """Per distinct ``order`` value, descending: its sums and the sums so far.
 
-    Adds ``cum_<measure>`` including the row itself. Rows that share a value
-    are summed first, so one very frequent value costs one row. The join with
-    the slice offsets and the window share one partitioning.
+    Adds ``cum_<measure>``, which includes the row itself, and
+    ``total_<measure>`` of the whole group. Rows that share a value are summed
+    before any shuffle, so one very frequent value costs one row per task; the
+    slice sums are folded the same way straight from the input. Rows without
+    an ``order`` value have no place in it and are left out.
     """
-    per_value = df.groupBy(*by, order).agg(*[F.sum(m).alias(m) for m in measures])
-    sliced = _with_slice(per_value, order, _slice_edges(df, order, slices))
-
-    totals = sliced.groupBy(*by, _SLICE).agg(*[F.sum(m).alias(m) for m in measures])
-    earlier = Window.partitionBy(*by).orderBy(F.desc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *by, _SLICE, *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures]
+    df = df.filter(F.col(order).isNotNull())
+    edges = _slice_edges(df, order, slices)
+    sums = [F.sum(m).alias(m) for m in measures]
+
+    per_slice = _with_slice(df, order, edges).groupBy(*by, _SLICE).agg(*sums)
+    # At most ``slices`` rows per group reach these windows.
+    group = Window.partitionBy(*by)
+    earlier = group.orderBy(F.desc(_SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_slice.select(
+        *by,
+        _SLICE,
+        *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
+        *[F.sum(m).over(group).alias(f"total_{m}") for m in measures],
     )
 
+    per_value = _with_slice(df.groupBy(*by, order).agg(*sums), order, edges)
     inside = Window.partitionBy(*by, _SLICE).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
-    return sliced.join(offsets, [*by, _SLICE]).select(
+    return per_value.join(offsets, [*by, _SLICE]).select(
         *by,
         order,
         *measures,
         *[(F.col(f"_before_{m}") + F.sum(m).over(inside)).alias(f"cum_{m}") for m in measures],
+        *[f"total_{m}" for m in measures],
     )
 
 
