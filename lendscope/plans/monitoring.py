@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.functions import round_half_away
-
-
-class SchemaDrift(ValueError):
-    """A landed file does not have the declared columns."""
+from lendscope.schemas import schema_differences
 
 
 def daily_volume(df: DataFrame, day: Column, source: Column) -> DataFrame:
@@ -46,30 +43,6 @@ def null_rate(df: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def schema_differences(actual: T.StructType, declared: T.StructType) -> list[tuple[str, str | None, str | None, str]]:
-    """(column, declared type, actual type, status) of every column of either side."""
-    have = {f.name: f.dataType.simpleString() for f in actual.fields}
-    want = {f.name: f.dataType.simpleString() for f in declared.fields}
-    result = []
-    for name in [*want, *[n for n in have if n not in want]]:
-        if name not in have:
-            status = "missing"
-        elif name not in want:
-            status = "unexpected"
-        else:
-            status = "ok" if have[name] == want[name] else "type_changed"
-        result.append((name, want.get(name), have.get(name), status))
-    return result
-
-
-def require_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
-    """The frame itself, or SchemaDrift when its columns are not the declared ones."""
-    wrong = [d for d in schema_differences(df.schema, declared) if d[3] != "ok"]
-    if wrong:
-        raise SchemaDrift("; ".join(f"{n}: declared {w}, found {h}" for n, w, h, _ in wrong))
-    return df
-
-
 def schema_check(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Per column: declared and actual type, status, values, and values that
     cannot be read as the declared type."""

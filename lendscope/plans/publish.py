@@ -26,6 +26,7 @@ from lendscope.plans.quality import (
     mart_data_quality,
     run_id_of,
 )
+from lendscope.schemas import gold_contract, require_schema
 from lendscope.sources.bronze import replace_partition
 
 PUBLISHED = T.StructType(
@@ -48,7 +49,12 @@ def build_gold(clients: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_versions(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, str]:
-    """Write each table to a folder of this run; nobody reads it yet."""
+    """Write each table to a folder of this run; nobody reads it yet.
+
+    A table that breaks its column contract is not written at all.
+    """
+    for name, df in tables.items():
+        require_schema(df, gold_contract(name))
     paths = {}
     for name, df in tables.items():
         paths[name] = f"{root}/marts/{name}/version={run_id}"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import timedelta
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MONTHS = range(1, 7)
@@ -86,3 +87,66 @@ SOURCES = {
     # The tape brings its own columns; one partition per file.
     "loan_tape": SourceSpec("raw.lending_club_loans", None, partition_by="_source_file"),
 }
+
+
+# Contracts of the gold tables: names and types in order.
+GOLD_CONTRACTS = {
+    "dim_borrower": (
+        "client_id bigint, credit_limit int, sex_code int, sex string, education_code int, education_level string, "
+        "marriage_code int, marital_status string, age int, age_band string, credit_limit_band string, region string"
+    ),
+    "fct_payment_history": (
+        "payment_history_id string, client_id bigint, month_index int, repay_status int, is_delinquent boolean, "
+        "bill_amt double, pay_amt double, utilization double"
+    ),
+    "mart_portfolio_risk": (
+        "segment_dimension string, segment_value string, n_clients bigint, n_default bigint, default_rate double, "
+        "avg_credit_limit double, total_credit_limit_exposure bigint"
+    ),
+    "feature_default_prediction": (
+        "client_id bigint, credit_limit int, age int, sex_code int, education_code int, marriage_code int, "
+        "avg_repay_status double, max_repay_status int, months_delinquent int, total_bill_amt double, "
+        "total_pay_amt double, avg_utilization double, age_band string, credit_limit_band string, is_default int, "
+        "pay_to_bill_ratio double"
+    ),
+}
+
+
+def gold_contract(name: str) -> T.StructType:
+    return T.StructType.fromDDL(GOLD_CONTRACTS[name])
+
+
+class SchemaDrift(ValueError):
+    """A landed file does not have the declared columns."""
+
+
+def schema_differences(actual: T.StructType, declared: T.StructType) -> list[tuple[str, str | None, str | None, str]]:
+    """(column, declared type, actual type, status) of every column of either side."""
+    have = {f.name: f.dataType.simpleString() for f in actual.fields}
+    want = {f.name: f.dataType.simpleString() for f in declared.fields}
+    result = []
+    for name in [*want, *[n for n in have if n not in want]]:
+        if name not in have:
+            status = "missing"
+        elif name not in want:
+            status = "unexpected"
+        else:
+            status = "ok" if have[name] == want[name] else "type_changed"
+        result.append((name, want.get(name), have.get(name), status))
+    return result
+
+
+def require_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """The frame itself, or SchemaDrift when its columns are not the declared ones."""
+    wrong = [d for d in schema_differences(df.schema, declared) if d[3] != "ok"]
+    if wrong:
+        raise SchemaDrift("; ".join(f"{n}: declared {w}, found {h}" for n, w, h, _ in wrong))
+    return df
+
+
+def require_columns(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """The frame itself, or SchemaDrift when a column is missing or unknown."""
+    wrong = [d for d in schema_differences(df.schema, declared) if d[3] in ("missing", "unexpected")]
+    if wrong:
+        raise SchemaDrift("; ".join(f"{name}: {status}" for name, _, _, status in wrong))
+    return df

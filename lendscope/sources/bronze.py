@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscope.schemas import SOURCES
+from lendscope.schemas import SOURCES, require_columns
 from lendscope.sources.files import (
     find_loan_tape,
     latest_partition,
@@ -92,7 +92,7 @@ def load_source(
     if name == "clients":
         rows = read_clients(spark, f"{landing}/load_date={load_date}", spec.schema)
     else:
-        rows = read_feed(read_partition(spark, landing, load_date))
+        rows = require_columns(read_feed(read_partition(spark, landing, load_date)), spec.schema)
     stamped = stamp_load_metadata(rows, load_date, loaded_at=loaded_at)
     return replace_partition(stamped, target, _load_date=load_date)
 

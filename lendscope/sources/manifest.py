@@ -14,19 +14,24 @@ from pyspark.sql import functions as F
 _CHUNK = 1 << 20
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _hasher(chunk: int = _CHUNK):
+    """The function a task runs; nested, so it ships by value to the executors."""
 
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            store, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
-            digest = hashlib.sha256()
-            with store.open_input_stream(inner) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            found.append(digest.hexdigest())
-        yield batch.assign(sha256=found)
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                store, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
+                digest = hashlib.sha256()
+                with store.open_input_stream(inner) as stream:
+                    while data := stream.read(chunk):
+                        digest.update(data)
+                found.append(digest.hexdigest())
+            yield batch.assign(sha256=found)
+
+    return digests
 
 
 def file_manifest(
@@ -51,7 +56,7 @@ def file_manifest(
             F.regexp_replace("path", "^file:/+", "file:///").alias("path"), F.col("length").alias("byte_size")
         )
     )
-    hashed = listed.mapInPandas(_digests, "path string, byte_size long, sha256 string")
+    hashed = listed.mapInPandas(_hasher(), "path string, byte_size long, sha256 string")
     if rows is None:
         counted = hashed.withColumn("row_count", F.lit(None).cast("long"))
     else:

@@ -82,6 +82,18 @@ def test_classes_follow_the_columns(spark):
     assert classes["age"] == "PII" and classes["credit_limit"] == "CONFIDENTIAL" and classes["region"] == "PUBLIC"
 
 
+def test_gold_keeps_its_contracts(spark):
+    from lendscope.plans.publish import build_gold
+    from lendscope.schemas import GOLD_CONTRACTS, SchemaDrift, gold_contract, require_schema
+
+    tables = build_gold(clients(spark, raw_client(1)))
+    assert set(tables) == set(GOLD_CONTRACTS)
+    for name, df in tables.items():
+        require_schema(df, gold_contract(name))
+    with pytest.raises(SchemaDrift, match="age"):
+        require_schema(tables["dim_borrower"].withColumn("age", F.col("age").cast("string")), gold_contract("dim_borrower"))
+
+
 def test_history_unpivots_in_one_scan(spark, tmp_path):
     found = clients(
         spark, raw_client(7, limit=0), raw_client(8, status=(1, -1, 0, 2, None, -2), bills=(1.0, 2.0, 3.0, 4.0, 5.0, None))

@@ -3,6 +3,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import types as T
 
+from lendscope import schemas
 from lendscope.plans import gold, monitoring, portfolio, serving
 from test_models import clients, raw_client
 
@@ -90,9 +91,9 @@ def test_schema_drift(spark, rows):
         ("loan_id", "int", "string", "type_changed", 2, 1),
         ("rate", "double", None, "missing", 0, 0),
     ]
-    with pytest.raises(monitoring.SchemaDrift, match="rate"):
-        monitoring.require_schema(df, TAPE)
-    assert monitoring.require_schema(df, df.schema) is df
+    with pytest.raises(schemas.SchemaDrift, match="rate"):
+        schemas.require_schema(df, TAPE)
+    assert schemas.require_schema(df, df.schema) is df
 
 
 def test_anomaly_needs_a_spread(spark):

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendscope.plans import history
-from lendscope.schemas import RAW_CLIENTS, SOURCES
+from lendscope.schemas import RAW_CLIENTS, SOURCES, SchemaDrift
 from lendscope.session import scratch_path, shared_dir
 from lendscope.sources import bronze, files, manifest
 from lendscope.streaming import feed
@@ -48,6 +48,13 @@ def test_a_load_can_be_repeated(spark, tmp_path):
     assert one._load_date == date(2024, 3, 1) and one._loaded_at == AT and one._source_file.endswith(".parquet")
 
 
+def test_a_feed_with_other_columns_is_refused(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    bronze.land_feed(feed_rows(spark, date(2024, 3, 1), ["a"]).drop("amount"), landing)
+    with pytest.raises(SchemaDrift, match="amount: missing"):
+        bronze.load_source(spark, "transactions", landing, str(tmp_path / "raw"), AT)
+
+
 def test_replacing_keeps_other_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(6).selectExpr("id", "concat('p', id % 3) as part")
