@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-_BATCH, _SALT = "_batch", "_salt"
+_BATCH = "_batch"
 
 
 def read_landed(spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -50,18 +54,30 @@ def ingest_stream(landed: DataFrame, bronze: str, checkpoint: str, load_date: st
     )
 
 
-def dedupe_stream(landed: DataFrame, key: str, event_time: str, delay: str, spread: int = 16) -> DataFrame:
+def _thinner(key: str):
+    """Keeps the first row of each key within an Arrow batch; ships by value."""
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(batch.schema.get_field_index(key)).dictionary_encode().indices
+            _, first = np.unique(codes.fill_null(-1).to_numpy(zero_copy_only=False), return_index=True)
+            yield batch.take(pa.array(np.sort(first)))
+
+    return thin
+
+
+def dedupe_stream(landed: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
     """The first arrival of each key within the watermark.
 
     State is dropped once the watermark passes, so it stays as large as the
-    delay, not as the feed. Copies of one key are first thinned in ``spread``
-    groups, so a key that fills a third of a batch does not end in one task.
-    Silver keeps the newest row instead and stays a batch job.
+    delay, not as the feed. A streaming dedupe has no map-side combine; copies
+    are therefore thinned in the tasks that read them, and a key that fills a
+    third of a batch sends few rows through the shuffle. Silver keeps the
+    newest row instead and stays a batch job.
     """
-    timed = landed.withColumn(event_time, F.col(event_time).cast("timestamp")).withWatermark(event_time, delay)
-    salted = timed.withColumn(_SALT, F.floor(F.rand(7) * spread).cast("int"))
-    thinned = salted.dropDuplicatesWithinWatermark([key, _SALT]).drop(_SALT)
-    return thinned.dropDuplicatesWithinWatermark([key])
+    timed = landed.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    thinned = timed.mapInArrow(_thinner(key), timed.schema)
+    return thinned.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
 def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
