@@ -38,6 +38,11 @@ from lendscope.session import scratch_path  # noqa: E402
 from lendscope.sources import bronze, files, manifest  # noqa: E402
 from lendscope.streaming import feed as feed_stream  # noqa: E402
 
+try:
+    from lendscope.llm import queries as llm
+except ImportError:  # the subpackage is optional; nothing else depends on it
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Two check runs: the first with a row band the data meets, the second without.
@@ -515,6 +520,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator; each takes (spark, sf_dir)."""
+    return library_queries() | (llm.queries() if llm else {})
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The queries of the package without the optional subpackage."""
     Check = checks.Check
     return {
         # sources
@@ -632,4 +642,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the given tables."""
-    return oracles.oracle_sql()
+    return oracles.oracle_sql() | (llm.oracle_sql() if llm else {})
