@@ -56,10 +56,11 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def prefix_keys(words: np.ndarray, count: int) -> np.ndarray:
+def prefix_keys(words: np.ndarray, count: int, window: int) -> np.ndarray:
     """The prefixes of the first ``count`` suffixes: 16 bits of the first word, then 16 bits of the longer prefix."""
-    first = run_hashes(words[: count + DEPTHS[0] - 1], DEPTHS[0]) >> _U64(48)
-    longer = run_hashes(words[: count + DEPTHS[1] - 1], DEPTHS[1]) >> _U64(48)
+    short, long = (min(d, window) for d in DEPTHS)
+    first = run_hashes(words[: count + short - 1], short) >> _U64(48)
+    longer = run_hashes(words[: count + long - 1], long) >> _U64(48)
     return ((first << _U64(16)) | longer).astype(np.uint32)
 
 
@@ -148,7 +149,7 @@ def _send(window: int, starts: np.ndarray, limit: int):
                         np.full(count, tag, np.uint32),
                         np.arange(count, dtype=np.uint32),
                         run_hashes(hashes, window),
-                        prefix_keys(hashes, count),
+                        prefix_keys(hashes, count, window),
                     )
                 )
                 n_held += count
@@ -356,7 +357,7 @@ def _balance(source: DataFrame, n: int, window: int, group: int) -> np.ndarray:
         for batch in batches:
             for text in batch["text"].to_pylist():
                 words = word_hashes(text.split())
-                keys = prefix_keys(words, max(0, len(words) - window + 1))[::THIN]
+                keys = prefix_keys(words, max(0, len(words) - window + 1), window)[::THIN]
                 yield pa.record_batch([[len(words)], [keys[:10_000].tobytes()]], schema=kind)
 
     picked = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
