@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from lendscope.schemas import MONTHS, RAW_DEFAULT_FLAG, RAW_STATUS_COLUMNS
 
 TABLES = ("customer", "orders", "lineitem", "events")
+GIVEN = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 
 CLIENT_LOAD_DATE = "2024-01-31"
 CLIENT_LOADED_AT = "2024-01-31 01:00:00"

@@ -69,9 +69,28 @@ def brier(long: DataFrame) -> DataFrame:
 
 
 def model_metrics(long: DataFrame) -> DataFrame:
-    """AUC, KS and Brier score per model, rounded to 4 places."""
-    both = rank_metrics(roc_points(long)).join(brier(long), "model")
-    return both.select("model", *[round_half_even(F.col(m), 4).alias(m) for m in ("auc", "ks", "brier")])
+    """AUC, KS and Brier score per model, rounded to 4 places, and the rows with and without a score.
+
+    Rows without a score take part in no metric.
+    """
+    counted = long.groupBy("model").agg(
+        F.count("score").alias("n_scored"), F.count_if(F.col("score").isNull()).alias("n_unscored")
+    )
+    both = rank_metrics(roc_points(long)).join(brier(long), "model").join(counted, "model")
+    rounded = [round_half_even(F.col(m), 4).alias(m) for m in ("auc", "ks", "brier")]
+    return both.select("model", *rounded, "n_scored", "n_unscored")
+
+
+def split_report(scores: DataFrame, models: Sequence[tuple[str, str]], label: str = "is_default") -> DataFrame:
+    """Rows, mean label and AUC of every model on the training and the test side."""
+    parts = []
+    for side, rows in (("train", scores.filter(~F.col("is_test"))), ("test", scores.filter("is_test"))):
+        long = long_scores(rows, models, label)
+        size = long.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("mean_label"))
+        both = rank_metrics(roc_points(long)).join(size, "model")
+        parts.append(both.select("model", F.lit(side).alias("side"), "n", "mean_label", "auc"))
+    report = parts[0].unionByName(parts[1])
+    return report.withColumns({c: round_half_even(F.col(c), 4) for c in ("mean_label", "auc")})
 
 
 def champion_model(metrics: DataFrame, order: Sequence[str]) -> DataFrame:

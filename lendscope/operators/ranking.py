@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLICE = "_slice"
+SLICE_ROWS = 500_000  # rows of a slice, about
+FEW = 100_000  # rows that one task may rank
 
 
 def _slice_edges(df: DataFrame, column: str, slices: int) -> list[float]:
@@ -31,17 +33,20 @@ def _with_slice(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame
 
 
 def running_totals(
-    df: DataFrame, order: str, measures: Sequence[str], by: Sequence[str] = (), slices: int = 512
+    df: DataFrame, order: str, measures: Sequence[str], by: Sequence[str] = (), slices: int | None = None
 ) -> DataFrame:
     """Per distinct ``order`` value, descending: its sums and the sums so far.
 
     Adds ``cum_<measure>``, which includes the row itself, and
     ``total_<measure>`` of the whole group. Rows that share a value are summed
     before any shuffle, so one very frequent value costs one row per task; the
-    slice sums are folded the same way straight from the input. Rows without
-    an ``order`` value have no place in it and are left out.
+    slice sums are folded the same way straight from the input. The number of
+    slices follows the number of rows. Rows without an ``order`` value have no
+    place in it and are left out; callers report them.
     """
     df = df.filter(F.col(order).isNotNull())
+    if slices is None:
+        slices = max(16, math.ceil(df.count() / SLICE_ROWS))
     edges = _slice_edges(df, order, slices)
     sums = [F.sum(m).alias(m) for m in measures]
 
@@ -72,34 +77,34 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, NULL and NaN skipped.
 
-    A sketch brackets every wanted rank to a ``4 * error`` share of the rows,
-    one pass counts what lies below each bracket, and only the rows inside the
-    brackets are grouped by value. Up to ``2 / error`` rows there is nothing to
-    narrow down. The driver receives two values per quantile.
+    A sketch brackets every wanted rank, one pass counts what lies below and
+    inside each bracket, and a bracket that holds more than ``FEW`` rows is
+    sketched again by itself. Only the rows inside the brackets are grouped by
+    value. The driver receives a few numbers per quantile.
     """
     numbers = df.select(
         *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
     )
     counts = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    large = [c for c in columns if counts[c] > 2 / error]
-    # The margin of 2 * error covers the sketch's own error and the step between ranks.
-    ends = [e for p in probabilities for e in (max(0.0, p - 2 * error), min(1.0, p + 2 * error))]
-    sketch = dict(zip(large, numbers.approxQuantile(large, ends, error))) if large else {}
-    brackets = {
-        f"{c}#{i}": (c, p, *(sketch[c][2 * i : 2 * i + 2] if c in sketch else (-math.inf, math.inf)))
-        for c in columns
-        for i, p in enumerate(probabilities)
-        if counts[c]
-    }
+    filled = [c for c in columns if counts[c]]
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    if not brackets:
+    if not filled:
         return result
-
-    sizes = {slot: 0 for slot in brackets}
-    narrowed = {slot: low for slot, (c, _, low, _) in brackets.items() if c in sketch}
-    if narrowed:
-        below = [F.count_if(F.col(brackets[slot][0]) < low).alias(slot) for slot, low in narrowed.items()]
-        sizes.update(numbers.agg(*below).first().asDict())
+    # The margin covers the sketch's own error and the step between ranks.
+    margin = 2 * error + 2 / min(counts[c] for c in filled)
+    ends = [e for p in probabilities for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = dict(zip(filled, numbers.approxQuantile(filled, ends, error)))
+    brackets = {
+        f"{c}#{i}": (c, p, *sketch[c][2 * i : 2 * i + 2]) for c in filled for i, p in enumerate(probabilities)
+    }
+    ranks = {slot: p * (counts[c] - 1) for slot, (c, p, _, _) in brackets.items()}
+    while True:
+        sizes, within = _bracket_sizes(numbers, brackets)
+        wide = [s for s, (_, _, low, high) in brackets.items() if within[s] > FEW and low < high]
+        narrowed = {s: _narrowed(numbers, brackets[s], ranks[s] - sizes[s], within[s], error) for s in wide}
+        if all(brackets[s] == b for s, b in narrowed.items()):
+            break
+        brackets |= narrowed
 
     inside = [
         F.when(F.col(c).between(low, high), F.struct(F.lit(slot).alias("slot"), F.col(c).alias("value")))
@@ -113,7 +118,6 @@ def exact_quantiles(
     ordered = Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = candidates.withColumn("upto", F.sum("rows").over(ordered))
 
-    ranks = {slot: p * (counts[c] - 1) for slot, (c, p, _, _) in brackets.items()}
     wanted_rows = _any(
         [
             (F.col("slot") == slot) & (_covers(math.floor(r) - sizes[slot]) | _covers(math.ceil(r) - sizes[slot]))
@@ -130,6 +134,24 @@ def exact_quantiles(
     return result
 
 
+def _bracket_sizes(numbers: DataFrame, brackets: dict) -> tuple[dict, dict]:
+    """Rows below and inside each bracket, in one pass."""
+    below = [F.count_if(F.col(c) < low).alias(f"below_{s}") for s, (c, _, low, _) in brackets.items()]
+    inside = [F.count_if(F.col(c).between(low, high)).alias(f"in_{s}") for s, (c, _, low, high) in brackets.items()]
+    row = numbers.agg(*below, *inside).first()
+    return {s: row[f"below_{s}"] for s in brackets}, {s: row[f"in_{s}"] for s in brackets}
+
+
+def _narrowed(numbers: DataFrame, bracket: tuple, rank: float, rows: int, error: float) -> tuple:
+    """A bracket around the same rank, from a sketch of the rows inside alone."""
+    column, p, low, high = bracket
+    share = rank / max(1, rows - 1)
+    margin = 2 * error + 2 / rows
+    ends = [max(0.0, share - margin), min(1.0, share + margin)]
+    inside = numbers.filter(F.col(column).between(low, high))
+    return (column, p, *inside.approxQuantile(column, ends, error))
+
+
 def _covers(rank: int) -> Column:
     """True where the rows of this value include the given rank of the bracket."""
     return (F.col("upto") - F.col("rows") <= rank) & (F.col("upto") > rank)
@@ -149,7 +171,7 @@ def _between(low: float, high: float, share: float) -> float:
 
 
 # 60 bits of md5, cut into 4096 equal slices by their top 12 bits.
-_HASH_DIGITS, _SLICE_SHIFT = 15, 48
+_HASH_DIGITS, _SLICE_SHIFT, _SLICE_BITS = 15, 48, 12
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -165,33 +187,48 @@ def stratified_split(
 
     ``ceil(test_share * rows)`` rows are shared out over the labels in
     proportion, largest remainders first. Sizes are exact; the rank at which a
-    label is cut is found from counts per hash slice plus one look into the
-    slice it falls in, so the table itself is never sorted or shuffled.
+    label is cut is found from counts per hash slice, slices of slices where
+    one is large, plus one look into the slice it falls in, so the table itself
+    is never sorted or shuffled.
     """
     hashed = df.select(F.col(key), F.col(label), split_hash(key, seed).alias("_h"))
-    sliced = hashed.withColumn(_SLICE, F.shiftright("_h", _SLICE_SHIFT))
-    counts: dict = {}
-    for row in sliced.groupBy(label, _SLICE).agg(F.count(F.lit(1)).alias("n")).collect():
-        counts.setdefault(row[label], {})[row[_SLICE]] = row.n
-
-    cuts = {}
-    for value, size in _test_sizes({v: sum(s.values()) for v, s in counts.items()}, test_share).items():
-        before = 0
-        for piece in sorted(counts[value]):
-            if size and before + counts[value][piece] >= size:
-                cuts[value] = (piece, size - before)
-                break
-            before += counts[value][piece]
-    if not cuts:
-        return df.withColumn("is_test", F.lit(False))
 
     def of(value) -> Column:
         return F.col(label).eqNullSafe(F.lit(value))
 
-    in_cut = _any([of(v) & (F.col(_SLICE) == piece) for v, (piece, _) in cuts.items()])
+    def slice_counts(rows: DataFrame, shift: int) -> dict:
+        found: dict = {}
+        grouped = rows.groupBy(label, F.shiftright("_h", shift).alias(_SLICE)).agg(F.count(F.lit(1)).alias("n"))
+        for row in grouped.collect():
+            found.setdefault(row[label], {})[row[_SLICE]] = row.n
+        return found
+
+    shift = _SLICE_SHIFT
+    counts = slice_counts(hashed, shift)
+    left = _test_sizes({v: sum(s.values()) for v, s in counts.items()}, test_share)
+    cuts: dict = {}
+    while True:
+        # The slice in which a label's last test row lies; cut again while one task would rank too many rows.
+        for value, size in left.items():
+            for piece in sorted(counts.get(value, ())):
+                if size and size <= counts[value][piece]:
+                    cuts[value] = (shift, piece, size)
+                    break
+                size -= counts[value][piece]
+        large = {v: c for v, c in cuts.items() if c[0] == shift and counts[v][c[1]] > FEW}
+        if not large or not shift:
+            break
+        inside = _any([of(v) & (F.shiftright("_h", s) == piece) for v, (s, piece, _) in large.items()])
+        left = {v: rank for v, (_, _, rank) in large.items()}
+        shift -= _SLICE_BITS
+        counts = slice_counts(hashed.filter(inside), shift)
+    if not cuts:
+        return df.withColumn("is_test", F.lit(False))
+
+    in_cut = _any([of(v) & (F.shiftright("_h", s) == piece) for v, (s, piece, _) in cuts.items()])
     place = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
-    at_cut = _any([of(v) & (F.col("_place") == rank) for v, (_, rank) in cuts.items()])
-    edges = sliced.filter(in_cut).withColumn("_place", place).filter(at_cut).collect()
+    at_cut = _any([of(v) & (F.col("_place") == rank) for v, (_, _, rank) in cuts.items()])
+    edges = hashed.filter(in_cut).withColumn("_place", place).filter(at_cut).collect()
 
     h = split_hash(key, seed)
     chosen = [

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lendscope.functions.banding import REGIONS
 from lendscope.functions.masking import MASKED_IP
+from lendscope.plans.governance import pii_leaks, row_access_leaks
+from lendscope.plans.quality import GateFailed
 from lendscope.operators.checks import (
     accepted_values_failures,
     fk_orphans,
@@ -95,10 +97,38 @@ def relationship_tests(models: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         _named(m, fk_orphans(models[m], column, models[parent], key).withColumn("column_name", F.lit(column)))
         for (m, column), (parent, key) in RELATIONSHIPS.items()
-        if m in models
+        if m in models and parent in models
     )
 
 
+def failing_column_tests(models: Mapping[str, DataFrame], most: int = 20) -> list[str]:
+    """The tests that do not pass on the given models; at most ``most`` values of each kind are named."""
+    found = []
+    for kind, report in (("not_null", not_null_tests(models)), ("unique", unique_tests(models))):
+        rows = report.filter("failures > 0").collect()  # one row per declared column
+        found += [f"{kind} {r.model}.{r.column_name}: {r.failures}" for r in rows]
+    for r in accepted_values_tests(models).limit(most).collect():
+        found.append(f"accepted_values {r.model}.{r.column_name}: {r.value} in {r.n_records} rows")
+    for r in relationship_tests(models).limit(most).collect():
+        found.append(f"relationships {r.model}.{r.column_name}: {r.orphan} in {r.n_rows} rows")
+    single: dict[str, DataFrame] = {}
+    if "stg_payments" in models:
+        single["non_negative_amount"] = negative_amounts(models["stg_payments"])
+    if "gov_borrower_analyst" in models and "gov_payments_analyst" in models:
+        single["pii_leaks"] = pii_leaks(models["gov_borrower_analyst"], models["gov_payments_analyst"])
+    if "gov_borrower_regional" in models:
+        single["row_access_leaks"] = row_access_leaks(models["gov_borrower_regional"])
+    found += [f"{name}: rows found" for name, rows in single.items() if not rows.isEmpty()]
+    return sorted(found)
+
+
+def require_column_tests(models: Mapping[str, DataFrame]) -> None:
+    """Stop when a column test or a singular test fails."""
+    failing = failing_column_tests(models)
+    if failing:
+        raise GateFailed("; ".join(failing))
+
+
 def negative_amounts(payments: DataFrame) -> DataFrame:
     """Payments with a negative amount; empty means pass."""
     return payments.filter(F.col("amount") < 0).select("txn_id", "amount")

@@ -1,17 +1,19 @@
-"""One day's run: land to bronze, silver, checked gold, scores."""
+"""One day's run: land to bronze, silver, checked gold, governed views, scores and their evaluation."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.operators import metrics
-from lendscope.plans import governance, model, publish, quality, silver
+from lendscope.plans import model, publish, quality, silver
 from lendscope.schemas import SOURCES
-from lendscope.sources import bronze
+from lendscope.sources import bronze, files, manifest
+
+# Rows of one key and one load time are told apart by their file and, at last, by a digest of the whole row.
+TIES = ("_source_file", "_digest")
 
 
 def run_daily(
@@ -23,42 +25,83 @@ def run_daily(
     rounds: int = 300,
     sources: tuple[str, ...] = tuple(SOURCES),
 ) -> dict[str, int | None]:
-    """Run every step in order; a failing check stops before anything is served.
+    """Run every step in order; a failing check or test stops before anything is served.
 
-    Each step reads what the step before stored, so a lost executor costs its
-    own tasks only, and a run can be repeated from the start.
+    Each step reads what the step before stored, so a lost executor costs its own tasks only, and a run can be
+    repeated from the start.
     """
     loaded = bronze.load_sources(spark, sources, landing, f"{root}/bronze")
-    raw_clients = spark.read.parquet(f"{root}/bronze/{SOURCES['clients'].table}")
-    if loaded.get("transactions") is not None:
-        spec = SOURCES["transactions"]
-        events = spark.read.parquet(f"{root}/bronze/{spec.table}")
-        quality.require_fresh(quality.source_freshness(events, run_at, spec.warn_after, spec.error_after))
-    publish.publish_gold(spark, silver.stg_clients(raw_clients), root, run_at, client_rows=client_rows)
-    train_and_score(spark, root, rounds)
+    record_files(spark, [n for n in sources if loaded[n] is not None], landing, root, run_at)
+    payments = None
+    if "transactions" in sources:
+        require_fresh_feed(spark, root, run_at)
+        payments = silver.stg_payments(_bronze(spark, root, "transactions"), TIES)
+    clients = silver.stg_clients(_bronze(spark, root, "clients"), TIES)
+    publish.publish_gold(spark, clients, root, run_at, client_rows=client_rows, payments=payments)
+    train_and_score(spark, root, run_at, rounds)
     return loaded
 
 
-def train_and_score(spark: SparkSession, root: str, rounds: int = 300) -> None:
-    """Fit on the published features, then store models, scores and metrics."""
+def _bronze(spark: SparkSession, root: str, source: str) -> DataFrame:
+    raw = spark.read.parquet(f"{root}/bronze/{SOURCES[source].table}")
+    return raw.withColumn("_digest", F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]))
+
+
+def require_fresh_feed(spark: SparkSession, root: str, run_at: datetime) -> str:
+    """Status of the payment feed by its newest event, whether or not anything landed today.
+
+    Only the newest day's partition is read. A feed that was never loaded is an error.
+    """
+    spec = SOURCES["transactions"]
+    path = f"{root}/bronze/{spec.table}"
+    newest = files.latest_partition(spark, path, spec.partition_by)
+    if newest is None:
+        raise quality.StaleSource("the feed was never loaded")
+    events = spark.read.parquet(path).filter(F.col(spec.partition_by) == F.lit(newest).cast("date"))
+    age = quality.source_freshness(events, run_at, spec.warn_after, spec.error_after, loaded_at="txn_ts")
+    return quality.require_fresh(age)
+
+
+def record_files(spark: SparkSession, sources: list[str], landing: str, root: str, run_at: datetime) -> None:
+    """Name, size, digest and load time of every landed file of the sources, one partition per run."""
+    run_id = quality.run_id_of(run_at)
+    for source in sources:
+        path = f"{landing}/{source}"
+        if SOURCES[source].partition_by == "_load_date":
+            path = f"{path}/load_date={files.latest_partition(spark, path)}"
+        rows = manifest.file_manifest(spark, source, path, landing, loaded_at=run_at)
+        stamped = rows.withColumn("run", F.lit(f"{run_id}-{source}"))
+        bronze.replace_partition(stamped, f"{root}/meta/manifest", "run", run=f"{run_id}-{source}")
+
+
+def train_and_score(spark: SparkSession, root: str, run_at: datetime, rounds: int = 300) -> None:
+    """Fit on the published features; publish scores and evaluation once every borrower has a valid score."""
+    run_id = quality.run_id_of(run_at)
     parted = model.split(publish.read_published(spark, root, "feature_default_prediction"))
     fitted = model.fit_models(parted.filter(~F.col("is_test")), rounds)
     model.save_models(fitted, f"{root}/models")
-    model.model_scores(parted, fitted).write.mode("overwrite").parquet(f"{root}/meta/model_scores")
-    scores = spark.read.parquet(f"{root}/meta/model_scores")
+    paths = publish.write_versions({"model_scores": model.model_scores(parted, fitted)}, root, run_id)
+    scores = spark.read.parquet(paths["model_scores"])
+    model.require_valid_scores(scores)
     table = metrics.model_metrics(metrics.long_scores(scores.filter("is_test"), model.MODELS))
     champion = metrics.champion_model(table, [name for name, _ in model.MODELS])
+    bands = publish.read_published(spark, root, "dim_borrower").select("client_id", "credit_limit_band")
+    paths |= publish.write_versions(evaluation(scores, bands, dict(model.MODELS)[champion.first().model]), root, run_id)
+    publish.point_to(spark, paths, root, run_id)
     publish.write_metrics(table, champion, f"{root}/meta/metrics")
 
 
-def governed_views(
-    dim: DataFrame, payments: DataFrame, access_region: str = governance.DEFAULT_REGION
-) -> Mapping[str, DataFrame]:
-    """The role-scoped views over a dimension and the payments."""
-    analyst = governance.gov_borrower_analyst(dim)
+def evaluation(scores: DataFrame, bands: DataFrame, champion: str) -> dict[str, DataFrame]:
+    """Calibration by decile, default rate by segment, and both sides of the split."""
+    test = scores.filter("is_test")
+    curves = [
+        metrics.calibration_deciles(test, column).withColumn("model", F.lit(name)) for name, column in model.MODELS
+    ]
+    calibration = curves[0]
+    for curve in curves[1:]:
+        calibration = calibration.unionByName(curve)
     return {
-        "gov_borrower_risk_analyst": governance.gov_borrower_risk_analyst(dim),
-        "gov_borrower_analyst": analyst,
-        "gov_payments_analyst": governance.gov_payments_analyst(payments),
-        "gov_borrower_regional": governance.gov_borrower_regional(analyst, access_region),
+        "model_calibration": calibration,
+        "model_segments": metrics.segment_pd_report(test.join(bands, "client_id"), champion),
+        "model_split": metrics.split_report(scores, model.MODELS),
     }

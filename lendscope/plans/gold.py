@@ -20,6 +20,7 @@ from lendscope.functions import (
 )
 from lendscope.schemas import MONTHS
 
+# The segments of the risk mart and the columns of the dimension.
 SEGMENT_DIMENSIONS = (
     "age_band",
     "credit_limit_band",

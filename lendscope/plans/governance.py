@@ -64,6 +64,19 @@ def gov_borrower_regional(analyst_view: DataFrame, access_region: str = DEFAULT_
     return analyst_view.filter(F.col("region") == access_region)
 
 
+def governed_views(
+    dim: DataFrame, payments: DataFrame, access_region: str = DEFAULT_REGION
+) -> dict[str, DataFrame]:
+    """The role-scoped views over a dimension and the payments."""
+    analyst = gov_borrower_analyst(dim)
+    return {
+        "gov_borrower_risk_analyst": gov_borrower_risk_analyst(dim),
+        "gov_borrower_analyst": analyst,
+        "gov_payments_analyst": gov_payments_analyst(payments),
+        "gov_borrower_regional": gov_borrower_regional(analyst, access_region),
+    }
+
+
 def row_access_entitled(dim: DataFrame, role: str, entitlements: DataFrame) -> DataFrame:
     """Rows whose region the role may see; privileged roles see all.
 

@@ -68,15 +68,29 @@ def scd2_merge(
 
 
 def incremental_fact(fact: DataFrame, path: str, key: str) -> int:
-    """Write only the partitions from the newest stored one on; rows written.
+    """Write only the partitions that grew or shrank since they were stored, and the newest; rows written.
 
-    The newest stored partition is written again, as it may have grown. The
-    filter on the partition column prunes older days of the source.
+    Days are compared by their row counts, which reads the partition column alone, so a late row for an old day is
+    found and that day written again. The newest stored day is always written again, and a stored day that the fact
+    no longer holds stays.
     """
-    newest = latest_partition(fact.sparkSession, path, key)
+    spark = fact.sparkSession
+    newest = latest_partition(spark, path, key)
+    kind = fact.schema[key].dataType
     if newest is None:
-        return replace_partition(fact, path, key)
-    fresh = fact.filter(F.col(key) >= F.lit(newest).cast(fact.schema[key].dataType))
-    replace_partition(fresh, path, key)
-    stored = fact.sparkSession.read.parquet(path)
-    return stored.filter(F.col(key) >= F.lit(newest)).count()
+        replace_partition(fact, path, key)
+        return spark.read.parquet(path).count()
+    stored = spark.read.schema(fact.schema).parquet(path)
+    count = F.count(F.lit(1))
+    now = fact.groupBy(F.col(key).alias("_day")).agg(count.alias("_rows"))
+    before = stored.groupBy(F.col(key).cast(kind).alias("_day")).agg(count.alias("_before"))
+    changed = (
+        now.join(before, "_day", "left")
+        .filter(~F.col("_rows").eqNullSafe(F.col("_before")) | (F.col("_day") >= F.lit(newest).cast(kind)))
+        .select("_day", "_rows")
+        .collect()
+    )
+    if not changed:
+        return 0
+    replace_partition(fact.filter(F.col(key).isin([r["_day"] for r in changed])), path, key)
+    return sum(r["_rows"] for r in changed)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,8 +19,24 @@ def daily_volume(df: DataFrame, day: Column, source: Column) -> DataFrame:
     )
 
 
-def volume_band(volume: DataFrame, tolerance: float, trailing: int = 7) -> DataFrame:
-    """Each day's rows against the mean of the days before; the first day passes."""
+def every_day(df: DataFrame, of: str, value: str, until: date | None = None) -> DataFrame:
+    """(of, day, value) with a row for each day from the first of each series to the last of all, 0 where none is.
+
+    ``until`` is a later last day, such as the day of the run. One row per series and day, never raw rows.
+    """
+    last = F.lit(until) if until else df.agg(F.max("day")).scalar()
+    days = df.groupBy(of).agg(F.min("day").alias("first")).filter(F.col("first") <= last)
+    spine = days.select(of, F.explode(F.sequence("first", last)).alias("day"))
+    zero = F.lit(0).cast(df.schema[value].dataType)
+    return spine.join(df.select(of, "day", value), [of, "day"], "left").withColumn(value, F.coalesce(value, zero))
+
+
+def volume_band(volume: DataFrame, tolerance: float, trailing: int = 7, until: date | None = None) -> DataFrame:
+    """Each day's rows against the mean of the days before; the first day passes.
+
+    A day without rows is a day with 0 rows, both as the day that is checked and in the mean of later ones.
+    """
+    volume = every_day(volume, "source", "row_count", until)
     by_day = Window.partitionBy("source").orderBy("day")
     before = by_day.rowsBetween(-trailing, -1)
     n, usual = F.col("row_count"), F.col("trailing_avg")
@@ -76,8 +94,9 @@ def schema_check(df: DataFrame, declared: T.StructType) -> DataFrame:
 def dq_anomaly(metrics: DataFrame, trailing: int = 7, limit: float = 3.0) -> DataFrame:
     """Each (metric, day, value) against the mean and spread of the days before.
 
-    ``metrics`` holds one row per day and metric, never raw rows.
+    ``metrics`` holds one row per day and metric, never raw rows. A day that a metric lacks counts as 0.
     """
+    metrics = every_day(metrics, "metric", "value")
     before = Window.partitionBy("metric").orderBy("day").rowsBetween(-trailing, -1)
     spread = F.stddev_pop("value").over(before)
     z = F.when(spread > 1e-9, (F.col("value") - F.avg("value").over(before)) / spread)

@@ -105,12 +105,17 @@ def portfolio_overview(loans: DataFrame) -> DataFrame:
 def expected_loss_share(
     scores: DataFrame, dim: DataFrame, segment: str = "credit_limit_band", score: str = "pd_xgboost"
 ) -> DataFrame:
-    """Expected loss (score times limit) per segment and its share of the book."""
+    """Expected loss (score times limit) per segment and its share of the book.
+
+    Losses are added as decimals, so the sums do not depend on task order.
+    """
+    loss = F.col(score).cast("decimal(18,12)") * F.col("credit_limit").cast("decimal(12,0)")
     limits = dim.select("client_id", segment, "credit_limit")
     per_segment = (
         scores.join(limits, "client_id")
         .groupBy(segment)
-        .agg(F.sum(F.col(score) * F.col("credit_limit")).alias("loss"))
+        .agg(F.sum(loss.cast("decimal(28,10)")).alias("total"))
+        .select(segment, F.col("total").cast("double").alias("loss"))
     )
     book = Window.partitionBy(F.lit(0))  # one row per segment
     return per_segment.select(

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.operators.checks import Check
+from lendscope.plans import contracts
 from lendscope.plans.gold import (
     dim_borrower,
     fct_payment_history,
@@ -17,6 +19,7 @@ from lendscope.plans.gold import (
     labelled_borrowers,
     mart_portfolio_risk,
 )
+from lendscope.plans.governance import governed_views
 from lendscope.plans.quality import (
     CLIENT_ROWS,
     dq_gate,
@@ -26,7 +29,7 @@ from lendscope.plans.quality import (
     mart_data_quality,
     run_id_of,
 )
-from lendscope.schemas import gold_contract, require_schema
+from lendscope.schemas import GOLD_CONTRACTS, gold_contract, require_schema
 from lendscope.sources.bronze import replace_partition
 
 PUBLISHED = T.StructType(
@@ -34,6 +37,7 @@ PUBLISHED = T.StructType(
         T.StructField("table_name", T.StringType()),
         T.StructField("path", T.StringType()),
         T.StructField("run_id", T.StringType()),
+        T.StructField("published_at", T.TimestampType()),
     ]
 )
 
@@ -49,24 +53,28 @@ def build_gold(clients: DataFrame) -> dict[str, DataFrame]:
 
 
 def write_versions(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, str]:
-    """Write each table to a folder of this run; nobody reads it yet.
+    """Write each table to a new folder; nobody reads it yet.
 
-    A table that breaks its column contract is not written at all.
+    A table that breaks its column contract is not written at all. The folder's name is new each time, so a repeated
+    run never touches what is published.
     """
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
-        require_schema(df, gold_contract(name))
+        if name in GOLD_CONTRACTS:
+            require_schema(df, gold_contract(name))
     paths = {}
     for name, df in tables.items():
-        paths[name] = f"{root}/marts/{name}/version={run_id}"
-        df.write.mode("overwrite").parquet(paths[name])
+        paths[name] = f"{root}/marts/{name}/version={version}"
+        df.write.parquet(paths[name])
     return paths
 
 
 def publish_dq_results(results: DataFrame, path: str) -> int:
     """Store a run's check rows; a repeated run replaces its own rows only."""
-    if results.isEmpty():
-        return 0
-    return replace_partition(results, path, "run_id")
+    rows = results.count()
+    if rows:
+        replace_partition(results, path, "run_id")
+    return rows
 
 
 def publish_gold(
@@ -77,30 +85,37 @@ def publish_gold(
     suites: Mapping[str, list[Check]] | None = None,
     client_rows: tuple[int, int] = CLIENT_ROWS,
     enforce: bool = True,
+    payments: DataFrame | None = None,
 ) -> dict[str, str]:
     """Build gold beside the published version, check it, then point to it.
 
-    Silver is stored once, so its dedupe runs once for the four tables. When a
-    blocking check fails the pointer is not moved and the last good version
-    stays in place; the check rows are kept either way.
+    Silver is stored once, so its dedupe runs once for all tables; with ``payments`` their silver and the role-scoped
+    views are published too. When a blocking check or a column test fails the pointer is not moved and the last good
+    version stays in place; the check rows are kept either way.
     """
     run_id = run_id_of(run_at)
-    silver_path = write_silver(clients, root, run_id)
-    paths = write_versions(build_gold(spark.read.parquet(silver_path)), root, run_id)
+    paths = write_versions({"stg_clients": clients}, root, run_id)
+    paths |= write_versions(build_gold(spark.read.parquet(paths["stg_clients"])), root, run_id)
+    if payments is not None:
+        paths |= write_versions({"stg_payments": payments}, root, run_id)
+        read = {n: spark.read.parquet(paths[n]) for n in ("dim_borrower", "stg_payments")}
+        paths |= write_versions(governed_views(read["dim_borrower"], read["stg_payments"]), root, run_id)
     written = {name: spark.read.parquet(path) for name, path in paths.items()}
     results = dq_results(dq_suite(written, suites or gold_suites(client_rows)), run_at)
     publish_dq_results(results, f"{root}/meta/dq_results")
     stored = spark.read.parquet(f"{root}/meta/dq_results").filter(F.col("run_id") == run_id)
     dq_gate(stored, enforce)
-    pointer = [(name, path, run_id) for name, path in paths.items()]
-    spark.createDataFrame(pointer, PUBLISHED).coalesce(1).write.mode("append").json(f"{root}/meta/published")
+    if enforce:
+        contracts.require_column_tests(written)
+    point_to(spark, paths, root, run_id)
     return paths
 
 
-def write_silver(clients: DataFrame, root: str, run_id: str) -> str:
-    path = f"{root}/staging/clients/version={run_id}"
-    clients.write.mode("overwrite").parquet(path)
-    return path
+def point_to(spark: SparkSession, paths: Mapping[str, str], root: str, run_id: str) -> None:
+    """From now on readers get these versions."""
+    moment = datetime.now(timezone.utc)
+    pointer = [(name, path, run_id, moment) for name, path in paths.items()]
+    spark.createDataFrame(pointer, PUBLISHED).coalesce(1).write.mode("append").json(f"{root}/meta/published")
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -111,7 +126,7 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
 def published_path(spark: SparkSession, root: str, name: str) -> str:
     """The folder of that version."""
     pointers = spark.read.schema(PUBLISHED).json(f"{root}/meta/published")
-    newest = pointers.filter(F.col("table_name") == name).agg(F.max_by("path", "run_id").alias("path")).first()
+    newest = pointers.filter(F.col("table_name") == name).agg(F.max_by("path", F.struct("run_id", "published_at")).alias("path")).first()
     if newest.path is None:
         raise LookupError(f"{name} was never published")
     return newest.path

@@ -80,11 +80,17 @@ def pd_vs_actual_by_band(scores: DataFrame, dim: DataFrame, score: str = "pd_xgb
 
 
 def top_risk_borrowers(scores: DataFrame, dim: DataFrame, score: str = "pd_xgboost", n: int = 15) -> DataFrame:
-    """The ``n`` borrowers of highest score; equal scores by client id."""
+    """The ``n`` borrowers of highest score; equal scores by client id.
+
+    Only ids meet first; the ``n`` rows that are left bring the segments in.
+    """
     segments = dim.select("client_id", "credit_limit_band", "age_band", "region")
+    order = [F.desc(score), F.col("client_id")]
+    known = scores.join(dim.select("client_id"), "client_id", "left_semi")
+    top = known.select("client_id", score, "is_default").orderBy(*order).limit(n)
     return (
-        scores.join(segments, "client_id")
-        .orderBy(F.desc(score), "client_id")
+        segments.join(F.broadcast(top), "client_id")
+        .orderBy(*order)
         .limit(n)
         .select(
             "client_id",

@@ -84,12 +84,12 @@ SOURCES = {
         warn_after=timedelta(hours=26),
         error_after=timedelta(hours=52),
     ),
-    # The tape brings its own columns; one partition per file.
-    "loan_tape": SourceSpec("raw.lending_club_loans", None, partition_by="_source_file"),
+    # The tape brings its own columns; one partition per delivery.
+    "loan_tape": SourceSpec("raw.lending_club_loans", None, partition_by="_delivery"),
 }
 
 
-# Contracts of the gold tables: names and types in order.
+# The contracts of the gold tables, names and types in order.
 GOLD_CONTRACTS = {
     "dim_borrower": (
         "client_id bigint, credit_limit int, sex_code int, sex string, education_code int, education_level string, "
@@ -137,10 +137,12 @@ def schema_differences(actual: T.StructType, declared: T.StructType) -> list[tup
 
 
 def require_schema(df: DataFrame, declared: T.StructType) -> DataFrame:
-    """The frame itself, or SchemaDrift when its columns are not the declared ones."""
+    """The frame itself, or SchemaDrift when its columns are not the declared ones in their order."""
     wrong = [d for d in schema_differences(df.schema, declared) if d[3] != "ok"]
     if wrong:
         raise SchemaDrift("; ".join(f"{n}: declared {w}, found {h}" for n, w, h, _ in wrong))
+    if df.columns != declared.names:
+        raise SchemaDrift(f"declared in the order {', '.join(declared.names)}, found {', '.join(df.columns)}")
     return df
 
 

@@ -18,12 +18,6 @@ SETTINGS = {
     # Feed files written with nanosecond timestamps are refused otherwise.
     "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Stream state on local disk instead of executor heap, saved as change logs.
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
@@ -31,11 +33,22 @@ def land_feed(df: DataFrame, base: str, key: str = "load_date") -> None:
     df.hint("rebalance", F.col(key)).write.mode("append").partitionBy(key).parquet(base)
 
 
-def replace_partition(df: DataFrame, path: str, key: str = "_load_date", **partition: str) -> int:
-    """Swap the partitions ``df`` holds, keep all others; rows of ``partition``.
+def replace_partition(df: DataFrame, path: str, key: str = "_load_date", **partition: str) -> int | None:
+    """Swap partitions and keep all others; re-running a load leaves the same table behind.
 
-    Re-running a load leaves the same table behind.
+    With ``partition``, a value of ``key``, that partition becomes exactly the rows of ``df``, also when there are
+    none; a row of another partition is an error. Returns their number and lists this folder only. Without it, every partition that ``df`` holds is swapped.
     """
+    if partition:
+        (column, value), *others = partition.items()
+        if column != key or others:
+            raise ValueError(f"{path} is partitioned by {key}")
+        folder = partition_folder(df.sparkSession, path, key, value)
+        own = F.col(key).cast("string").eqNullSafe(F.lit(str(value)))
+        other = F.raise_error(F.concat(F.lit(f"a row outside {key}={value}: "), F.col(key).cast("string")))
+        rows = df.filter(F.when(own, F.lit(True)).otherwise(other.cast("boolean"))).drop(key)
+        rows.hint("rebalance").write.mode("overwrite").parquet(folder)
+        return df.sparkSession.read.schema(rows.schema).parquet(folder).count()
     (
         df.hint("rebalance", F.col(key))
         .write.mode("overwrite")
@@ -43,14 +56,17 @@ def replace_partition(df: DataFrame, path: str, key: str = "_load_date", **parti
         .partitionBy(key)
         .parquet(path)
     )
-    stored = df.sparkSession.read.parquet(path)
-    for column, value in partition.items():
-        stored = stored.filter(F.col(column) == value)
-    return stored.count()
+    return None
+
+
+def partition_folder(spark: SparkSession, path: str, key: str, value: str) -> str:
+    """The folder of one partition, its name escaped as Spark's writers do."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{path}/{key}={escape(str(value))}"
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str]) -> None:
-    """Partition folders whose files are sorted by ``cluster_by``.
+    """Partition folders whose files are sorted by ``cluster_by``; replaces the whole table.
 
     Readers skip partitions by folder and row groups by their min and max.
     """
@@ -58,6 +74,7 @@ def write_clustered(df: DataFrame, path: str, partition_by: str, cluster_by: Seq
         df.hint("rebalance", F.col(partition_by))
         .sortWithinPartitions(partition_by, *cluster_by)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy(partition_by)
         .parquet(path)
     )
@@ -78,13 +95,17 @@ def load_source(
     bronze: str,
     loaded_at: datetime | None = None,
     extra_folders: tuple[str, ...] = (),
+    schema: T.StructType | None = None,
 ) -> int | None:
-    """Land → bronze for one source; None when nothing has landed."""
+    """Land → bronze for one source; None when nothing has landed.
+
+    ``schema`` declares the columns of a tape, which has none of its own.
+    """
     spec = SOURCES[name]
     target = f"{bronze}/{spec.table}"
     if name == "loan_tape":
-        path = find_loan_tape(spark, (landing, *extra_folders))
-        return None if path is None else load_tape(spark, path, target, loaded_at)
+        paths = find_loan_tape(spark, (landing, *extra_folders))
+        return load_tape(spark, paths, target, loaded_at, schema) if paths else None
 
     load_date = latest_partition(spark, landing)
     if load_date is None:
@@ -99,18 +120,21 @@ def load_source(
 
 def load_tape(
     spark: SparkSession,
-    path: str,
+    paths: str | Sequence[str],
     target: str,
     loaded_at: datetime | None = None,
     schema: T.StructType | None = None,
 ) -> int:
-    """One tape, a file or a folder of part files, to its own bronze partition.
+    """One tape, a folder or all its part files, to its own bronze partition.
 
-    A tape has no load date; the partition is the name of what was delivered.
+    A tape has no load date; the partition is where it was delivered, without the scheme. Each row keeps the
+    name of its file.
     """
-    name = path.rstrip("/").rsplit("/", 1)[1]
-    stamped = stamp_load_metadata(read_loan_tape(spark, path, schema), "1970-01-01", name, loaded_at)
-    return replace_partition(stamped, target, "_source_file", _source_file=name)
+    folder = paths.rstrip("/") if isinstance(paths, str) else os.path.commonpath([p.rpartition("/")[0] for p in paths])
+    delivery = re.sub("^[a-z0-9]+:/*", "/", folder)
+    rows = read_loan_tape(spark, paths, schema)
+    stamped = stamp_load_metadata(rows, "1970-01-01", loaded_at=loaded_at).withColumn("_delivery", F.lit(delivery))
+    return replace_partition(stamped, target, "_delivery", _delivery=delivery)
 
 
 def load_sources(spark: SparkSession, names: tuple[str, ...], landing: str, bronze: str) -> dict[str, int | None]:

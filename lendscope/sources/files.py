@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendscope.schemas import SchemaDrift, require_columns
+
 
 def _children(spark: SparkSession, path: str, recursive: bool = False) -> list[str]:
     """Paths below a folder from the cluster's own file system; [] if absent."""
@@ -25,6 +27,11 @@ def _children(spark: SparkSession, path: str, recursive: bool = False) -> list[s
     return found
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def latest_partition(spark: SparkSession, base: str, key: str = "load_date") -> str | None:
     """The last ``key=`` folder by name, or None. Lists one folder, opens no file."""
     marker = f"{key}="
@@ -38,24 +45,48 @@ def read_partition(spark: SparkSession, base: str, value: str, key: str = "load_
     return spark.read.parquet(f"{base}/{key}={value}")
 
 
+def _formats(paths: Sequence[str]) -> set[str]:
+    """The suffixes of data files; hidden and marker files do not count."""
+    names = [p.rsplit("/", 1)[-1] for p in paths]
+    return {s for s in ("csv", "parquet") for n in names if n.endswith(f".{s}") and n[0] not in "._"}
+
+
 def file_format(spark: SparkSession, path: str) -> str:
-    """``csv`` or ``parquet``, by the names of the files below a folder."""
-    names = [path, *_children(spark, path, recursive=True)]
-    return "csv" if any(n.endswith(".csv") for n in names) else "parquet"
+    """``csv`` or ``parquet``, by the names of the files below a folder; both at once are refused."""
+    found = _formats([path, *_children(spark, path, recursive=True)])
+    if len(found) > 1:
+        raise SchemaDrift(f"{path} holds CSV and Parquet files")
+    return found.pop() if found else "parquet"
 
 
 def read_clients(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The client file, Parquet or CSV.
+    """The client file, Parquet or CSV, with the declared columns in their order.
 
-    In the CSV export of the sheet a banner line precedes the column names;
-    neither has a number in the key column, which is how both are dropped.
+    In the CSV export of the sheet a banner line precedes the column names: both hold no number at all, which is how
+    both are dropped. A line of names that differs from the declared one, a line with too few or too many cells, a
+    row without a whole number as its key, and a cell that is no number are errors of the job that reads them.
     """
     if file_format(spark, path) == "parquet":
-        return spark.read.schema(schema).parquet(path)
+        found = require_columns(spark.read.parquet(path), schema)
+        return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).csv(path, header=False)
-    raw = raw.filter(F.col(schema.fields[0].name).rlike(r"^\s*-?\d+\s*$"))
-    return raw.select(*[F.trim(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in schema.fields])
+    raw = spark.read.schema(text).csv(path, header=False, mode="FAILFAST")
+    cells = F.array(*[F.trim(F.col(f"`{n}`")) for n in schema.names])
+    names = F.array(*[F.lit(n) for n in schema.names])
+    heading = ~F.exists(cells, lambda c: c.rlike(r"^[-+]?\d"))
+    drifted = heading & F.arrays_overlap(cells, names) & (cells != names)
+    rows = raw.filter(
+        F.when(drifted, F.raise_error(F.concat(F.lit("client columns are "), F.concat_ws(",", cells))).cast("boolean"))
+        .otherwise(~heading)
+    )
+    key = schema.fields[0].name
+    number = F.trim(F.col(f"`{key}`"))
+    checked = F.when(F.coalesce(number.rlike(r"^-?\d+$"), F.lit(False)), number).otherwise(
+        F.raise_error(F.concat(F.lit(f"client row without a number as {key}: "), F.concat_ws(",", cells)))
+    )
+    columns = [checked.cast(schema.fields[0].dataType).alias(key)]
+    columns += [F.trim(F.col(f"`{f.name}`")).cast(f.dataType).alias(f.name) for f in schema.fields[1:]]
+    return rows.select(*columns)
 
 
 def read_feed(df: DataFrame, column: str = "txn_ts") -> DataFrame:
@@ -69,27 +100,31 @@ def read_feed(df: DataFrame, column: str = "txn_ts") -> DataFrame:
     return df
 
 
-def find_loan_tape(spark: SparkSession, folders: Sequence[str]) -> str | None:
-    """The first tape file: folders in order, Parquet before CSV, then by name."""
+def find_loan_tape(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+    """Every part file of the tape: the first folder that holds any, Parquet before CSV, by name."""
     for folder in folders:
         paths = _children(spark, folder, recursive=True)
-        for suffix in (".parquet", ".csv"):
-            found = sorted(p for p in paths if p.endswith(suffix))
+        for suffix in ("parquet", "csv"):
+            found = sorted(p for p in paths if _formats([p]) == {suffix})
             if found:
-                return found[0]
-    return None
+                return found
+    return []
 
 
-def read_loan_tape(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The rows of a tape: one file, or a folder of part files of one delivery.
+def read_loan_tape(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """The rows of a tape: its part files, or a folder of them.
 
     Without a declared schema a CSV is read twice, once for its types.
     """
-    if file_format(spark, path) == "parquet":
-        return spark.read.parquet(path)
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = {file_format(spark, paths[0])} if len(paths) == 1 else _formats(paths)
+    if found == {"parquet"}:
+        return spark.read.parquet(*paths) if schema is None else spark.read.schema(schema).parquet(*paths)
+    if len(found) > 1:
+        raise SchemaDrift("a tape of CSV and Parquet files")
     if schema is not None:
-        return spark.read.schema(schema).csv(path, header=True)
-    return spark.read.csv(path, header=True, inferSchema=True)
+        return spark.read.schema(schema).csv(paths, header=True, enforceSchema=False)
+    return spark.read.csv(paths, header=True, inferSchema=True)
 
 
 def stamp_load_metadata(

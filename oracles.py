@@ -10,6 +10,7 @@ from __future__ import annotations
 from lendscope import bridge
 
 M = range(1, 7)
+STREAM_CUT, STREAM_DELAY = "1996-01-01", "120 days"
 TIME = "timestamp '2024-01-31 01:00:00'"
 
 
@@ -60,11 +61,10 @@ CTES = {
             s.education_code, coalesce(e.label, 'other_unknown') as education_level,
             s.marriage_code, coalesce(w.label, 'unknown') as marital_status,
             s.age,
-            (['<30', '30-39', '40-49', '50-59', '60+'])[
-                1 + (age >= 30)::int + (age >= 40)::int + (age >= 50)::int + (age >= 60)::int] as age_band,
-            (['<50k', '50k-150k', '150k-300k', '300k+'])[
-                1 + (credit_limit >= 50000)::int + (credit_limit >= 150000)::int + (credit_limit >= 300000)::int
-            ] as credit_limit_band,
+            case when age < 30 then '<30' when age < 40 then '30-39' when age < 50 then '40-49'
+                when age < 60 then '50-59' else '60+' end as age_band,
+            case when credit_limit < 50000 then '<50k' when credit_limit < 150000 then '50k-150k'
+                when credit_limit < 300000 then '150k-300k' else '300k+' end as credit_limit_band,
             (['north', 'south', 'east', 'west'])[1 + client_id % 4] as region
         from stg s
         left join (values (1, 'male'), (2, 'female')) x(code, label) on x.code = s.sex_code
@@ -74,7 +74,7 @@ CTES = {
     "lab": "select d.*, s.is_default from dim d join stg s using (client_id)",
     "fact": f"""
         select md5(concat(client_id, '-', month_index)) as payment_history_id, client_id, month_index, repay_status,
-            repay_status >= 1 as is_delinquent, bill_amt, pay_amt,
+            repay_status > 0 as is_delinquent, bill_amt, pay_amt,
             if(credit_limit > 0, round(bill_amt / credit_limit, 4), null) as utilization
         from (
             select client_id, credit_limit, unnest([1, 2, 3, 4, 5, 6]) as month_index,
@@ -362,9 +362,14 @@ KS = """
         from test_scores window w as (partition by model order by score desc range unbounded preceding)
     ) group by model"""
 METRICS = f"""
-    select model, round_even(auc, 4) as auc, round_even(ks, 4) as ks, round_even(brier, 4) as brier
+    select model, round_even(auc, 4) as auc, round_even(ks, 4) as ks, round_even(brier, 4) as brier,
+        n_scored, n_unscored
     from ({RANK_AUC}) join ({KS}) using (model)
-    join (select model, avg((score - label) ** 2) as brier from test_scores group by model) using (model)"""
+    join (
+        select model, avg((score - label) ** 2) as brier, count(score) as n_scored,
+            count(*) - count(score) as n_unscored
+        from test_scores group by model
+    ) using (model)"""
 
 
 def _calibration(model: str, column: str) -> str:
@@ -458,6 +463,54 @@ def _schema_rows() -> str:
 SCD2 = "credit_limit, sex_code, education_code, marriage_code, age"
 
 
+def _volume_band(events: str) -> str:
+    return f"""
+            with counted as (select event_type as source, ts::date as day, count(*) as n from {events} e group by 1, 2),
+            spine as (
+                select source, unnest(generate_series(min(day)::timestamp, (select max(day) from counted)::timestamp,
+                    interval 1 day))::date as day
+                from counted group by source
+            ),
+            daily as (
+                select source, day, coalesce(n, 0)::bigint as row_count from spine left join counted using (source, day)
+            ),
+            usual as (
+                select *, avg(row_count) over (partition by source order by day rows between 7 preceding and 1 preceding)
+                        as mean_before,
+                    row_count - lag(row_count) over (partition by source order by day) as row_delta
+                from daily
+            )
+            select source, day, row_count, round(mean_before, 4) as trailing_avg, row_delta,
+                coalesce(abs(row_count - mean_before) <= mean_before * 0.15::double, true) as within_band
+            from usual"""
+
+
+DAILY_RUN = """
+    with n as (select count(*) as clients from customer), e as (select count(*) as payments from events)
+    select * from (
+        select unnest([
+            {'table_name': 'stg_clients', 'row_count': clients}, {'table_name': 'dim_borrower', 'row_count': clients},
+            {'table_name': 'stg_payments', 'row_count': newest}, {'table_name': 'gov_payments_analyst', 'row_count': newest},
+            {'table_name': 'fct_payment_history', 'row_count': 6 * clients},
+            {'table_name': 'feature_default_prediction', 'row_count': clients},
+            {'table_name': 'gov_borrower_analyst', 'row_count': clients},
+            {'table_name': 'gov_borrower_risk_analyst', 'row_count': clients},
+            {'table_name': 'gov_borrower_regional', 'row_count': west},
+            {'table_name': 'model_scores', 'row_count': clients}, {'table_name': 'scores_in_range', 'row_count': clients},
+            {'table_name': 'test_rows', 'row_count': ceil(clients * 0.25)::bigint},
+            {'table_name': 'model_calibration', 'row_count': 20}, {'table_name': 'model_segments', 'row_count': bands},
+            {'table_name': 'model_split', 'row_count': 4}, {'table_name': 'useful_models', 'row_count': 2},
+            {'table_name': 'dq_results', 'row_count': 18}, {'table_name': 'manifest_sources', 'row_count': 3}
+        ], recursive := true)
+        from n, (select count(*) as newest from events where ts::date = (select max(ts::date) from events)),
+            (select count(*) as west from customer where c_custkey % 4 = 3),
+            (select count(distinct case when floor(abs(c_acctbal))::int * 50 < 50000 then 1
+                when floor(abs(c_acctbal))::int * 50 < 150000 then 2
+                when floor(abs(c_acctbal))::int * 50 < 300000 then 3 else 4 end) as bands from customer)
+    )
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     stamps = f"date '2024-01-31' as _load_date, {TIME} as _loaded_at"
     raw_columns = ", ".join(
@@ -488,7 +541,7 @@ def oracle_sql() -> dict[str, str]:
             select event_id::varchar as txn_id, value * if(ts >= timestamp '2024-01-26', 2, 1) as amount,
                 ts::date as _load_date from events""",
         "table_inventory": _union(
-            f"select '{t}' as table_name, count(*) as row_count from {t}" for t in bridge.TABLES
+            f"select '{t}' as table_name, count(*) as row_count from {t}" for t in bridge.GIVEN
         ),
         "publish_dq_results": _with("feat dim mart", results),
         "stg_clients": _with(
@@ -745,7 +798,41 @@ def oracle_sql() -> dict[str, str]:
         "ingest_events_stream": _with(
             "feed", "select txn_id, borrower_id, txn_ts, amount, load_date as _load_date from feed"
         ),
-        "dedupe_events_stream": _with("raw_pay", "select distinct txn_id, borrower_id from raw_pay"),
+        "ingest_two_streams": _with(
+            "feed", "select txn_id, borrower_id, txn_ts, amount, load_date as _load_date from feed"
+        ),
+        "reload_empty_day": _with(
+            "feed",
+            """select load_date as _load_date, count(*) as row_count from feed
+            where load_date = (select max(load_date) from feed where load_date < (select max(load_date) from feed))
+            group by 1""",
+        ),
+        "refused_client_files": """
+            select * from (values ('whole', false), ('bad_key', true), ('empty_key', true), ('short_rows', true),
+                ('one_column', true)) t(file, refused)
+            where (select count(*) from customer) > 0""",
+        # The first batch is what lies before the cut; its newest event, less the delay, is the watermark.
+        "dedupe_events_stream": _with(
+            "raw_pay",
+            f"""with rows as (
+                select txn_id, borrower_id, txn_ts, amount, txn_ts < date '{STREAM_CUT}' as early,
+                    split_part(txn_id, '-', 1)::bigint % 5 = 0 as repeated
+                from raw_pay
+            ), one as (
+                select txn_id, borrower_id, txn_ts, amount from rows where early
+                qualify row_number() over (partition by txn_id order by txn_ts, borrower_id, amount) = 1
+            ), mark as (select max(txn_ts) - interval {STREAM_DELAY} as horizon from one),
+            two as (
+                select txn_id, borrower_id, txn_ts, amount from rows, mark
+                where (not early or repeated) and txn_ts >= horizon
+                    and txn_id not in (select txn_id from one, mark where txn_ts >= date_trunc('month', horizon))
+                qualify row_number() over (partition by txn_id order by txn_ts, borrower_id, amount) = 1
+            )
+            select *, false as is_late from one
+            union all select *, false from two
+            union all select txn_id, borrower_id, txn_ts, amount, true from rows, mark
+                where repeated and early and txn_ts < horizon""",
+        ),
         "clean_loan_tape": _with("tape", "select * from tape"),
         "clustered_layout": _with("tape", "select * from tape"),
         "scd2_snapshot": _with(
@@ -815,17 +902,14 @@ def oracle_sql() -> dict[str, str]:
             status, status = 'POSTED' as is_posted from pay""",
         ),
         "incremental_fact": _with("feed", "select txn_id, borrower_id, amount, load_date from feed"),
-        "volume_band": """
-            with daily as (select event_type as source, ts::date as day, count(*) as row_count from events group by 1, 2),
-            usual as (
-                select *, avg(row_count) over (partition by source order by day rows between 7 preceding and 1 preceding)
-                        as mean_before,
-                    row_count - lag(row_count) over (partition by source order by day) as row_delta
-                from daily
-            )
-            select source, day, row_count, round(mean_before, 4) as trailing_avg, row_delta,
-                coalesce(abs(row_count - mean_before) <= mean_before * 0.15::double, true) as within_band
-            from usual""",
+        "volume_band": _volume_band("events"),
+        "volume_band_gap": _volume_band(
+            "(select * from events where event_type = 'error' or day(ts) not in (10, 11, 12))"
+        ),
+        "stale_feed": """select * from (values (1, 'pass'), (40, 'warn'), (720, 'refused')) t(hours, status)
+            where (select count(*) from events) > 0""",
+        "repeated_publish": _with("dim", "select client_id, age, true as refused from dim"),
+        "daily_run": DAILY_RUN,
         "schema_check": _with("raw_pay", _schema_rows()),
         "null_rate": _with("feat", _null_rates()),
         "portfolio_overview": _with(

@@ -58,9 +58,33 @@ def test_a_feed_with_other_columns_is_refused(spark, tmp_path):
 def test_replacing_keeps_other_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(6).selectExpr("id", "concat('p', id % 3) as part")
-    assert bronze.replace_partition(rows, path, "part", part="p1") == 2
+    bronze.replace_partition(rows, path, "part")
     assert bronze.replace_partition(rows.filter("id = 4"), path, "part", part="p1") == 1
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 3, 4, 5]
+    assert bronze.replace_partition(rows.filter("id < 0"), path, "part", part="p1") == 0
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 2, 3, 5]
+    assert bronze.replace_partition(rows.filter("id = 1"), path, "part", part="p1") == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 5]
+    with pytest.raises(Exception, match="a row outside part=p1"):
+        bronze.replace_partition(rows, path, "part", part="p1")
+
+
+def test_an_empty_reload_empties_its_day(spark, tmp_path):
+    landing, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    day = feed_rows(spark, date(2024, 3, 1), ["a", "b"])
+    bronze.land_feed(day, landing)
+    assert bronze.load_source(spark, "transactions", landing, raw, AT) == 2
+    day.limit(0).drop("load_date").write.mode("overwrite").parquet(f"{landing}/load_date=2024-03-01")
+    assert bronze.load_source(spark, "transactions", landing, raw, AT) == 0
+    assert spark.read.parquet(f"{raw}/{SOURCES['transactions'].table}").count() == 0
+
+
+def test_a_clustered_rewrite_leaves_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loans = spark.range(4).selectExpr("id", "if(id = 1, 'late', 'current') as status")
+    bronze.write_clustered(loans, path, "status", ["id"])
+    bronze.write_clustered(loans.selectExpr("id", "'current' as status"), path, "status", ["id"])
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3]
 
 
 def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
@@ -98,19 +122,62 @@ def test_client_file_as_parquet(spark, tmp_path):
     assert tuple(files.read_clients(spark, path, RAW_CLIENTS).first()) == row
 
 
-def test_the_first_tape_is_loaded(spark, tmp_path):
+def sheet(tmp_path, *lines):
+    part = tmp_path / "clients" / "load_date=2024-03-01"
+    part.mkdir(parents=True, exist_ok=True)
+    (part / "sheet.csv").write_text("\n".join(lines))
+    return str(part)
+
+
+def client_line(key):
+    return f"{key},20000,2,2,1,24,2,2,-1,-1,-2,-2," + ",".join(["3913.5"] * 6 + ["0"] * 6) + ",1"
+
+
+@pytest.mark.parametrize("key", ["2a", "", "x"])
+def test_a_malformed_client_row_is_an_error(spark, tmp_path, key):
+    path = sheet(tmp_path, ",".join(RAW_CLIENTS.names), client_line(1), client_line(key), client_line(3))
+    with pytest.raises(Exception, match="client row without a number as ID"):
+        files.read_clients(spark, path, RAW_CLIENTS).collect()
+
+
+def test_reordered_or_missing_client_columns_are_refused(spark, tmp_path):
+    names = list(RAW_CLIENTS.names)
+    names[1], names[2] = names[2], names[1]
+    path = sheet(tmp_path, ",".join(names), client_line(1))
+    with pytest.raises(Exception, match="client columns are"):
+        files.read_clients(spark, path, RAW_CLIENTS).collect()
+    path = sheet(tmp_path, client_line(1), client_line(2).rpartition(",")[0])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_clients(spark, path, RAW_CLIENTS).collect()
+    only = str(tmp_path / "only")
+    spark.createDataFrame([(1,)], "ID long").write.parquet(only)
+    with pytest.raises(SchemaDrift, match="LIMIT_BAL: missing"):
+        files.read_clients(spark, only, RAW_CLIENTS)
+    (tmp_path / "only" / "more.csv").write_text("1")
+    with pytest.raises(SchemaDrift, match="CSV and Parquet"):
+        files.read_clients(spark, only, RAW_CLIENTS)
+
+
+def test_a_whole_tape_is_loaded(spark, tmp_path):
     first, second = tmp_path / "a", tmp_path / "b"
     raw = str(tmp_path / "raw")
     assert bronze.load_source(spark, "loan_tape", str(first), raw, extra_folders=(str(second),)) is None
     second.mkdir()
     (second / "z.csv").write_text("loan_id,amount\n1,2.5\n2,3.5\n")
     (second / "a.csv").write_text("loan_id,amount\n9,9.5\n")
-    assert files.find_loan_tape(spark, [str(first), str(second)]).endswith("a.csv")
-    assert bronze.load_source(spark, "loan_tape", str(first), raw, extra_folders=(str(second),)) == 1
-    pq.write_table(pa.table({"loan_id": [5, 6, 7]}), second / "y.parquet")
-    assert files.find_loan_tape(spark, [str(first), str(second)]).endswith("y.parquet")
+    assert [p[-5:] for p in files.find_loan_tape(spark, [str(first), str(second)])] == ["a.csv", "z.csv"]
+    assert bronze.load_source(spark, "loan_tape", str(first), raw, extra_folders=(str(second),)) == 3
+    assert bronze.load_source(spark, "loan_tape", str(first), raw, extra_folders=(str(second),)) == 3
     stored = spark.read.parquet(f"{raw}/raw.lending_club_loans")
-    assert [(r.loan_id, r._source_file, r._load_date) for r in stored.collect()] == [(9, "a.csv", date(1970, 1, 1))]
+    assert sorted((r.loan_id, r._source_file) for r in stored.collect()) == [(1, "z.csv"), (2, "z.csv"), (9, "a.csv")]
+    assert {r._delivery for r in stored.collect()} == {str(second)}
+    third = tmp_path / "c" / "b"
+    third.mkdir(parents=True)
+    (third / "a.csv").write_text("loan_id,amount\n5,1.5\n")
+    assert bronze.load_source(spark, "loan_tape", str(third), raw) == 1
+    assert spark.read.parquet(f"{raw}/raw.lending_club_loans").count() == 4
+    pq.write_table(pa.table({"loan_id": [5, 6, 7]}), second / "y.parquet")
+    assert files.find_loan_tape(spark, [str(first), str(second)])[0].endswith("y.parquet")
     folder = tmp_path / "delivery"
     spark.range(40).repartition(4).write.csv(str(folder), header=True)
     assert bronze.load_tape(spark, str(folder), str(tmp_path / "tapes"), AT) == 40
@@ -157,20 +224,51 @@ def test_every_landed_file_is_ingested_once(spark, tmp_path):
         ("b", date(2024, 3, 1)),
         ("c", date(2024, 3, 2)),
     ]
+    assert (tmp_path / "bronze" / "_load_date=2024-03-02").is_dir()
+
+
+def test_streams_share_a_table(spark, tmp_path):
+    target = str(tmp_path / "bronze")
+    for name, keys in (("a", ["a1", "a2", "a3"]), ("b", ["b1", "b2"])):
+        landing = str(tmp_path / name / "landing")
+        bronze.land_feed(feed_rows(spark, date(2024, 3, 1), keys), landing)
+        schema = spark.read.parquet(landing).schema
+        feed.ingest_stream(feed.read_landed(spark, landing, schema), target, str(tmp_path / name / "state")).awaitTermination()
+    # A reset checkpoint reads everything again and overwrites nothing.
+    feed.ingest_stream(feed.read_landed(spark, landing, schema), target, str(tmp_path / "b" / "again")).awaitTermination()
+    found = [r.txn_id for r in spark.read.parquet(target).collect()]
+    assert sorted(found) == ["a1", "a2", "a3", "b1", "b1", "b2", "b2"]
+
+
+def dedupe(spark, landing, schema, target, state, delay="1 day"):
+    landed = feed.read_landed(spark, landing, schema)
+    feed.dedupe_stream(landed, target, state, "txn_id", "txn_ts", delay).awaitTermination()
 
 
 def test_stream_keeps_one_row_per_key_across_batches(spark, tmp_path):
     landing, target, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
     day = date(2024, 3, 1)
-    bronze.land_feed(feed_rows(spark, day, ["hot"] * 50 + ["a"], 1.0), landing)
+    bronze.land_feed(feed_rows(spark, day, ["hot"] * 50 + ["a", None, None], 1.0), landing)
     schema = spark.read.parquet(landing).schema
-    for keys in ([], ["hot", "a", "b"]):
+    for keys in ([], ["hot", "a", "b", None]):
         if keys:
             bronze.land_feed(feed_rows(spark, day, keys, 2.0), landing)
-        once = feed.dedupe_stream(feed.read_landed(spark, landing, schema), "txn_id", "txn_ts", "1 day")
-        feed.append_stream(once, target, state).awaitTermination()
+        dedupe(spark, landing, schema, target, state)
     found = spark.read.parquet(target)
-    assert sorted((r.txn_id, r.amount) for r in found.collect()) == [("a", 1.0), ("b", 2.0), ("hot", 1.0)]
+    assert sorted((str(r.txn_id), r.amount) for r in found.collect()) == [
+        ("None", 1.0), ("None", 1.0), ("None", 2.0), ("a", 1.0), ("b", 2.0), ("hot", 1.0)
+    ]
+
+
+def test_the_watermark_evicts_keys_and_sets_late_rows_aside(spark, tmp_path):
+    landing, target, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
+    steps = [(1, ["old"]), (9, ["mid"]), (10, ["new", "mid"]), (2, ["old", "other"])]
+    for day, keys in steps:
+        bronze.land_feed(feed_rows(spark, date(2024, 3, day), keys), landing)
+        schema = spark.read.parquet(landing).schema
+        dedupe(spark, landing, schema, target, state, "3 days")
+    assert sorted(r.txn_id for r in spark.read.parquet(target).collect()) == ["mid", "new", "old"]
+    assert sorted(r.txn_id for r in spark.read.parquet(target + "_late").collect()) == ["old", "other"]
 
 
 def snapshot(spark, *rows):
@@ -196,13 +294,16 @@ def test_history_opens_closes_and_keeps(spark):
     )
 
 
-def test_increments_write_new_days_only(spark, tmp_path):
+def test_increments_write_new_and_late_days(spark, tmp_path):
     path = str(tmp_path / "fact")
     days = spark.range(5).selectExpr("id", "date_add(date'2024-01-01', cast(id as int)) as day")
     assert history.incremental_fact(days.filter("id < 3"), path, "day") == 3
     assert history.incremental_fact(days, path, "day") == 3
     assert history.incremental_fact(days, path, "day") == 1
     assert spark.read.parquet(path).count() == 5
+    late = days.unionByName(spark.sql("select 77L as id, date'2024-01-02' as day"))
+    assert history.incremental_fact(late, path, "day") == 3
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 77]
 
 
 def test_stamp_uses_the_file_of_each_row(spark, tmp_path):
