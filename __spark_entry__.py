@@ -418,19 +418,106 @@ def one_hot(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# A fitted model must rank test rows better than this.
+AUC_FLOOR = 0.5
+
+
+def _checked(scores: DataFrame, name: str) -> DataFrame:
+    """Scores as what an oracle can state: every row once, a probability, and a model that separates test rows."""
+    column = dict(model.MODELS)[name]
+    stored = _stored(scores.sparkSession, scores, "scores")
+    long = metrics.long_scores(stored.filter("is_test"), [(name, column)])
+    auc = metrics.rank_metrics(metrics.roc_points(long)).first().auc
+    valid = F.coalesce((F.col(column) > 0) & (F.col(column) < 1), F.lit(False))
+    return stored.select(
+        "client_id", "is_default", "is_test", valid.alias("is_probability"), F.lit(auc > AUC_FLOOR).alias("separates")
+    )
+
+
+def logreg_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Slope of the penalised loss at the fitted logistic model, by coefficient; all 0 at the optimum.
+
+    Position -1 is the intercept, whose slope is mean score less mean label.
+    """
+    parted = model.split(_feature_table(spark, sf))
+    train = _stored(spark, parted.filter(~F.col("is_test")), "train")
+    fitted = model.fit_models(train, only=("logreg",))["logreg"]
+    weights = [float(w) for w in fitted.stages[-1].coefficients]
+    scored = fitted.transform(train)
+    miss = vector_to_array("probability")[1] - F.col(model.TARGET)
+    slopes = scored.select(miss.alias("miss"), F.posexplode(vector_to_array("features")).alias("position", "x"))
+    by_position = slopes.groupBy("position").agg(F.avg(F.col("miss") * F.col("x")).alias("slope"))
+    pull = F.get(F.array(*[F.lit(w) for w in weights]), F.col("position")) / F.lit(train.count())
+    whole = by_position.select("position", (F.col("slope") + pull).alias("slope")).unionByName(
+        scored.select(F.lit(-1).alias("position"), miss.alias("slope")).groupBy("position").agg(F.avg("slope").alias("slope"))
+    )
+    return whole.select("position", (F.abs("slope") < 1e-6).alias("is_zero"))
+
+
+def split_report(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.split_report(bridge.model_scores(spark, sf), model.MODELS)
+
+
+def published_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics record as it is read back."""
+    path = scratch_path(spark, "metrics")
+    table = metrics.model_metrics(_test_scores(spark, sf))
+    publish.write_metrics(table, metrics.champion_model(table, [n for n, _ in model.MODELS]), path)
+    record = spark.read.json(path)
+    rows = [
+        record.select(F.lit(name).alias("model"), f"models.{name}.*", (F.col("champion") == name).alias("is_champion"))
+        for name, _ in model.MODELS
+    ]
+    return rows[0].unionByName(rows[1])
+
+
+def catalog_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table and a view, made, replaced and read whole."""
+    base = scratch_path(spark, "catalog")
+    database = "q_" + base.rsplit("-", 1)[1]
+    spark.sql(f"create database {database} location '{base}'")
+    table, dim = f"{database}.borrowers", _dim(spark, sf).select("client_id", "region")
+    before = bronze.table_exists(spark, table)
+    publish.write_table(dim.filter("client_id % 2 = 0"), table)
+    publish.write_table(dim, table)
+    publish.create_view(spark.table(table), f"{database}_view")
+    rows = bronze.catalog_inventory(spark, database).filter("table_name = 'borrowers'").first().row_count
+    return spark.table(f"{database}_view").select(
+        "*", F.lit(before).alias("before"), F.lit(bronze.table_exists(spark, table)).alias("after"), F.lit(rows).alias("rows")
+    )
+
+
+def load_chosen_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the chosen sources the landed one is loaded and the absent one skipped."""
+    landing, raw = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    bronze.land_feed(bridge.feed(spark, sf), f"{landing}/transactions")
+    loaded = bronze.load_sources(spark, ("clients", "transactions"), landing, raw)
+    return spark.createDataFrame(list(loaded.items()), "source string, row_count long")
+
+
 def _score_one(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         parted = model.split(_feature_table(spark, sf))
         fitted = model.fit_models(parted.filter(~F.col("is_test")), only=(name,))
         output = dict(model.MODELS)[name]
-        return model.score(parted, fitted[name], output).select("client_id", output, "is_default", "is_test")
+        scored = model.score(parted, fitted[name], output).select("client_id", output, "is_default", "is_test")
+        return _checked(scored, name)
 
     return run
 
 
 def model_scores(spark: SparkSession, sf: str) -> DataFrame:
     parted = model.split(_feature_table(spark, sf))
-    return model.model_scores(parted, model.fit_models(parted.filter(~F.col("is_test"))))
+    fitted = model.fit_models(parted.filter(~F.col("is_test")))
+    path = scratch_path(spark, "models")
+    model.save_models(fitted, path)
+    scores = _stored(spark, model.model_scores(parted, fitted), "scores")
+    again = model.model_scores(parted, model.load_models(path))
+    # Reloaded pipelines give the same scores.
+    same = [F.col(f"b.{c}") == F.col(f"a.{c}") for _, c in model.MODELS]
+    model.require_valid_scores(scores)
+    joined = scores.alias("a").join(again.alias("b"), "client_id")
+    return joined.select("client_id", "a.is_default", "a.is_test", (same[0] & same[1]).alias("same_after_reload"))
 
 
 def score_test_flag(spark: SparkSession, sf: str) -> DataFrame:
@@ -761,6 +848,11 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_gbt": _score_one("xgboost"),
         "model_scores": model_scores,
         "score_test_flag": score_test_flag,
+        "logreg_optimality": logreg_optimality,
+        "split_report": split_report,
+        "published_metrics": published_metrics,
+        "catalog_roundtrip": catalog_roundtrip,
+        "load_chosen_sources": load_chosen_sources,
         "roc_points": lambda s, sf: metrics.roc_points(_test_scores(s, sf)),
         "auc": _rank_metric("auc"),
         "ks": _rank_metric("ks"),

@@ -17,8 +17,9 @@ from lendscope.session import ensure_checkpoint_dir
 
 ID, TARGET = "client_id", "is_default"
 TEST_SHARE, SEED = 0.25, 42
-# Boosted trees draw their rows by partition, so the number of partitions is part of the model.
-FIT_PARTITIONS = 16
+# Boosted trees draw their rows by partition, so the number of partitions is part of the model and does not follow
+# the input. Set it to the cores of the cluster.
+FIT_PARTITIONS = 4
 
 # The features of the published models.
 NUMERIC_FEATURES = (
@@ -64,14 +65,19 @@ def boosted_trees(rounds: int = 300) -> GBTClassifier:
     )
 
 
-def fit_models(train: DataFrame, rounds: int = 300, only: tuple[str, ...] = ("logreg", "xgboost")) -> dict[str, PipelineModel]:
+def fit_models(
+    train: DataFrame,
+    rounds: int = 300,
+    only: tuple[str, ...] = ("logreg", "xgboost"),
+    partitions: int = FIT_PARTITIONS,
+) -> dict[str, PipelineModel]:
     """Fitted pipelines by model name; neither rebalances the classes."""
     ensure_checkpoint_dir(train.sparkSession)
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     prepared = None
     try:
         prep = fit_preprocessor(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
-        spread = train.repartition(FIT_PARTITIONS, F.xxhash64(ID)).sortWithinPartitions(ID)
+        spread = train.repartition(partitions, F.xxhash64(ID)).sortWithinPartitions(ID)
         prepared = prep.transform(spread).select(TARGET, "features").persist(StorageLevel.MEMORY_AND_DISK)
         rows = prepared.count()
         makers = {"logreg": lambda: logistic_regression(rows), "xgboost": lambda: boosted_trees(rounds)}

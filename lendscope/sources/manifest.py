@@ -13,17 +13,36 @@ from pyspark.sql import functions as F
 
 _CHUNK = 1 << 20
 
+# Schemes that Spark knows under another name than the reader of the tasks.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "file": "file", "s3": "s3"}
+
+
+class UnknownStore(ValueError):
+    """A path whose files the tasks cannot open."""
+
+
+def store_uri(path: str) -> str:
+    """The path as the tasks' reader names it; an unknown store is refused."""
+    scheme, mark, rest = path.partition("://")
+    if not mark:
+        scheme, mark, rest = "file", "://", "/" + path.removeprefix("file:").lstrip("/")
+    if scheme not in _SCHEMES:
+        raise UnknownStore(f"{path}: cannot hash files of {scheme}://")
+    return f"{_SCHEMES[scheme]}://{rest}"
+
 
 def _hasher(chunk: int = _CHUNK):
     """The function a task runs; nested, so it ships by value to the executors."""
 
+    named = store_uri
+
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
         for batch in batches:
             found = []
             for path in batch["path"]:
-                store, inner = fs.FileSystem.from_uri(quote(path, safe=":/"))
+                store, inner = fs.FileSystem.from_uri(quote(named(path), safe=":/"))
                 digest = hashlib.sha256()
                 with store.open_input_stream(inner) as stream:
                     while data := stream.read(chunk):
@@ -48,6 +67,7 @@ def file_manifest(
     task runs, so a file larger than memory is no problem. ``rows`` is the
     scan of the same files; without it the row count is NULL.
     """
+    store_uri(path)
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")

@@ -10,6 +10,9 @@ from __future__ import annotations
 from lendscope import bridge
 
 M = range(1, 7)
+# Where the given tables lie when results are compared; file sizes and digests are read there.
+GIVEN_DIR = "/root/testdata/sf0.01"
+
 STREAM_CUT, STREAM_DELAY = "1996-01-01", "120 days"
 TIME = "timestamp '2024-01-31 01:00:00'"
 
@@ -521,6 +524,22 @@ def oracle_sql() -> dict[str, str]:
         + ['"default payment next month"::int as "default payment next month"']
     )
     results = _results()
+    found = _oracles(stamps, raw_columns, results)
+    split = found["stratified_split"]
+    valid = f"select client_id, is_default, is_test, true as is_probability, true as separates from ({split})"
+    found |= {"score_logreg": valid, "score_gbt": valid}
+    found["model_scores"] = f"select client_id, is_default, is_test, true as same_after_reload from ({split})"
+    codes = "sex_code education_code marriage_code age_band credit_limit_band".split()
+    known = " + ".join(f"(select count(distinct {c}) from train)" for c in codes)
+    found["logreg_optimality"] = _with(
+        "feat",
+        f"""with train as (select * from feat where client_id in (select client_id from ({split}) where not is_test))
+        select unnest(generate_series(-1, (8 + {known})::int))::int as position, true as is_zero""",
+    )
+    return found
+
+
+def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
     return {
         "load_clients": _with("raw_one", f"select {raw_columns}, {stamps} from raw_one"),
         "load_transactions": _with(
@@ -786,6 +805,38 @@ def oracle_sql() -> dict[str, str]:
             + _calibration("xgboost", "pd_xgboost"),
         ),
         "model_metrics": _with("test_scores", METRICS),
+        "published_metrics": _with(
+            "test_scores",
+            f"""with m as ({METRICS}) select model, auc, ks, brier,
+                row_number() over (order by auc desc, model) = 1 as is_champion from m""",
+        ),
+        "split_report": _with(
+            "scores",
+            """with long as (
+                select 'logreg' as model, pd_logreg as score, is_default as label, is_test from scores
+                union all select 'xgboost', pd_xgboost, is_default, is_test from scores
+            ), ranked as (
+                select *, rank() over (partition by model, is_test order by score)
+                    + (count(*) over (partition by model, is_test, score) - 1) / 2 as place from long
+            )
+            select model, if(is_test, 'test', 'train') as side, count(*) as n, round_even(avg(label), 4) as mean_label,
+                round_even((sum(if(label = 1, place, 0)) - sum(label) * (sum(label) + 1) / 2)
+                    / (sum(label)::double * sum(1 - label)), 4) as auc
+            from ranked group by model, is_test""",
+        ),
+        "catalog_roundtrip": _with(
+            "dim",
+            """select client_id, region, false as before, true as after, (select count(*) from dim) as rows from dim""",
+        ),
+        "load_chosen_sources": """
+            select 'clients' as source, null::bigint as row_count
+            union all select 'transactions', count(*) from events where ts::date = (select max(ts::date) from events)""",
+        "file_manifest": _union(
+            f"""select '{t}' as source, '{t}.parquet' as data_file, 'given' as origin,
+                (select count(*) from {t}) as row_count, size as byte_size, sha256(content) as sha256,
+                {TIME} as loaded_at from read_blob('{GIVEN_DIR}/{t}.parquet')"""
+            for t in bridge.GIVEN
+        ),
         "champion_model": _with(
             "test_scores", f"select model, auc from ({METRICS}) order by auc desc, model limit 1"
         ),

@@ -8,7 +8,6 @@ from tools.compare import compare, connect
 
 QUERIES = driver.library_queries()
 ORACLES = {k: v for k, v in driver.oracle_sql().items() if k in QUERIES}
-FITTED = {"score_logreg", "score_gbt", "model_scores"}  # covered in test_statistics
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +15,7 @@ def duck():
     return connect(SMOKE_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in FITTED])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     same, note = compare(spark, duck, SMOKE_DIR, name, QUERIES[name], ORACLES.get(name))
     assert same, note
@@ -24,7 +23,7 @@ def test_query(spark, duck, name):
 
 def test_every_oracle_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert set(QUERIES) - set(ORACLES) == FITTED | {"file_manifest"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
