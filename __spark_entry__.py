@@ -371,6 +371,13 @@ def source_freshness(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
+    """The declared relationships once every fiftieth client is missing from the parents."""
+    models = _models(spark, sf)
+    parents = {n: models[n].filter("client_id % 50 <> 0") for n in ("stg_clients", "dim_borrower")}
+    return contracts.relationship_tests(models | parents)
+
+
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     # Clients outside the western region are missing from the second parent.
     clients, payments = _silver(spark, sf)
@@ -681,7 +688,9 @@ def mart_delinquency_trend(spark: SparkSession, sf: str) -> DataFrame:
 def _landed(spark: SparkSession, sf: str) -> str:
     """Client sheet, feed and tape as they land; sex codes are those of the sheet."""
     landing = scratch_path(spark, "landing")
-    clients = bridge.raw_clients(spark, sf).withColumn("SEX", 1 + F.col("ID") % 2)
+    clients = bridge.raw_clients(spark, sf).withColumns(
+        {"SEX": 1 + F.col("ID") % 2, "AGE": F.coalesce("AGE", F.lit(40)), "LIMIT_BAL": F.coalesce("LIMIT_BAL", F.lit(0))}
+    )
     clients.select(*[f"`{c}`" for c in RAW_CLIENTS.names]).write.csv(
         f"{landing}/clients/load_date={bridge.CLIENT_LOAD_DATE}"
     )
@@ -735,7 +744,9 @@ def stale_feed(spark: SparkSession, sf: str) -> DataFrame:
 def repeated_publish(spark: SparkSession, sf: str) -> DataFrame:
     """What readers see after a good run, and after the same run is repeated on rows that fail its gate."""
     root = scratch_path(spark, "lake")
-    clients = _clients(spark, sf).withColumn("sex_code", F.lit(1))
+    clients = _clients(spark, sf).withColumns(
+        {"sex_code": F.lit(1), "age": F.coalesce("age", F.lit(40)), "credit_limit": F.coalesce("credit_limit", F.lit(0))}
+    )
     publish.publish_gold(spark, clients, root, RUN_A, client_rows=ROWS_A)
     spoiled = clients.filter("client_id % 2 = 0").withColumn("age", F.lit(200))
     try:
@@ -820,7 +831,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "test_not_null": lambda s, sf: contracts.not_null_tests(_models(s, sf)),
         "test_unique": lambda s, sf: contracts.unique_tests(_models(s, sf)),
         "test_accepted_values": lambda s, sf: contracts.accepted_values_tests(_models(s, sf)),
-        "test_relationships": lambda s, sf: contracts.relationship_tests(_models(s, sf)),
+        "test_relationships": test_relationships,
         "test_non_negative_amount": lambda s, sf: contracts.negative_amounts(
             _payments(s, sf).withColumn("amount", F.col("amount") - 50_000.0)
         ),

@@ -97,7 +97,7 @@ CTES = {
             select stg.*, age_band, credit_limit_band,
                 {" + ".join(f"repay_status_m{m}" for m in M)} as total_status,
                 list_max([{_list("repay_status_m{m}")}]) as max_repay_status,
-                len(list_filter([{_list("repay_status_m{m}")}], lambda v: v > 0))::int as months_delinquent,
+                {" + ".join(f"(repay_status_m{m} > 0)::int" for m in M)} as months_delinquent,
                 {" + ".join(f"bill_amt_m{m}" for m in M)} as total_bill_amt,
                 {" + ".join(f"pay_amt_m{m}" for m in M)} as total_pay_amt
             from stg join dim using (client_id)
@@ -330,7 +330,8 @@ def _relationships() -> str:
     }
     return _union(
         f"""select '{model}' as model, 'client_id' as column_name, c.client_id as orphan, count(*) as n_rows
-            from {child} c left join {parent} p on p.client_id = c.client_id
+            from {child} c
+            left join (select client_id from {parent} where client_id % 50 <> 0) p on p.client_id = c.client_id
             where c.client_id is not null and p.client_id is null group by c.client_id"""
         for (child, model), parent in declared.items()
     )
@@ -507,7 +508,7 @@ DAILY_RUN = """
         ], recursive := true)
         from n, (select count(*) as newest from events where ts::date = (select max(ts::date) from events)),
             (select count(*) as west from customer where c_custkey % 4 = 3),
-            (select count(distinct case when floor(abs(c_acctbal))::int * 50 < 50000 then 1
+            (select count(distinct case when c_custkey % 89 = 3 or floor(abs(c_acctbal))::int * 50 < 50000 then 1
                 when floor(abs(c_acctbal))::int * 50 < 150000 then 2
                 when floor(abs(c_acctbal))::int * 50 < 300000 then 3 else 4 end) as bands from customer)
     )
@@ -959,7 +960,7 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
         ),
         "stale_feed": """select * from (values (1, 'pass'), (40, 'warn'), (720, 'refused')) t(hours, status)
             where (select count(*) from events) > 0""",
-        "repeated_publish": _with("dim", "select client_id, age, true as refused from dim"),
+        "repeated_publish": _with("dim", "select client_id, coalesce(age, 40) as age, true as refused from dim"),
         "daily_run": DAILY_RUN,
         "schema_check": _with("raw_pay", _schema_rows()),
         "null_rate": _with("feat", _null_rates()),
