@@ -26,7 +26,7 @@ SAMPLE = 4_096  # vectors that the centre is fitted on, in the order of a hash o
 SURE = 4.0  # error bound in standard deviations of the estimate
 LEVELS = 255  # steps of a query component
 QUERY_BLOCK = 1_024
-CODE_BLOCK = 65_536
+CODE_BLOCK = 8_192
 
 INDEX = "vec_id long, dim int, vector binary, code binary, far double, fit double"
 _INDEX_ARROW = pa.schema(
