@@ -21,11 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import doc_rows, width
+from lendscope.llm.common import array, doc_rows, in_batches, width
 
 WINDOW = 20
-GROUP = 2_000_000  # suffixes of a group, about
-HELD_WORDS = 2_000_000  # words that a task holds before it sends their suffixes
+GROUP = 1_500_000  # suffixes of a group, about
+HELD_WORDS = 500_000  # words that a task holds before it sends their suffixes
 SAMPLE = 1_000  # documents, about, whose prefixes are counted to balance the groups; no effect on results
 THIN = 8  # every so many suffixes of a sampled document
 HELD_MARKS = 500_000  # marks that a task holds before it sends them
@@ -82,30 +82,77 @@ def group_starts(keys: np.ndarray, groups: int) -> np.ndarray:
     return starts
 
 
-KINDS = (np.int64, np.uint32, np.uint32, np.uint64)  # doc_id, checksum of the text, word position, window
+# What travels of a suffix: doc_id, checksum of the text, word position, hash of the window.
+KINDS = (np.int64, np.uint32, np.uint32, np.uint64)
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    """Columns as byte planes: high bytes repeat, so the shuffle's compression takes them out."""
-    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), c.itemsize).T).tobytes() for c in columns]
-    return np.int64(len(columns[0])).tobytes() + b"".join(planes)
+def _planes(column: np.ndarray) -> bytes:
+    """High bytes first apart from low ones: they repeat, so the shuffle's compression takes them out."""
+    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), column.itemsize).T).tobytes()
+
+
+def _packed(doc: np.ndarray, tag: np.ndarray, at: np.ndarray, *more: np.ndarray) -> bytes:
+    """Rows of one document after the other: each document once with its number of rows, positions as steps."""
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+    first = np.flatnonzero(new)
+    size = np.diff(np.append(first, len(doc))).astype(np.uint32)
+    step = np.diff(at, prepend=np.uint32(0))
+    step[first] = at[first]
+    head = np.array([len(doc), len(first)], np.int64).tobytes()
+    return head + b"".join(map(_planes, (doc[first], tag[first], size, step, *more)))
 
 
 def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    out, at = [], 8
-    for kind in KINDS[:columns]:
+    n, runs = np.frombuffer(data, np.int64, 2).tolist()
+    at = 16
+
+    def take(kind: type, n: int) -> np.ndarray:
+        nonlocal at
         size = np.dtype(kind).itemsize
         planes = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
-        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
         at += n * size
-    return out
+        return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+    doc, tag, size = (take(kind, runs) for kind in (np.int64, np.uint32, np.uint32))
+    step = take(np.uint32, n)
+    first = np.cumsum(size, dtype=np.int64) - size
+    total = np.cumsum(step, dtype=np.uint32)
+    at_row = total - np.repeat(total[first] - step[first], size)
+    more = [take(kind, n) for kind in KINDS[3:columns]]
+    return [np.repeat(doc, size), np.repeat(tag, size), at_row, *more]
+
+
+def _parcels(buckets: int):
+    """Text side: a batch's texts as one compressed Arrow stream for each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            bucket = _bucket(array(batch["doc_id"], int(LAST)), buckets)
+            for b in np.unique(bucket).tolist():
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+                    writer.write_batch(batch.take(pa.array(np.flatnonzero(bucket == b))))
+                yield _rows([(b, 1, sink.getvalue().to_pybytes())])
+
+    return run
+
+
+def _bucket(doc: np.ndarray, buckets: int) -> np.ndarray:
+    return (doc ^ (doc >> 17)) % buckets
 
 
 def _rows(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*parts), _TABLE)], schema=_TABLE)
 
 
+def _each(names: np.ndarray, texts: pa.Array, rows: int = 256) -> Iterator[tuple[int, bytes]]:
+    """Names and texts of a batch, a few texts in Python's memory at a time."""
+    for at in range(0, len(names), rows):
+        yield from zip(names[at : at + rows], texts.slice(at, rows).to_pylist())
+
+
 def _send(window: int, starts: np.ndarray, limit: int):
     """Task side: the suffixes of its texts, one row per group and round."""
 
@@ -135,8 +182,8 @@ def _send(window: int, starts: np.ndarray, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
         for batch in batches:
-            names = batch["doc_id"].fill_null(int(LAST)).to_numpy()
-            for name, text in zip(names, batch["text"].to_pylist()):
+            names = array(batch["doc_id"], int(LAST))
+            for name, text in _each(names, batch["text"]):
                 words = text.split()
                 count = len(words) - window + 1
                 if count <= 0:
@@ -198,7 +245,7 @@ def _repeats(buckets: int):
 
     def back(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, tag, at = (np.concatenate(c) for c in zip(*held))
-        bucket = (doc ^ (doc >> 17)) % buckets
+        bucket = _bucket(doc, buckets)
         order = np.lexsort((at, tag, doc, bucket))
         found, begin = np.unique(bucket[order], return_index=True)
         parts = []
@@ -258,8 +305,7 @@ def _apply(window: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, marks, ready = None, [], None
         for batch in batches:
-            out = []
-            for part, rank, data, name in zip(*(batch[c].to_pylist() for c in ("part", "rank", "data", "doc_id"))):
+            for part, rank, data in zip(*(batch[c].to_pylist() for c in ("part", "rank", "data"))):
                 if part != bucket:
                     bucket, marks, ready = part, [], None
                 if rank == 0:
@@ -267,10 +313,9 @@ def _apply(window: int, digest: bool):
                     continue
                 if ready is None:
                     ready, marks = table(marks), []
-                out.append(one(ready, name, data))
-            for i in range(0, len(out), 1_000):
-                some = list(zip(*out[i : i + 1_000]))
-                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(some, schema)], schema=schema)
+                for texts in pa.ipc.open_stream(data):
+                    rows = (one(ready, n, t) for n, t in zip(texts["doc_id"].to_pylist(), texts["text"].to_pylist()))
+                    yield from in_batches(rows, schema, 1_000)
 
     def one(ready: tuple[np.ndarray, ...], name: int | None, text: bytes) -> tuple:
         words = text.split()
@@ -334,15 +379,9 @@ def _remove(
     starts = _balance(source, n, window, group)
     sent = source.mapInArrow(_send(window, starts, HELD_WORDS), PARTS)
     marks = sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeats(buckets), PARTS)
-    known = F.coalesce("doc_id", F.lit(int(LAST)))
-    texts = source.select(
-        F.pmod(known.bitwiseXOR(F.shiftright(known, 17)), F.lit(buckets)).cast("int").alias("part"),
-        F.lit(1).alias("rank"),
-        F.col("text").alias("data"),
-        "doc_id",
-    )
-    both = marks.select("*", F.lit(None).cast("long").alias("doc_id")).unionByName(texts)
-    return both.repartition(n, "part").sortWithinPartitions("part", "rank").mapInArrow(_apply(window, digest), schema)
+    texts = source.mapInArrow(_parcels(buckets), PARTS)
+    both = marks.unionByName(texts).repartition(n, "part").sortWithinPartitions("part", "rank")
+    return both.mapInArrow(_apply(window, digest), schema)
 
 
 def _balance(source: DataFrame, n: int, window: int, group: int) -> np.ndarray:
@@ -366,4 +405,4 @@ def _balance(source: DataFrame, n: int, window: int, group: int) -> np.ndarray:
         return np.zeros(1, np.uint32)
     words = total * sum(r.words for r in rows) / len(rows)
     keys = np.frombuffer(b"".join(r.data for r in rows), np.uint32)
-    return group_starts(keys, max(3 * n, int(words / group)))
+    return group_starts(keys, max(2 * n, int(words / group)))
