@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from lendscope.llm.common import stored
 
 
+SALTS = 16
+
+
+def salted_join(rows: DataFrame, single: DataFrame, key: str, by: str, salts: int = SALTS) -> DataFrame:
+    """``rows`` with the columns of ``single``, which has one row per ``key``; a hot key is dealt out by ``by``."""
+    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
+    copies = single.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", salt).join(copies, [key, "_salt"]).drop("_salt")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b), root the smallest node of its component.
 
@@ -22,11 +32,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         # Large star: every neighbour above u now hangs on the smallest neighbour (or u itself).
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = salted_join(both.where("v > u"), least, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # Small star: u and its smaller neighbours hang on the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(low, "u")
+            salted_join(large, low, "u", "v")
             .select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
             .select(F.col("e.u").alias("u"), F.col("e.m").alias("v"))
             .where("u <> v")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import doc_rows, stored, width
-from lendscope.llm.components import components
+from lendscope.llm.components import components, salted_join
 
 BITS = 64
 CHUNK = 8_192  # fingerprints of one bucket that one comparison holds
@@ -291,11 +291,11 @@ def near_duplicates(
     found = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
     joined = components(links(classes.select("fp"), radius, blocks))
-    rooted = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"
-    )
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(groups, "root").select("fp", "component_id")
+    # Only fingerprints with a neighbour need their component's smallest id; a large component is dealt out by salt.
+    members = classes.join(joined.withColumnRenamed("node", "fp"), "fp")
+    groups = members.groupBy("root").agg(F.min("least").alias("group_least"))
+    grouped = salted_join(members, groups, "root", "fp").select("fp", "group_least")
+    named = classes.join(grouped, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
     return found.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
