@@ -26,6 +26,8 @@ from lendscope.llm.components import components, salted_join
 BITS = 64
 CHUNK = 8_192  # fingerprints of one bucket that one comparison holds
 PAIRS = 1 << 15  # (fingerprint, word) pairs that are counted together
+HOT_ROWS = 1_000  # rows of one fingerprint that always stay together
+HOT_SALTS = 64
 _CUT = 1 << 16  # shingle hashes whose bits are counted together
 
 
@@ -289,13 +291,20 @@ def near_duplicates(
     only has a null component_id. Repeated rows appear as often as they occur; an empty table gives no rows.
     """
     found = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    # A fingerprint above a thousandth of the rows is hot; there are fewer than a thousand, and they are salted.
+    total = found.count()
+    hot = [r.fp for r in classes.where(F.col("rows") > max(HOT_ROWS, total // 1_000)).select("fp").collect()]
     joined = components(links(classes.select("fp"), radius, blocks))
     # Only fingerprints with a neighbour need their component's smallest id; a large component is dealt out by salt.
     members = classes.join(joined.withColumnRenamed("node", "fp"), "fp")
     groups = members.groupBy("root").agg(F.min("least").alias("group_least"))
     grouped = salted_join(members, groups, "root", "fp").select("fp", "group_least")
     named = classes.join(grouped, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
-    return found.join(named, "fp").select(
+    is_hot, salts = F.col("fp").isin(hot), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))
+    own = F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SALTS)).cast("int")
+    rows = found.withColumn("salt", F.when(is_hot, own).otherwise(F.lit(0)))
+    copies = named.withColumn("salt", F.explode(F.when(is_hot, salts).otherwise(F.array(F.lit(0)))))
+    return rows.join(copies, ["fp", "salt"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )

@@ -81,7 +81,9 @@ def reference_groups(ids, fps, radius):
     return [least.get(top(i)) for i in range(len(fps))]
 
 
-def test_near_duplicates_against_brute_force(spark):
+@pytest.mark.parametrize("hot_rows", [1_000, 1])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(simhash, "HOT_ROWS", hot_rows)
     rows = hard_rows()
     fps = [reference_fingerprint(r[1]) for r in rows]
     groups = reference_groups([r[0] for r in rows], fps, 4)
