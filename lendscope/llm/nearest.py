@@ -4,7 +4,8 @@ Every vector is centred, normalised, rotated by a random orthogonal matrix and k
 two correction scalars: its distance from the centre and the inner product of its code with itself. A query is
 rotated alike and cut to 8 bits a dimension; its inner product with a code is eight popcounts of packed words. From
 it follow an estimate of the distance and a bound on the estimate's error. Only vectors whose lower bound does not
-exceed the k-th smallest upper bound are reranked on their original components.
+exceed the k-th smallest upper bound are reranked on their original components. Bounds and ranks count distinct ids: an
+id with several vectors has one place, that of its nearest.
 
 Queries meet the index in blocks: a block of queries and a block of codes make one cell, a cell gives each of its
 queries at most k rows, and these are merged by query.
@@ -110,11 +111,13 @@ def build_index(rows: DataFrame, middle: dict[int, np.ndarray]) -> DataFrame:
 
 
 class Codes:
-    """A block of the index."""
+    """A block of the index, rows in the order of their ids."""
 
     def __init__(self, dim: int, rows: list[tuple[int, bytes, bytes, float, float]]):
+        rows = sorted(rows, key=lambda r: r[0])
         names, vectors, codes, far, fit = zip(*rows)
         self.dim, self.names = dim, np.array(names)
+        self.first = np.flatnonzero(np.concatenate([[True], self.names[1:] != self.names[:-1]]))
         self.vectors = np.frombuffer(b"".join(vectors)).reshape(-1, dim)
         self.codes = np.ascontiguousarray(np.frombuffer(b"".join(codes), np.uint64).reshape(len(rows), -1).T)
         self.ones = np.bitwise_count(self.codes).sum(axis=0, dtype=np.int64)
@@ -125,7 +128,7 @@ class Codes:
         self.error = spread / self.safe
 
     def nearest(self, name: int, query: np.ndarray, turned: np.ndarray, far: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of the k nearest rows of this block, ties to smaller ids; the query's own id left out."""
+        """(ids, distances) of the k nearest ids of this block, ties to smaller ids; the query's own id left out."""
         root = math.sqrt(self.dim)
         low = float(turned.min())
         step = (float(turned.max()) - low) / LEVELS or 1.0
@@ -144,14 +147,17 @@ class Codes:
         slack = both * error + 1e-9 * (self.far**2 + far**2)
         other = self.names != name
         upper = np.where(other, middle + slack, np.inf)
-        n = min(k, int(other.sum()))
+        n = min(k, int(other[self.first].sum()))
         if not n:
             return self.names[:0], self.far[:0]
-        reach = np.partition(upper, n - 1)[n - 1]
+        reach = np.partition(np.minimum.reduceat(upper, self.first), n - 1)[n - 1]
         rows = np.flatnonzero(other & (middle - slack <= reach))
         exact = np.sqrt(((self.vectors[rows] - query) ** 2).sum(axis=1))
-        best = np.lexsort((self.names[rows], exact))[:n]
-        return self.names[rows[best]], exact[best]
+        names = self.names[rows]
+        first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
+        names, exact = names[first], np.minimum.reduceat(exact, first)
+        best = np.lexsort((names, exact))[:n]
+        return names[best], exact[best]
 
 
 def _search(k: int):
@@ -203,12 +209,12 @@ def nearest(
     vec_id that occurs more than once counts once per answer, with its nearest row. An empty table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = stored(usable(vectors, vec_id, vector), "vectors")
+    rows = stored(usable(vectors, vec_id, vector).dropDuplicates(["vec_id", "vector"]), "vectors")
     middle = centres(rows)
     index = stored(build_index(rows, middle), "codes")
     n = index.count()
     code_blocks = max(1, math.ceil(n / code_block))
-    asked = index.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "vector"])
+    asked = index.where(F.col("vec_id") % every == 0)
     query_blocks = max(1, math.ceil(asked.count() / query_block))
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -150,6 +150,25 @@ def test_nearest_of_hard_vectors(spark):
     assert nearest.nearest(vectors.limit(0)).count() == 0
 
 
+def test_an_id_in_many_rows_takes_one_place(spark):
+    rng = np.random.default_rng(9)
+    rows = [(0, rng.normal(size=6).tolist())]
+    near = np.array(rows[0][1])
+    rows += [(7, (near + 0.01).tolist())] * 15  # one row again and again
+    rows += [(8, (near + 0.02 + i / 1e4).tolist()) for i in range(15)]  # one id, other vectors
+    rows += [(i, rng.normal(size=6).tolist()) for i in range(10, 40)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for v, x in rows[1:]:
+        d = float(np.sqrt(((np.array(x) - near) ** 2).sum()))
+        want[v] = min(d, want.get(v, d))
+    best = sorted((d, v) for v, d in want.items())[:10]
+    for block in (8_192, 20):
+        found = nearest.nearest(vectors, code_block=block).orderBy("rank").collect()
+        assert [(r["rank"], r.vec_id) for r in found] == [(i + 1, v) for i, (_, v) in enumerate(best)]
+        assert np.allclose([r.score for r in found], [d for d, _ in best])
+
+
 def test_rates_meet_the_targets(spark):
     labelled = table(spark, "labels").withColumn("domain", mixing.domain_of())
     for weights in (queries.WEIGHTS, {"good": 0.5, "low": 0.3, "toxic": 0.2}):
