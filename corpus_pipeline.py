@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm import exact, mixing, packing, quality, queries, simhash
-from lendscope.llm.common import stored
+from lendscope.llm.common import stored, text_bytes
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +31,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, the one with the smallest doc_id. Documents without an id stay."""
-    found = simhash.near_duplicates(docs, shingle=4, radius=4)
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each SimHash component: the one with the smallest doc_id, null ids after all others.
+
+    Rows are named by doc_id and a hash of the text, so an id with two texts loses only the one that is a copy.
+    """
+    found = simhash.grouped_rows(docs, shingle=4, radius=4)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("r"))
+    # Null ids are equal inside a struct.
+    kept = first.select(F.struct("r.doc_id", "r.row").alias("__row"))
+    named = docs.withColumn(
+        "__row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_bytes("text")).alias("row"))
+    )
+    return named.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

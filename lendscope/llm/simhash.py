@@ -52,15 +52,17 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) for each row; fp as a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, row, fp) for each row; row is a hash of the text, fp a signed long."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(t, shingle) for t in batch["text"].to_pylist()]
-            yield pa.record_batch([batch["doc_id"], pa.array(np.array(found, np.uint64).view(np.int64))], schema=schema)
+            fp = pa.array(np.array(found, np.uint64).view(np.int64))
+            yield pa.record_batch([batch["doc_id"], batch["row"], fp], schema=schema)
 
-    return doc_rows(docs, doc_id, text).mapInArrow(run, "doc_id long, fp long")
+    rows = doc_rows(docs, doc_id, text).withColumn("row", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def block_masks(blocks: int, radius: int) -> list[int]:
@@ -290,6 +292,16 @@ def near_duplicates(
     and blank texts have fingerprint zero and are linked like any other. Null ids never win; a component of null ids
     only has a null component_id. Repeated rows appear as often as they occur; an empty table gives no rows.
     """
+    return grouped_rows(docs, doc_id, text, shingle, radius, blocks).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def grouped_rows(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, radius: int = 4, blocks: int = 5
+) -> DataFrame:
+    """As :func:`near_duplicates`, with the fingerprint as a number (fp), a hash of the row's text (row) and a number
+    of the component (root) that is never null."""
     found = stored(fingerprints(docs, doc_id, text, shingle), "fingerprints")
     classes = found.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     # A fingerprint above a thousandth of the rows is hot; there are fewer than a thousand, and they are salted.
@@ -299,12 +311,12 @@ def near_duplicates(
     # Only fingerprints with a neighbour need their component's smallest id; a large component is dealt out by salt.
     members = classes.join(joined.withColumnRenamed("node", "fp"), "fp")
     groups = members.groupBy("root").agg(F.min("least").alias("group_least"))
-    grouped = salted_join(members, groups, "root", "fp").select("fp", "group_least")
-    named = classes.join(grouped, "fp", "left").select("fp", F.coalesce("group_least", "least").alias("component_id"))
+    grouped = salted_join(members, groups, "root", "fp").select("fp", "root", "group_least")
+    named = classes.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("group_least", "least").alias("component_id")
+    )
     is_hot, salts = F.col("fp").isin(hot), F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))
     own = F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SALTS)).cast("int")
     rows = found.withColumn("salt", F.when(is_hot, own).otherwise(F.lit(0)))
     copies = named.withColumn("salt", F.explode(F.when(is_hot, salts).otherwise(F.array(F.lit(0)))))
-    return rows.join(copies, ["fp", "salt"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return rows.join(copies, ["fp", "salt"]).select("doc_id", "row", "fp", "root", "component_id")

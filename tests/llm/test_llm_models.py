@@ -7,8 +7,8 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from conftest import SMOKE_DIR
-from lendscope.llm import boosting, language, mixing, nearest, packing, quality, queries
-from llm_tables import empty, hard, hard_rows, labels
+from lendscope.llm import boosting, language, mixing, nearest, packing, quality, queries, simhash
+from llm_tables import DOCS, empty, hard, hard_rows, labels, row
 
 
 def table(spark, name):
@@ -210,6 +210,19 @@ def test_stages_on_hard_rows(spark):
     assert 18 in near and 19 not in near and 11 not in near
 
 
+def test_near_copies_are_dropped_by_row(spark):
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, hard(spark), SMOKE_DIR).collect()]
+    assert (9, "another text under the same id") in kept
+    found = simhash.grouped_rows(hard(spark), shingle=4, radius=4).collect()
+    assert len(kept) == len(set(kept)) == len({r.root for r in found})
+    # The kept row's id has a second text, a copy in another group; both groups leave one row.
+    rows = [row(1, "b c d e f g"), row(1, "p q r s t u"), row(0, "p q r s t u"), row(2, "b c d e f g"), row(2, "b c d e f g")]
+    rows += [row(None, "only without an id"), row(None, "only without an id"), row(None, "p q r s t u")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, SMOKE_DIR).collect()]
+    assert sorted(left, key=repr) == [(0, "p q r s t u"), (1, "b c d e f g"), (None, "only without an id")]
+
+
 def test_pipeline(spark):
     pieces = corpus_pipeline.run(spark, SMOKE_DIR)
     found = pieces.drop("ids").collect()
