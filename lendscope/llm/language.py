@@ -1,8 +1,9 @@
 """Language identification with bit-sliced Bloom filters over character trigrams.
 
 One filter per language, all of one size and with the same hashes, stored across: word i holds bit i of every filter,
-one bit for each language. Looking up a trigram is an AND of a few words and gives, as a bit mask, all languages that
-contain it. A text's masks are counted by language, the share expected from false positives is taken off, and
+one bit for each of 64 languages, and every further 64 languages have words of their own. Looking up a trigram is an AND
+of a few words and gives, as a bit mask, all languages whose filter holds it. A filter holds a language's most frequent
+trigrams (``KEPT``) that are not rare next to their best language (``SHARE``). A text's masks are counted by language, the share expected from false positives is taken off, and
 the largest count decides.
 """
 
@@ -21,7 +22,7 @@ from lendscope.llm.common import doc_rows, remainder
 SAMPLE = 2_000  # most documents of a language that the filters are built from, in the order of a hash of the id
 KEPT = 20_000  # most trigrams of a language, the most frequent ones
 SHARE = 0.3  # a trigram belongs to a language if it is at least this frequent there, relative to its best language
-LANGUAGES = 64  # most languages: bits of a word
+LANGUAGES = 64  # languages of a block: bits of a word
 BITS = 20
 HASHES = 3
 UNKNOWN = "und"
@@ -55,14 +56,14 @@ def trigrams(text: str) -> np.ndarray:
 @dataclass
 class Filters:
     names: list[str]
-    words: np.ndarray  # bit l of word i: bit i of language l's filter
+    words: np.ndarray  # bit l of word i in row b: bit i of the filter of language 64 b + l
     false: np.ndarray  # false-positive rate of each language's filter
 
-    def masks(self, grams: np.ndarray) -> np.ndarray:
-        """The languages that contain each trigram, as a bit mask."""
+    def masks(self, grams: np.ndarray, block: int = 0) -> np.ndarray:
+        """The languages of a block that contain each trigram, as a bit mask."""
         out = None
         for odd in _ODD[:HASHES]:
-            found = self.words[_slots(grams, odd)]
+            found = self.words[block][_slots(grams, odd)]
             out = found if out is None else out & found
         return out
 
@@ -73,9 +74,11 @@ class Filters:
             return UNKNOWN, 0.0
         counts = np.zeros(len(self.names))
         for at in range(0, len(grams), 1 << 20):
-            masks, n = np.unique(self.masks(grams[at : at + (1 << 20)]), return_counts=True)
-            for language in range(len(self.names)):
-                counts[language] += n[(masks >> np.uint64(language)) & np.uint64(1) == 1].sum()
+            for block in range(len(self.words)):
+                first = block * LANGUAGES
+                masks, n = np.unique(self.masks(grams[at : at + (1 << 20)], block), return_counts=True)
+                for bit in range(min(LANGUAGES, len(self.names) - first)):
+                    counts[first + bit] += n[(masks >> np.uint64(bit)) & np.uint64(1) == 1].sum()
         true = np.maximum(0, counts - len(grams) * self.false) / (1 - self.false)
         best = int(true.argmax())
         total = float(true.sum())
@@ -89,22 +92,23 @@ def _slots(grams: np.ndarray, odd: np.uint64) -> np.ndarray:
 
 def filters(counted: list[tuple[str, int, int]]) -> Filters:
     """Build from (language, trigram, count) rows."""
-    names = sorted({r[0] for r in counted})
-    if len(names) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    total = dict.fromkeys(names, 0)
-    for name, _, n in counted:
-        total[name] += n
+    by: dict[str, list[tuple[int, int]]] = {}
+    for name, gram, n in counted:
+        by.setdefault(name, []).append((gram, n))
+    names = sorted(by)
+    total = {name: sum(n for _, n in own) for name, own in by.items()}
     best: dict[int, float] = {}
     for name, gram, n in counted:
         best[gram] = max(best.get(gram, 0), n / total[name])
-    words = np.zeros(1 << BITS, np.uint64)
+    words = np.zeros((max(1, -(-len(names) // LANGUAGES)), 1 << BITS), np.uint64)
+    fill = []
     for language, name in enumerate(names):
-        own = [g for l, g, n in counted if l == name and n / total[name] >= SHARE * best[g]]
+        block, bit = divmod(language, LANGUAGES)
+        own = [g for g, n in by[name] if n / total[name] >= SHARE * best[g]]
         grams = np.array(own, np.uint64)
         for odd in _ODD[:HASHES]:
-            words[_slots(grams, odd)] |= np.uint64(1 << language)
-    fill = [float(((words >> np.uint64(i)) & np.uint64(1)).mean()) for i in range(len(names))]
+            words[block][_slots(grams, odd)] |= np.uint64(1 << bit)
+        fill.append(float(((words[block] >> np.uint64(bit)) & np.uint64(1)).mean()))
     return Filters(names, words, np.array(fill) ** HASHES)
 
 
@@ -130,7 +134,7 @@ def train(docs: DataFrame, lang: str = "lang", sample: int = SAMPLE, doc_id: str
         F.col(lang).cast("string").alias("language"),
         F.coalesce(F.col(text).cast("string").cast("binary"), F.lit(b"")).alias("text"),
     )
-    # At most ``sample`` ids for each of at most 64 languages.
+    # At most ``sample`` ids for each language.
     rows = own.join(F.broadcast(picked), ["doc_id", "language"], "left_semi")
     counts = rows.mapInArrow(run, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
     top = Window.partitionBy("language").orderBy(F.desc("n"), "gram")

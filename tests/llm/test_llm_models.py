@@ -106,6 +106,16 @@ def test_filters_return_every_language_of_a_trigram():
     assert masks == [0b011, 0b010, 0b100, 0b001, 0]
 
 
+def test_more_languages_than_a_word_has_bits(spark):
+    spell = [f"{a}{b}" for a in "bcdfghjklmnpq" for b in "aeiouy"]
+    rows = [row(i, f"{x}{x}{x} {x}r{x}", lang=f"l{i % 70:02}") for i, x in enumerate(spell[:70] * 4)]
+    model = language.train(spark.createDataFrame(rows, DOCS))
+    assert len(model.names) == 70 and len(model.words) == 2
+    found = language.identify(spark.createDataFrame(rows, DOCS), model).collect()
+    assert len(found) == len(rows)
+    assert all(r.lang_pred == f"l{r.doc_id % 70:02}" for r in found)
+
+
 def brute(rows, every, k):
     out = {}
     for q, x in rows:
