@@ -25,6 +25,7 @@ SHARE = 0.3  # a trigram belongs to a language if it is at least this frequent t
 LANGUAGES = 64  # languages of a block: bits of a word
 BITS = 20
 HASHES = 3
+SALTS = 256  # parts of a language's ids that are ranked on their own before the sample is taken
 UNKNOWN = "und"
 FOLDS, HELD = 4, 2
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -112,12 +113,23 @@ def filters(counted: list[tuple[str, int, int]]) -> Filters:
     return Filters(names, words, np.array(fill) ** HASHES)
 
 
+def sampled(ids: DataFrame, sample: int) -> DataFrame:
+    """The first ``sample`` rows of each language in the order of a hash of the id.
+
+    Ranked by part of a language first, so that the task that ranks a language has at most SALTS x ``sample`` rows.
+    """
+    salted = ids.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
+    for by in (["language", "salt"], ["language"]):
+        order = Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")
+        salted = salted.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n")
+    return salted.drop("salt")
+
+
 def train(docs: DataFrame, lang: str = "lang", sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> Filters:
     """Filters from at most ``sample`` documents of each language outside the held-out fold."""
     ids = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(lang).cast("string").alias("language"))
     usable = ids.where((remainder("doc_id", FOLDS) != HELD) & F.col("language").isNotNull()).distinct()
-    order = Window.partitionBy("language").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).drop("n")
+    picked = sampled(usable, sample)
     kind = pa.schema([("language", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

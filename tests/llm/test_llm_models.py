@@ -116,6 +116,15 @@ def test_more_languages_than_a_word_has_bits(spark):
     assert all(r.lang_pred == f"l{r.doc_id % 70:02}" for r in found)
 
 
+def test_a_language_is_sampled_in_parts(spark):
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("language"))
+    found = language.sampled(ids, 2_000)
+    parts = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window " in line]
+    assert len(parts) == 2 and sum("salt" in line.split("windowspecdefinition(")[1] for line in parts) == 1
+    want = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2_000).collect()]
+    assert sorted(r.doc_id for r in found.collect()) == sorted(want)
+
+
 def brute(rows, every, k):
     out = {}
     for q, x in rows:
