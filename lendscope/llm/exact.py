@@ -24,7 +24,8 @@ from lendscope.llm.common import doc_rows, in_batches, stored, width
 from lendscope.session import scratch_path
 
 CAPACITY = 50_000  # entries of a bucket before it splits
-STEP = 12  # hash bits that one counting pass resolves
+STEP = 12  # hash bits that the first counting pass resolves
+DEEPER = 4  # hash bits that each further pass resolves below a bucket that is too full
 
 ENTRY = "entry long, hash long, text binary, doc_ids array<long>"
 _ENTRY_ARROW = pa.schema(
@@ -81,27 +82,29 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def directory(entries: DataFrame, capacity: int = CAPACITY) -> list[int]:
     """First hash value (unsigned) of each bucket, ascending.
 
-    A bucket is a hash prefix and its depth. Counting passes see ``STEP`` more bits at a time, and only below
-    buckets that are still too full; the driver holds counts of those prefixes. A bucket whose entries share one hash
+    A bucket is a hash prefix and its depth. The first counting pass sees ``STEP`` bits, the others ``DEEPER``
+    more bits at a time, and only below buckets that are still too full; the driver holds counts of those prefixes, at
+    most 2 ** DEEPER for each bucket that is too full. A bucket whose entries share one hash
     cannot split and stays as a chain.
     """
     key = F.col("hash")
     starts, full = [], [(0, 0)]
     depth = 0
     while full and depth < 60:
-        deeper = depth + STEP
+        step = DEEPER if depth else STEP
+        deeper = depth + step
         prefix = F.shiftrightunsigned(key, 64 - deeper)
         rows = entries.select(prefix.alias("p"), "hash")
         if depth:
             parents = entries.sparkSession.createDataFrame([(p,) for p, _ in full], "parent long")
-            rows = rows.withColumn("parent", F.shiftright("p", STEP)).join(parents, "parent")
+            rows = rows.withColumn("parent", F.shiftright("p", step)).join(parents, "parent")
         counted = rows.groupBy("p").agg(F.count("*").alias("n"), (F.min("hash") == F.max("hash")).alias("same"))
         counts = {r.p: (r.n, r.same) for r in counted.collect()}
         ready = full
         full = []
         for parent, _ in ready:
             # Directory doubling below this bucket: halves until each half fits or the counted bits are used up.
-            stack = [(parent << STEP, deeper, STEP)]
+            stack = [(parent << step, deeper, step)]
             while stack:
                 first, at, left = stack.pop()
                 inside = [counts[p] for p in range(first, first + (1 << left)) if p in counts]

@@ -44,6 +44,23 @@ def test_directory_splits_until_buckets_fit(spark):
     assert starts[0] == 0 and (np.diff(starts) > 0).all()
 
 
+def test_directory_brings_few_counts_to_the_driver(spark, monkeypatch):
+    keys = np.random.default_rng(6).integers(0, 1 << 50, 20_000) + (np.arange(20_000) % 4 << 52)
+    entries = spark.createDataFrame([(int(k),) for k in keys], "hash long")
+    brought, collect = [], type(entries).collect
+
+    def counted(df):
+        brought.append(collect(df))
+        return brought[-1]
+
+    monkeypatch.setattr(type(entries), "collect", counted)
+    starts = np.array(exact.directory(entries, capacity=100), np.uint64)
+    own = np.searchsorted(starts, keys.view(np.uint64), side="right") - 1
+    assert np.bincount(own).max() <= 100
+    # Four first-level prefixes are too full: each further pass brings at most 16 counts for a full bucket.
+    assert len(brought[0]) == 4 and len(brought[1]) <= 64 and max(map(len, brought)) <= 16 * 256
+
+
 def test_collisions_are_chained_and_bytes_compared():
     import pyarrow as pa
 
