@@ -2,7 +2,8 @@
 
 The suffixes of all texts are taken at word starts and cut at a window of words: deeper nodes are not asked for.
 Variable-length prefixes split them into groups that fit in memory: a prefix is one word, and where too many
-suffixes share it, it is extended to more words. Each task gathers whole groups, sorts a group's suffixes, and so
+suffixes share it, it is extended to more words, level by level up to the window. Which prefixes are extended is
+decided by counts over all documents, one pass a level. Each task gathers whole groups, sorts a group's suffixes, and so
 has its subtree: a run of suffixes that agree over the window is an internal node at that depth, its leaves are
 the occurrences of a repeated passage. All leaves but the first are marked, and the marks go back to the texts.
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.llm.common import array, doc_rows, in_batches, width
+from lendscope.llm.common import array, doc_rows, in_batches, stored, width
 
 WINDOW = 20
 GROUP = 1_500_000  # suffixes of a group, about
 HELD_WORDS = 500_000  # words that a task holds before it sends their suffixes
-SAMPLE = 1_000  # documents, about, whose prefixes are counted to balance the groups; no effect on results
-THIN = 8  # every so many suffixes of a sampled document
 HELD_MARKS = 500_000  # marks that a task holds before it sends them
-DEPTHS = (1, 4)  # words of a prefix before and after its extension
+DEPTHS = (1, 4, 10)  # words of a prefix and of its extensions, before the last one to the window
+DIGIT = 8  # bits by which a level tells the extensions of one prefix apart: a task counts 256 below each
+HELD_COUNTS = 2_000_000  # prefixes that a counting task holds
 
 _U64 = np.uint64
 _MIX = np.random.default_rng(20).integers(1, 1 << 63, 4096, dtype=np.uint64) * _U64(2) + _U64(1)
@@ -56,12 +58,63 @@ def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def prefix_keys(words: np.ndarray, count: int, window: int) -> np.ndarray:
-    """The prefixes of the first ``count`` suffixes: 16 bits of the first word, then 16 bits of the longer prefix."""
-    short, long = (min(d, window) for d in DEPTHS)
-    first = run_hashes(words[: count + short - 1], short) >> _U64(48)
-    longer = run_hashes(words[: count + long - 1], long) >> _U64(48)
-    return ((first << _U64(16)) | longer).astype(np.uint32)
+@dataclass
+class Groups:
+    """The prefixes above the limit, level by level, and the groups below each of them.
+
+    A prefix is numbered by its parent's place among the extended prefixes and a digit, a hash of its words. A prefix
+    that is not extended lies whole in one of its parent's groups.
+    """
+
+    window: int
+    extended: list[np.ndarray]  # for each level the extended prefixes, ascending
+    first: list[np.ndarray]  # for each level and parent, its first group
+    count: list[np.ndarray]  # and how many groups it has
+
+    def depths(self) -> list[int]:
+        return [d for d in DEPTHS if d < self.window] + [self.window]
+
+    def children(self, words: np.ndarray, count: int, level: int, parent: np.ndarray) -> np.ndarray:
+        """Numbers of the prefixes at a level of suffixes whose parents are extended."""
+        depth = self.depths()[level]
+        digit = run_hashes(words[: count + depth - 1], depth) >> _U64(64 - DIGIT)
+        return parent << DIGIT | digit.astype(np.int64)
+
+    def frontier(self, words: np.ndarray, count: int) -> np.ndarray:
+        """Prefixes, at the first level that is not counted yet, of suffixes whose prefixes so far are all extended."""
+        parent, at = np.zeros(count, np.int64), np.arange(count)
+        for level, extended in enumerate(self.extended):
+            number = self.children(words, count, level, parent)[at]
+            place, hit = _places(extended, number)
+            at, parent = at[hit], np.zeros(count, np.int64)
+            parent[at] = place[hit]
+        return self.children(words, count, len(self.extended), parent)[at] if len(at) else at
+
+    def of(self, words: np.ndarray, count: int) -> np.ndarray:
+        """The group of each of the first ``count`` suffixes."""
+        out, parent, at = np.zeros(count, np.int32), np.zeros(count, np.int64), np.arange(count)
+        for level in range(len(self.first)):
+            if not len(at):
+                break
+            number = self.children(words, count, level, parent)[at]
+            up = parent[at]
+            mixed = (number.astype(_U64) * _U64(0x9E3779B97F4A7C15)) >> _U64(33)
+            out[at] = self.first[level][up] + (mixed.astype(np.int64) % self.count[level][up])
+            if level < len(self.extended):
+                place, hit = _places(self.extended[level], number)
+                at, parent = at[hit], np.zeros(count, np.int64)
+                parent[at] = place[hit]
+            else:
+                at = at[:0]
+        return out
+
+
+def _places(known: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(where each number stands among the known ones, whether it is one)."""
+    place = np.searchsorted(known, numbers)
+    if not len(known):
+        return place, np.zeros(len(numbers), bool)
+    return place, known[np.minimum(place, len(known) - 1)] == numbers
 
 
 def group_starts(keys: np.ndarray, groups: int) -> np.ndarray:
@@ -153,12 +206,12 @@ def _each(names: np.ndarray, texts: pa.Array, rows: int = 256) -> Iterator[tuple
         yield from zip(names[at : at + rows], texts.slice(at, rows).to_pylist())
 
 
-def _send(window: int, starts: np.ndarray, limit: int):
+def _send(groups: Groups, limit: int):
     """Task side: the suffixes of its texts, one row per group and round."""
+    window = groups.window
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
-        doc, tag, at, key, prefix = (np.concatenate(c) for c in zip(*held))
-        group = (np.searchsorted(starts, prefix, side="right") - 1).astype(np.int32)
+        doc, tag, at, key, group = (np.concatenate(c) for c in zip(*held))
         order, _, equal = deep_nodes(key, group)
         # Copies that meet here: only the first of a window goes on, the others are marked already.
         own = order[equal]
@@ -196,7 +249,7 @@ def _send(window: int, starts: np.ndarray, limit: int):
                         np.full(count, tag, np.uint32),
                         np.arange(count, dtype=np.uint32),
                         run_hashes(hashes, window),
-                        prefix_keys(hashes, count, window),
+                        groups.of(hashes, count),
                     )
                 )
                 n_held += count
@@ -376,33 +429,83 @@ def _remove(
     n = width(docs.sparkSession)
     buckets = 2 * n
     source = doc_rows(docs, doc_id, text)
-    starts = _balance(source, n, window, group)
-    sent = source.mapInArrow(_send(window, starts, HELD_WORDS), PARTS)
+    sent = source.mapInArrow(_send(find_groups(source, n, window, group), HELD_WORDS), PARTS)
     marks = sent.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_repeats(buckets), PARTS)
     texts = source.mapInArrow(_parcels(buckets), PARTS)
     both = marks.unionByName(texts).repartition(n, "part").sortWithinPartitions("part", "rank")
     return both.mapInArrow(_apply(window, digest), schema)
 
 
-def _balance(source: DataFrame, n: int, window: int, group: int) -> np.ndarray:
-    """Group borders from the prefixes of a bounded sample of documents."""
-    total = source.count()
-    if not total:
-        return np.zeros(1, np.uint32)
-    share = min(1 << 20, -(-SAMPLE * (1 << 20) // total))
-    kind = pa.schema([("words", pa.int64()), ("data", pa.binary())])
+def find_groups(source: DataFrame, n: int, window: int, group: int) -> Groups:
+    """Groups of about ``group`` suffixes or fewer, and at least about ``2 n`` of them.
+
+    Each pass counts, over all documents, the prefixes of one level below those that were too large. The driver gets
+    only the prefixes that are too large again; each holds more than half a group, so they are few. What is as long as
+    the window needs no limit: of equal windows a task sends one a round.
+    """
+    groups = Groups(window, [], [], [])
+    size, sums, made = 0, None, 0
+    while len(groups.extended) < len(groups.depths()) - 1:
+        counted = stored(
+            source.mapInArrow(_counts(groups), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")), "prefixes"
+        )
+        if not size:
+            total = counted.agg(F.sum("n")).first()[0] or 0
+            size, sums = max(1, min(group, -(-total // (2 * n)))), np.array([total], np.int64)
+        rows = counted.where(F.col("n") > size // 2).orderBy("prefix").collect()
+        large = np.array([r.prefix for r in rows], np.int64)
+        inside = np.array([r.n for r in rows], np.int64)
+        rest = sums.copy()
+        np.subtract.at(rest, large >> DIGIT, inside)
+        made = _add(groups, rest, size, made)
+        groups.extended.append(large)
+        sums = inside
+        if not len(large):
+            return groups
+    if not size:
+        # A window of one word: its prefixes are whole windows.
+        sums, size = np.array([group * 2 * n], np.int64), group
+    _add(groups, sums, size, made)
+    return groups
+
+
+def _add(groups: Groups, sizes: np.ndarray, size: int, made: int) -> int:
+    count = np.maximum(1, -(-sizes // size))
+    groups.first.append(made + np.cumsum(count) - count)
+    groups.count.append(count)
+    return made + int(count.sum())
+
+
+def _counts(groups: Groups):
+    """How often each prefix of the next level occurs in a task's texts."""
+    kind = pa.schema([("prefix", pa.int64()), ("n", pa.int64())])
+
+    def folded(held: list[np.ndarray], known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        found, n = np.unique(np.concatenate(held), return_counts=True)
+        prefix, back = np.unique(np.concatenate([known[0], found]), return_inverse=True)
+        total = np.zeros(len(prefix), np.int64)
+        np.add.at(total, back, np.concatenate([known[1], n]))
+        return prefix, total
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held, n_held, known = [], 0, nothing
         for batch in batches:
-            for text in batch["text"].to_pylist():
-                words = word_hashes(text.split())
-                keys = prefix_keys(words, max(0, len(words) - window + 1), window)[::THIN]
-                yield pa.record_batch([[len(words)], [keys[:10_000].tobytes()]], schema=kind)
-
-    picked = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    rows = picked.mapInArrow(run, "words long, data binary").limit(2 * SAMPLE).collect()
-    if not rows:
-        return np.zeros(1, np.uint32)
-    words = total * sum(r.words for r in rows) / len(rows)
-    keys = np.frombuffer(b"".join(r.data for r in rows), np.uint32)
-    return group_starts(keys, max(2 * n, int(words / group)))
+            for _, text in _each(np.zeros(len(batch), np.int64), batch["text"]):
+                words = text.split()
+                count = len(words) - groups.window + 1
+                if count <= 0:
+                    continue
+                held.append(groups.frontier(word_hashes(words), count))
+                n_held += len(held[-1])
+                if n_held >= HELD_WORDS:
+                    known, held, n_held = folded(held, known), [], 0
+                    if len(known[0]) >= HELD_COUNTS:
+                        yield pa.record_batch([pa.array(c) for c in known], schema=kind)
+                        known = nothing
+        if held:
+            known = folded(held, known)
+        if len(known[0]):
+            yield pa.record_batch([pa.array(c) for c in known], schema=kind)
+
+    return run

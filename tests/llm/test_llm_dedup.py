@@ -202,6 +202,19 @@ def test_repeats_in_many_groups_and_rounds(spark, monkeypatch):
         assert sum(s.length for s in r.spans) == r.n_removed
 
 
+def test_groups_stay_small_where_texts_share_a_line(spark):
+    # A third of the documents begin with the same four words and go on differently.
+    rng = random.Random(8)
+    texts = ["a b c d " * (i % 3 == 0) + " ".join(str(rng.randrange(10**6)) for _ in range(20)) for i in range(3_000)]
+    rows = [row(i, t) for i, t in enumerate(texts)]
+    source = spark.createDataFrame(rows, DOCS).repartition(4).selectExpr("doc_id", "cast(text as binary) as text")
+    groups = substrings.find_groups(source, 4, 20, 200)
+    own = [groups.of(substrings.word_hashes(w), len(w) - 19) for w in (t.encode().split() for t in texts)]
+    assert np.bincount(np.concatenate(own)).max() <= 400
+    # Four words are too frequent, and of what follows them only the line itself; ten words are not.
+    assert [len(x) for x in groups.extended] == [4, 1, 0]
+
+
 def test_frequent_prefixes_are_extended():
     keys = np.concatenate([np.full(900, 5 << 16) + np.arange(900), np.arange(100) << 16]).astype(np.uint32)
     starts = substrings.group_starts(keys, 10)
