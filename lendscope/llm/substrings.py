@@ -1,11 +1,14 @@
-"""Repeated passages, found in prefix-partitioned suffix trees.
+"""Repeated passages, found by hashes of windows of words in groups of suffixes with a common prefix.
 
-The suffixes of all texts are taken at word starts and cut at a window of words: deeper nodes are not asked for.
-Variable-length prefixes split them into groups that fit in memory: a prefix is one word, and where too many
-suffixes share it, it is extended to more words, level by level up to the window. Which prefixes are extended is
-decided by counts over all documents, one pass a level. Each task gathers whole groups, sorts a group's suffixes, and so
-has its subtree: a run of suffixes that agree over the window is an internal node at that depth, its leaves are
-the occurrences of a repeated passage. All leaves but the first are marked, and the marks go back to the texts.
+The suffixes of all texts are taken at word starts and cut at a window of words. Variable-length prefixes split them
+into groups that fit in memory: a prefix is one word, and where too many suffixes share it, it is extended to more
+words, level by level up to the window. Which prefixes are extended is decided by counts over all documents, one
+pass a level. Each task gathers whole groups and orders a group by the hash of the window: equal hashes are the
+occurrences of a repeated passage. All but the first are marked, and the marks go back to the texts.
+
+This takes the place of a suffix tree in each group. Of the tree only the leaves below nodes at window depth are
+asked for, and those are the equal windows; there is no order of words, no deeper node and no maximal repeat, and words
+are not compared.
 
 A suffix travels as a 64-bit hash of its window. Suffixes meet only inside a group, so the chance that two different
 windows of N suffixes agree by accident is N x group / 2^65, below one in a thousand for 10^10 suffixes.
@@ -263,7 +266,7 @@ def _send(groups: Groups, limit: int):
 
 
 def deep_nodes(key: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, starts of runs, which of the ordered suffixes lie below a node at window depth)."""
+    """(order, starts of runs, which of the ordered suffixes share their window's hash with another)."""
     order = np.argsort(key, kind="stable")
     equal = key[order[1:]] == key[order[:-1]]
     if group is not None:
@@ -275,7 +278,7 @@ def deep_nodes(key: np.ndarray, group: np.ndarray | None = None) -> tuple[np.nda
 
 
 def later(doc, tag, at, key, group, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of ``rows``, leaves of deep nodes: those that are not the first of their node, and the firsts."""
+    """Of ``rows``, suffixes of equal hashes: those that are not the first of their hash, and the firsts."""
     if not len(rows):
         return rows, rows
     order = rows[np.lexsort((at[rows], tag[rows], doc[rows], key[rows]))]
@@ -288,7 +291,7 @@ def later(doc, tag, at, key, group, rows: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _repeats(buckets: int):
-    """Group side: sort a group's suffixes and mark every leaf of a deep node but the first."""
+    """Group side: order a group's suffixes by hash and mark every one but the first of equal hashes."""
 
     def subtree(suffixes: list[bytes]) -> tuple[np.ndarray, ...]:
         doc, tag, at, key = (np.concatenate(c) for c in zip(*(_unpacked(s, 4) for s in suffixes)))
