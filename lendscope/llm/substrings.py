@@ -34,6 +34,7 @@ HELD_WORDS = 500_000  # words that a task holds before it sends their suffixes
 HELD_MARKS = 500_000  # marks that a task holds before it sends them
 DEPTHS = (1, 4, 10)  # words of a prefix and of its extensions, before the last one to the window
 DIGIT = 8  # bits by which a level tells the extensions of one prefix apart: a task counts 256 below each
+CELL = 16  # neighbouring prefixes whose counts travel in one row
 HELD_COUNTS = 2_000_000  # prefixes that a counting task holds
 
 _U64 = np.uint64
@@ -449,9 +450,11 @@ def find_groups(source: DataFrame, n: int, window: int, group: int) -> Groups:
     groups = Groups(window, [], [], [])
     size, sums, made = 0, None, 0
     while len(groups.extended) < len(groups.depths()) - 1:
-        counted = stored(
-            source.mapInArrow(_counts(groups), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n")), "prefixes"
-        )
+        names = [f"n{i}" for i in range(CELL)]
+        cells = source.mapInArrow(_counts(groups), "cell long, " + ", ".join(f"{c} long" for c in names))
+        summed = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in names])
+        single = summed.select("cell", F.posexplode(F.array(*names)).alias("i", "n")).where("n > 0")
+        counted = stored(single.select((F.col("cell") * CELL + F.col("i")).alias("prefix"), "n"), "prefixes")
         if not size:
             total = counted.agg(F.sum("n")).first()[0] or 0
             size, sums = max(1, min(group, -(-total // (2 * n)))), np.array([total], np.int64)
@@ -480,8 +483,14 @@ def _add(groups: Groups, sizes: np.ndarray, size: int, made: int) -> int:
 
 
 def _counts(groups: Groups):
-    """How often each prefix of the next level occurs in a task's texts."""
-    kind = pa.schema([("prefix", pa.int64()), ("n", pa.int64())])
+    """How often each prefix of the next level occurs in a task's texts, ``CELL`` neighbouring prefixes to a row."""
+    kind = pa.schema([("cell", pa.int64()), *[(f"n{i}", pa.int64()) for i in range(CELL)]])
+
+    def rows(known: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
+        cell, back = np.unique(known[0] // CELL, return_inverse=True)
+        table = np.zeros((CELL, len(cell)), np.int64)
+        table[known[0] % CELL, back] = known[1]
+        return pa.record_batch([pa.array(c) for c in (cell, *table)], schema=kind)
 
     def folded(held: list[np.ndarray], known: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         found, n = np.unique(np.concatenate(held), return_counts=True)
@@ -504,11 +513,11 @@ def _counts(groups: Groups):
                 if n_held >= HELD_WORDS:
                     known, held, n_held = folded(held, known), [], 0
                     if len(known[0]) >= HELD_COUNTS:
-                        yield pa.record_batch([pa.array(c) for c in known], schema=kind)
+                        yield rows(known)
                         known = nothing
         if held:
             known = folded(held, known)
         if len(known[0]):
-            yield pa.record_batch([pa.array(c) for c in known], schema=kind)
+            yield rows(known)
 
     return run
