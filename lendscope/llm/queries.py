@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and their SQL where it can express them."""
+"""The registered queries of the thirteen operators, and their SQL where it can express them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.llm import exact, language, mixing, nearest, packing, quality, shards, simhash, substrings, token_counts
+from lendscope.llm import (
+    chat,
+    exact,
+    language,
+    mixing,
+    nearest,
+    packing,
+    quality,
+    shards,
+    simhash,
+    spelling,
+    substrings,
+    token_counts,
+    whitening,
+)
+from lendscope.llm.common import stored
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 BYTE_VOCABULARY = "byte_bpe_50k.json"
@@ -66,12 +81,44 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), labelled, WEIGHTS).drop("row")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(table(spark, sf_dir, "documents"))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    hashed = runs.withColumn("h", F.crc32(name.cast("binary")))
+    # The contract's slips of the pen: one code point lost in every 31st run, as its hash says.
+    slip = F.overlay(F.col("run"), F.lit(""), (F.col("h") % F.length("run") + 1).cast("int"), F.lit(1))
+    words = hashed.select(F.when(F.col("h") % 31 == 0, slip).otherwise(F.col("run")).alias("word"))
+    return spelling.variants(spelling.vocabulary(words))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_VOCABULARY)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-1, i, r, "</s>[INST] ok [/INST]") for i, r in enumerate(("user", "assistant"))], turns.schema)
+    chats = stored(chat.format_chats(turns.unionByName(planted), path), "chats")
+    read = chat.read_chats(chats, path)
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.concat_ws("", "trained")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.concat_ws("", line), 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     ops = (
         op1_pack, op2_quality, op3_simhash, op4_token_counts, op5_substring_dedup, op6_token_shards, op7_nearest,
-        op8_exact_dedup, op9_language, op10_mixture,
+        op8_exact_dedup, op9_language, op10_mixture, op11_spelling, op12_whitening, op13_chat,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
@@ -80,7 +127,7 @@ def oracle_sql() -> dict[str, str]:
     """SQL over the whole tables; the other queries are tested against brute force in ``tests/llm``."""
     import corpus_pipeline
 
-    known = {"op7_nearest": NEAREST, "op8_exact_dedup": EXACT}
+    known = {"op7_nearest": NEAREST, "op8_exact_dedup": EXACT, "op11_spelling": SPELLING, "op13_chat": CHAT}
     return known | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
 
 
@@ -111,3 +158,69 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 WHERE rank <= 10
 """
+
+SPELLING = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS step
+), r AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+), b AS (
+    SELECT run, list_prepend(4294967295, flatten(list_transform(string_split(id || ':' || run, ''),
+        lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)] ELSE [192 + (unicode(s) >> 6), 128 + (unicode(s) & 63)] END))) AS bytes
+    FROM r
+), h AS (
+    SELECT run, xor(4294967295, list_reduce(bytes, lambda c, x: xor(c >> 8, step[(xor(c, x) & 255) + 1]))) AS h FROM b, crc
+), w AS MATERIALIZED (
+    SELECT word, count(*) AS n
+    FROM (SELECT CASE WHEN h % 31 <> 0 THEN run
+                      ELSE substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) END AS word FROM h)
+    WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+), lost AS MATERIALIZED (
+    SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest
+    FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)
+), pairs AS (
+    SELECT a.word AS word, b.word AS other, b.n AS other_n
+    FROM lost a JOIN lost b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+    UNION SELECT l.word, w.word, w.n FROM lost l JOIN w ON l.rest = w.word
+    UNION SELECT w.word, l.word, l.n FROM lost l JOIN w ON l.rest = w.word
+), near AS (
+    SELECT word, count(*) AS n_near, arg_min(struct_pack(w := other, n := other_n), struct_pack(a := -other_n, b := encode(other))) AS best
+    FROM pairs GROUP BY word
+), f AS MATERIALIZED (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN best.n >= 10 * w.n THEN best.w END AS form, CASE WHEN best.n >= 10 * w.n THEN best.n END AS form_n
+    FROM w LEFT JOIN near ON w.word = near.word
+), chain AS (
+    SELECT word, form AS root FROM f WHERE form IS NOT NULL
+    UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, coalesce(last.root, f.word) AS root, f.n, n_near, form_n
+FROM f LEFT JOIN (
+    SELECT c.word, c.root FROM chain c JOIN f ON c.root = f.word WHERE f.form IS NULL
+) last ON f.word = last.word
+"""
+
+CHAT = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role IS NULL AS no_role, text IS NULL AS no_text
+    FROM (SELECT conv_id, turn, role, text FROM conversations
+          UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+          UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+    SELECT *, regexp_replace(regexp_replace(role || chr(10) || text, '<(\\*)(\|endoftext\|>|s>|/s>)', '<\1\\\2', 'g'),
+                             '\[(\\*)(INST\]|/INST\])', '[\1\\\2', 'g') AS escaped
+    FROM t
+), g AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, no_role DESC, role, no_text DESC, text) AS turns,
+           coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, no_text DESC, text) FILTER (role = 'assistant'), '') AS loss,
+           CAST(sum(length(escaped) - 1 + 26) + 13 AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM g
+"""
