@@ -3,23 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendscope.operators import boosting
 from lendscope.operators.preprocess import fit_preprocessor
 from lendscope.operators.ranking import stratified_split
-from lendscope.session import ensure_checkpoint_dir
 
 ID, TARGET = "client_id", "is_default"
 TEST_SHARE, SEED = 0.25, 42
-# Boosted trees draw their rows by partition, so the number of partitions is part of the model and does not follow
-# the input. Set it to the cores of the cluster.
-FIT_PARTITIONS = 4
 
 # The features of the published models.
 NUMERIC_FEATURES = (
@@ -51,50 +49,64 @@ def logistic_regression(n_train: int) -> LogisticRegression:
     )
 
 
-def boosted_trees(rounds: int = 300) -> GBTClassifier:
-    """Boosted trees with the published settings; rounds run one after another."""
-    return GBTClassifier(
-        labelCol=TARGET,
-        maxIter=rounds,
-        maxDepth=4,
-        stepSize=0.05,
-        subsamplingRate=0.9,
-        featureSubsetStrategy="0.9",
-        seed=SEED,
-        checkpointInterval=10,
-    )
+def boosted_trees(rounds: int = 300) -> boosting.Settings:
+    """Boosted trees with the published settings."""
+    return boosting.Settings(rounds=rounds, depth=4, rate=0.05, rows=0.9, columns=0.9, seed=SEED)
+
+
+@dataclass
+class BoostedModel:
+    """The fitted preprocessing and the trees behind it."""
+
+    prep: PipelineModel
+    trees: boosting.Trees
+
+    def save(self, root: str) -> None:
+        self.prep.write().overwrite().save(f"{root}/prep")
+        self.trees.save(SparkSession.active(), f"{root}/trees")
+
+    @classmethod
+    def load(cls, root: str) -> BoostedModel:
+        return cls(PipelineModel.load(f"{root}/prep"), boosting.Trees.load(SparkSession.active(), f"{root}/trees"))
+
+
+Model = PipelineModel | BoostedModel
 
 
 def fit_models(
-    train: DataFrame,
-    rounds: int = 300,
-    only: tuple[str, ...] = ("logreg", "xgboost"),
-    partitions: int = FIT_PARTITIONS,
-) -> dict[str, PipelineModel]:
-    """Fitted pipelines by model name; neither rebalances the classes."""
-    ensure_checkpoint_dir(train.sparkSession)
+    train: DataFrame, rounds: int = 300, only: tuple[str, ...] = ("logreg", "xgboost")
+) -> dict[str, Model]:
+    """Fitted models by name; neither rebalances the classes. The answer does not depend on how rows are dealt out."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     prepared = None
     try:
         prep = fit_preprocessor(train, NUMERIC_FEATURES, CATEGORICAL_FEATURES)
-        spread = train.repartition(partitions, F.xxhash64(ID)).sortWithinPartitions(ID)
-        prepared = prep.transform(spread).select(TARGET, "features").persist(StorageLevel.MEMORY_AND_DISK)
-        rows = prepared.count()
-        makers = {"logreg": lambda: logistic_regression(rows), "xgboost": lambda: boosted_trees(rounds)}
-        return {name: PipelineModel([*prep.stages, makers[name]().fit(prepared)]) for name in only}
+        prepared = prep.transform(train).select(ID, TARGET, "features").persist(StorageLevel.MEMORY_AND_DISK)
+        fitted: dict[str, Model] = {}
+        if "logreg" in only:
+            fitted["logreg"] = PipelineModel([*prep.stages, logistic_regression(prepared.count()).fit(prepared)])
+        if "xgboost" in only:
+            rows = prepared.select(
+                F.col(ID).alias("key"), F.col(TARGET).alias("label"), vector_to_array("features").alias("features")
+            )
+            fitted["xgboost"] = BoostedModel(prep, boosting.fit(rows, boosted_trees(rounds)))
+        return fitted
     finally:
         train.unpersist()
         if prepared is not None:
             prepared.unpersist()
 
 
-def score(df: DataFrame, model: PipelineModel, output: str) -> DataFrame:
+def score(df: DataFrame, model: Model, output: str) -> DataFrame:
     """The input columns plus the probability of default."""
+    if isinstance(model, BoostedModel):
+        ready = model.prep.transform(df).select(*df.columns, vector_to_array("features").alias("_features"))
+        return ready.select(*df.columns, model.trees.score("_features").alias(output))
     probability = vector_to_array(F.col("probability"))[1]
     return model.transform(df).select(*df.columns, probability.alias(output))
 
 
-def model_scores(features: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
+def model_scores(features: DataFrame, models: Mapping[str, Model]) -> DataFrame:
     """Both scores, the label and the split flag for every borrower."""
     scored = features
     for name, output in MODELS:
@@ -115,14 +127,17 @@ def require_valid_scores(scores: DataFrame) -> DataFrame:
     return scores
 
 
-def save_models(models: Mapping[str, PipelineModel], root: str) -> None:
+def save_models(models: Mapping[str, Model], root: str) -> None:
     for name, model in models.items():
-        model.write().overwrite().save(f"{root}/{name}")
+        if isinstance(model, BoostedModel):
+            model.save(f"{root}/{name}")
+        else:
+            model.write().overwrite().save(f"{root}/{name}")
 
 
-def load_models(root: str) -> dict[str, PipelineModel]:
-    """The saved pipelines; fails when one is missing."""
-    return {name: PipelineModel.load(f"{root}/{name}") for name, _ in MODELS}
+def load_models(root: str) -> dict[str, Model]:
+    """The saved models; fails when one is missing."""
+    return {"logreg": PipelineModel.load(f"{root}/logreg"), "xgboost": BoostedModel.load(f"{root}/xgboost")}
 
 
 def score_test_flag(scores: DataFrame, test_ids: DataFrame, key: str = ID) -> DataFrame:

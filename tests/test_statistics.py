@@ -220,7 +220,7 @@ def test_models_score_everyone_and_survive_saving(spark, features, tmp_path):
 def test_penalty_is_one_over_the_training_rows():
     assert model.logistic_regression(400).getRegParam() == 1 / 400
     trees = model.boosted_trees()
-    assert (trees.getMaxIter(), trees.getMaxDepth(), trees.getStepSize()) == (300, 4, 0.05)
+    assert (trees.rounds, trees.depth, trees.rate, trees.rows, trees.columns) == (300, 4, 0.05, 0.9, 0.9)
 
 
 def test_segment_report_and_drift(spark):
