@@ -218,6 +218,9 @@ def refused_client_files(spark: SparkSession, sf: str) -> DataFrame:
         "whole": (text, "csv"),
         "bad_key": (text.withColumn("ID", bad_id), "csv"),
         "empty_key": (text.withColumn("ID", F.when(F.col("ID") != first.cast("string"), F.col("ID"))), "csv"),
+        "no_numbers": (text.select(F.when(F.col("ID") != first.cast("string"), F.col("ID")).otherwise("A17").alias("ID"), *[
+            F.when(F.col("ID") != first.cast("string"), F.col(c)).alias(c.strip("`")) for c in names[1:]]), "csv"),
+        "blank_row": (text.select(*[F.when(F.col("ID") != first.cast("string"), F.col(c)).alias(c.strip("`")) for c in names]), "csv"),
         "short_rows": (text.select(*names[:-1]), "csv"),
         "one_column": (rows.select("ID"), "parquet"),
     }
@@ -608,6 +611,40 @@ def incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def incremental_fact_content(spark: SparkSession, sf: str) -> DataFrame:
+    """What a second load finds by content: changed rows in days of equal count, rows without a day, a vanished day."""
+    path = scratch_path(spark, "fact")
+    fact = bridge.feed(spark, sf).select("txn_id", "borrower_id", "amount", "load_date")
+    undated = F.col("txn_id").cast("long") % 11 == 0
+    early = fact.withColumn("load_date", F.when(~undated, F.col("load_date")))
+    history.incremental_fact(early, path, "load_date")
+    day = F.dayofmonth("load_date")
+    late = early.filter(F.coalesce(day, F.lit(0)) != 9).withColumns(
+        {"amount": F.when((day == 5) & (F.col("borrower_id") % 2 == 0), F.col("amount") + 1).otherwise(F.col("amount"))}
+    )
+    late = late.filter(F.col("load_date").isNotNull() | (F.col("borrower_id") % 3 > 0))
+    changes = _stored(spark, history.fact_changes(late, path, "load_date"), "changes")
+    history.incremental_fact(late, path, "load_date", drop_vanished=True)
+    held = spark.read.schema(late.schema).parquet(path).groupBy(F.col("load_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_stored"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount")
+    )
+    joined = held.alias("h").join(changes.alias("c"), F.col("h.day").eqNullSafe(F.col("c.day")), "full_outer")
+    return joined.select(F.coalesce("h.day", "c.day").alias("day"), "change", "n_rows", "before", "n_stored", "amount")
+
+
+def late_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """Four snapshots of client silver, the third and the first of them late: the history that order would give."""
+    clients = _stored(spark, _clients(spark, sf).select("client_id", "credit_limit", "age"), "clients")
+    found = None
+    for n in (2, 4, 3, 1):
+        raised = (F.col("credit_limit") + 1000 * (F.col("client_id") % 3 + n // 3)).cast("int")
+        limit = F.when(F.col("client_id") % 5 < n, raised).otherwise(F.col("credit_limit"))
+        shown = clients.filter(F.col("client_id") % 7 != n).withColumn("credit_limit", limit)
+        merged = history.scd2_observe(found, shown, "client_id", ("credit_limit", "age"), f"2024-0{n}-01 00:00:00")
+        found = _stored(spark, merged, "history")
+    return found.select("client_id", "credit_limit", "age", "valid_from", "valid_to", "is_current", F.size("seen").alias("n_seen"))
+
+
 def ingest_events_stream(spark: SparkSession, sf: str) -> DataFrame:
     target, state = scratch_path(spark, "bronze"), scratch_path(spark, "state")
     landing = _land_feed(spark, sf)
@@ -887,6 +924,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fct_loan": lambda s, sf: portfolio.fct_loan(_tape(s, sf)),
         "fct_payment": lambda s, sf: portfolio.fct_payment(_payments(s, sf)),
         "incremental_fact": incremental_fact,
+        "incremental_fact_content": incremental_fact_content,
+        "late_snapshots": late_snapshots,
         "volume_band": volume_band,
         "volume_band_gap": volume_band_gap,
         "daily_run": daily_run,

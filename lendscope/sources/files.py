@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -34,10 +35,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def latest_partition(spark: SparkSession, base: str, key: str = "load_date") -> str | None:
     """The last ``key=`` folder by name, or None. Lists one folder, opens no file."""
+    return max(partitions(spark, base, key), default=None)
+
+
+# The folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partitions(spark: SparkSession, base: str, key: str = "load_date") -> list[str]:
+    """The values of the ``key=`` folders, in order; rows without a value have none."""
     marker = f"{key}="
     names = [p.rsplit("/", 1)[1] for p in _children(spark, base)]
-    dates = [n.removeprefix(marker) for n in names if n.startswith(marker)]
-    return max(dates, default=None)
+    found = [n.removeprefix(marker) for n in names if n.startswith(marker)]
+    return sorted(v for v in found if v != NO_VALUE)
 
 
 def read_partition(spark: SparkSession, base: str, value: str, key: str = "load_date") -> DataFrame:
@@ -62,19 +72,21 @@ def file_format(spark: SparkSession, path: str) -> str:
 def read_clients(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The client file, Parquet or CSV, with the declared columns in their order.
 
-    In the CSV export of the sheet a banner line precedes the column names: both hold no number at all, which is how
-    both are dropped. A line of names that differs from the declared one, a line with too few or too many cells, a
-    row without a whole number as its key, and a cell that is no number are errors of the job that reads them.
+    The CSV export of the sheet begins with the column names, or with a banner line and the column names; nothing else
+    is dropped. A second line that names other columns, a line with too few or too many cells, a row without a whole
+    number as its key, also an empty one, and a cell that is no number are errors of the job that reads them.
     """
     if file_format(spark, path) == "parquet":
         found = require_columns(spark.read.parquet(path), schema)
         return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     raw = spark.read.schema(text).csv(path, header=False, mode="FAILFAST")
-    cells = F.array(*[F.trim(F.col(f"`{n}`")) for n in schema.names])
+    cells = F.array(*[F.coalesce(F.trim(F.col(f"`{n}`")), F.lit("")) for n in schema.names])
     names = F.array(*[F.lit(n) for n in schema.names])
-    heading = ~F.exists(cells, lambda c: c.rlike(r"^[-+]?\d"))
-    drifted = heading & F.arrays_overlap(cells, names) & (cells != names)
+    heading = cells == names
+    for banner in _banners(spark, path, schema.names):
+        heading = heading | (cells == F.array(*[F.lit(c) for c in banner]))
+    drifted = ~heading & F.arrays_overlap(cells, names)
     rows = raw.filter(
         F.when(drifted, F.raise_error(F.concat(F.lit("client columns are "), F.concat_ws(",", cells))).cast("boolean"))
         .otherwise(~heading)
@@ -89,6 +101,30 @@ def read_clients(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return rows.select(*columns)
 
 
+def _first_lines(spark: SparkSession, path: str, n: int = 2) -> list[str]:
+    """The first lines of one file, from the cluster's own file system."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = [reader.readLine() for _ in range(n)]
+    finally:
+        stream.close()
+    return [line for line in lines if line is not None]
+
+
+def _banners(spark: SparkSession, path: str, names: Sequence[str]) -> list[list[str]]:
+    """The distinct first lines of a sheet's files that the line of column names follows, as cells."""
+    found: dict[tuple, None] = {}
+    for file in [path, *_children(spark, path, recursive=True)]:
+        if _formats([file]):
+            lines = [[c.strip() for c in row] for row in csv.reader(_first_lines(spark, file))]
+            if len(lines) == 2 and lines[1] == list(names) and len(lines[0]) == len(names):
+                found[tuple(lines[0])] = None
+    return [list(cells) for cells in found]
+
+
 def read_feed(df: DataFrame, column: str = "txn_ts") -> DataFrame:
     """The feed with its event time as a timestamp.
 

@@ -860,8 +860,8 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             group by 1""",
         ),
         "refused_client_files": """
-            select * from (values ('whole', false), ('bad_key', true), ('empty_key', true), ('short_rows', true),
-                ('one_column', true)) t(file, refused)
+            select * from (values ('whole', false), ('bad_key', true), ('empty_key', true), ('no_numbers', true),
+                ('blank_row', true), ('short_rows', true), ('one_column', true)) t(file, refused)
             where (select count(*) from customer) > 0""",
         # The first batch is what lies before the cut; its newest event, less the delay, is the watermark.
         "dedupe_events_stream": _with(
@@ -954,6 +954,49 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             status, status = 'POSTED' as is_posted from pay""",
         ),
         "incremental_fact": _with("feed", "select txn_id, borrower_id, amount, load_date from feed"),
+        "incremental_fact_content": _with(
+            "feed",
+            """with early as (
+                select txn_id, borrower_id, amount, case when txn_id::bigint % 11 <> 0 then load_date end as load_date from feed
+            ), late as (
+                select txn_id, borrower_id, load_date,
+                    case when day(load_date) = 5 and borrower_id % 2 = 0 then amount + 1 else amount end as amount
+                from early where coalesce(day(load_date), 0) <> 9 and (load_date is not null or borrower_id % 3 > 0)
+            ), b as (select load_date as day, count(*) as before from early group by 1),
+            a as (
+                select load_date as day, count(*) as n_rows, sum(amount::decimal(18,2))::double as amount,
+                    coalesce(bool_or(day(load_date) = 5 and borrower_id % 2 = 0), false) as touched
+                from late group by 1
+            )
+            select coalesce(a.day, b.day) as day,
+                case when a.n_rows is null then 'vanished' when a.n_rows <> before or touched then 'changed' end as change,
+                case when a.n_rows <> before or touched then a.n_rows end as n_rows,
+                case when a.n_rows is null or a.n_rows <> before or touched then before end as before,
+                a.n_rows as n_stored, a.amount
+            from a full join b on a.day is not distinct from b.day""",
+        ),
+        "late_snapshots": _with(
+            "stg",
+            """with shown as (
+                select client_id, n, age,
+                    case when client_id % 5 < n then credit_limit + 1000 * (client_id % 3 + n // 3) else credit_limit end::int
+                        as credit_limit
+                from stg, range(1, 5) t(n) where client_id % 7 <> n
+            ), marked as (
+                select *, coalesce(credit_limit is not distinct from lag(credit_limit) over w
+                    and age is not distinct from lag(age) over w and row_number() over w > 1, false) as same
+                from shown window w as (partition by client_id order by n)
+            ), runs as (
+                select *, sum(case when same then 0 else 1 end) over (partition by client_id order by n) as run from marked
+            ), versions as (
+                select client_id, run, any_value(credit_limit) as credit_limit, any_value(age) as age, min(n) as n,
+                    count(*)::int as n_seen
+                from runs group by client_id, run
+            )
+            select client_id, credit_limit, age, make_timestamp(2024, n, 1, 0, 0, 0) as valid_from,
+                make_timestamp(2024, lead(n) over v, 1, 0, 0, 0) as valid_to, lead(n) over v is null as is_current, n_seen
+            from versions window v as (partition by client_id order by n)""",
+        ),
         "volume_band": _volume_band("events"),
         "volume_band_gap": _volume_band(
             "(select * from events where event_type = 'error' or day(ts) not in (10, 11, 12))"

@@ -140,6 +140,22 @@ def test_a_malformed_client_row_is_an_error(spark, tmp_path, key):
         files.read_clients(spark, path, RAW_CLIENTS).collect()
 
 
+@pytest.mark.parametrize("row", ["A17" + "," * 24, "," * 24, ",".join("x" * 25)])
+def test_client_rows_without_numbers_are_not_dropped(spark, tmp_path, row):
+    path = sheet(tmp_path, ",".join(RAW_CLIENTS.names), client_line(1), row, client_line(2))
+    with pytest.raises(Exception, match="client row without a number as ID"):
+        files.read_clients(spark, path, RAW_CLIENTS).collect()
+
+
+def test_a_banner_stands_before_the_names_only(spark, tmp_path):
+    banner = "Title of the sheet" + "," * 24
+    path = sheet(tmp_path, banner, ",".join(RAW_CLIENTS.names), client_line(1))
+    assert files.read_clients(spark, path, RAW_CLIENTS).count() == 1
+    path = sheet(tmp_path, client_line(1), banner, client_line(2))
+    with pytest.raises(Exception, match="client row without a number as ID"):
+        files.read_clients(spark, path, RAW_CLIENTS).collect()
+
+
 def test_reordered_or_missing_client_columns_are_refused(spark, tmp_path):
     names = list(RAW_CLIENTS.names)
     names[1], names[2] = names[2], names[1]
