@@ -10,7 +10,7 @@ rounds; what a lost executor held is built again from there.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,7 @@ from lendscope.session import ensure_checkpoint_dir
 
 SAMPLE = 100_000  # rows that the bin edges are taken from; all rows where there are no more
 KEEP = 25  # rounds between two checkpoints of the margins
-BLOCK = 50_000  # rows of one block
+BLOCK = 50_000  # rows of one block; a table of no more is fitted by one task, with the same result
 _ONE = float(1 << 24)  # one, in the unit of gradient sums
 _FEW = 64  # partitions whose sums the driver folds by itself
 
@@ -154,8 +154,32 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
     blocks = _blocks(rows, edges, base)
     # Numbers of each feature's first bin, and of the end.
     starts = np.concatenate([[0], np.cumsum([len(e) + 1 for e in edges])])
+    if n <= BLOCK:
+        # One block needs no exchange of sums: its task grows the same trees by itself.
+        made = blocks.coalesce(1).mapPartitions(lambda part: _alone(part, starts, settings)).collect()
+        return _on_values(made, edges, starts, base)
+    return _on_values(_together(blocks, starts, settings), edges, starts, base)
+
+
+def _alone(part: Iterator[Block], starts: np.ndarray, settings: Settings) -> Iterator[_Tree]:
+    """The trees of a few rows that lie in one partition."""
+    parts = list(part)
+    block = Block(*(np.concatenate([getattr(b, c) for b in parts]) for c in ("bins", "label", "key", "margin")))
+    for round_ in range(settings.rounds):
+
+        def sums(tree: _Tree, level: int, round_=round_) -> np.ndarray:
+            return histograms(block, [], tree, level, int(starts[-1]), round_, settings)
+
+        tree = _grow(sums, starts, round_, settings)
+        block = _moved(block, [tree], settings.depth)
+        yield tree
+
+
+def _together(blocks: RDD, starts: np.ndarray, settings: Settings) -> list[_Tree]:
+    """The trees of blocks in many partitions: a job for each level, margins checkpointed every ``KEEP`` rounds."""
     made: list[_Tree] = []
     held: list[RDD] = []
+    bins = int(starts[-1])
     try:
         for round_ in range(settings.rounds):
             if round_ % KEEP == 0:
@@ -167,11 +191,21 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
                 held.append(blocks)
                 while len(held) > 1:
                     held.pop(0).unpersist()
-            made.append(_grow(blocks, made[round_ - round_ % KEEP :], starts, round_, settings))
+            since = made[round_ - round_ % KEEP :]
+
+            def sums(tree: _Tree, level: int, round_=round_, since=since, blocks=blocks) -> np.ndarray:
+                def of(part: Iterator[Block]) -> Iterator[np.ndarray]:
+                    found = [histograms(b, since, tree, level, bins, round_, settings) for b in part]
+                    if found:
+                        yield np.sum(found, axis=0)
+
+                return blocks.mapPartitions(of).treeReduce(np.add, 1 if blocks.getNumPartitions() <= _FEW else 2)
+
+            made.append(_grow(sums, starts, round_, settings))
     finally:
         for kept in held:
             kept.unpersist()
-    return _on_values(made, edges, starts, base)
+    return made
 
 
 def _sampled(rows: DataFrame, n: int) -> np.ndarray:
@@ -247,8 +281,8 @@ def histograms(
     return np.stack(sums, axis=2)
 
 
-def _grow(blocks: RDD, since: list[_Tree], starts: np.ndarray, round_: int, settings: Settings) -> _Tree:
-    """One more tree: a pass over the blocks for each level."""
+def _grow(sums_of: Callable[[_Tree, int], np.ndarray], starts: np.ndarray, round_: int, settings: Settings) -> _Tree:
+    """One more tree; ``sums_of`` gives the histograms of a level of the tree so far."""
     inner, bins = (1 << settings.depth) - 1, int(starts[-1])
     tree = _Tree(np.zeros(inner, np.int64), np.full(inner, bins), np.zeros(inner + 1))
     allowed = np.zeros(bins, bool)
@@ -257,18 +291,7 @@ def _grow(blocks: RDD, since: list[_Tree], starts: np.ndarray, round_: int, sett
     for f in some:
         allowed[starts[f] : starts[f + 1] - 1] = True  # nothing is larger than the last bin
     for level in range(settings.depth):
-        partial = _Tree(tree.feature.copy(), tree.cut.copy(), tree.value)
-
-        def of(part: Iterator[Block], partial=partial, level=level) -> Iterator[np.ndarray]:
-            total = None
-            for block in part:
-                found = histograms(block, since, partial, level, bins, round_, settings)
-                total = found if total is None else total + found
-            if total is not None:
-                yield total
-
-        sums = blocks.mapPartitions(of).treeReduce(np.add, 1 if blocks.getNumPartitions() <= _FEW else 2)
-        feature, cut, left, right = best_splits(sums / _ONE, starts, allowed, settings)
+        feature, cut, left, right = best_splits(sums_of(tree, level) / _ONE, starts, allowed, settings)
         first = (1 << level) - 1
         tree.feature[first : 2 * first + 1], tree.cut[first : 2 * first + 1] = feature, cut
     for side, totals in enumerate((left, right)):

@@ -954,6 +954,24 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             status, status = 'POSTED' as is_posted from pay""",
         ),
         "incremental_fact": _with("feed", "select txn_id, borrower_id, amount, load_date from feed"),
+        "boosted_stump": _with(
+            "feat",
+            """with v as (
+                select name, coalesce(value::double, -100) as x, is_default as y, avg(is_default) over (partition by name) as p
+                from (select is_default, max_repay_status, months_delinquent, age from feat)
+                unpivot include nulls (value for name in (max_repay_status, months_delinquent, age))
+            ), b as (select name, x, sum(p - y) as g, sum(p * (1 - p)) as h from v group by name, x),
+            s as (
+                select name, x, sum(g) over w as lg, sum(h) over w as lh, sum(g) over (partition by name) as g,
+                    sum(h) over (partition by name) as h
+                from b window w as (partition by name order by x)
+            ), best as (
+                select *, g - lg as rg, h - lh as rh from s where lh >= 1 and h - lh >= 1
+                order by lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) desc limit 1
+            )
+            select name as feature, x as threshold, 'left' as side, round(-lg / (lh + 1), 4) as value from best
+            union all select name, x, 'right', round(-rg / (rh + 1), 4) from best""",
+        ),
         "incremental_fact_content": _with(
             "feed",
             """with early as (

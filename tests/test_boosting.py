@@ -87,13 +87,15 @@ def test_fit_is_the_plain_fit(spark, settings, parts):
 def test_any_dealing_gives_one_model(spark, monkeypatch):
     x, y = table(600)
     settings = Settings(rounds=7, depth=4, rate=0.2)
-    monkeypatch.setattr(boosting, "KEEP", 3)
-    one = boosting.fit(frame(spark, x, y, 1), settings)
-    monkeypatch.setattr(boosting, "KEEP", 100)
-    monkeypatch.setattr(boosting, "_FEW", 2)
-    many = boosting.fit(frame(spark, x, y, 7).orderBy(F.rand(1)), settings)
-    for a, b in zip((one.feature, one.threshold, one.value), (many.feature, many.threshold, many.value)):
-        assert (a == b).all()
+    fits = [boosting.fit(frame(spark, x, y, 2), settings)]
+    monkeypatch.setattr(boosting, "BLOCK", 50)
+    for keep, few, parts in ((3, 64, 1), (100, 2, 7)):
+        monkeypatch.setattr(boosting, "KEEP", keep)
+        monkeypatch.setattr(boosting, "_FEW", few)
+        fits.append(boosting.fit(frame(spark, x, y, parts).orderBy(F.rand(1)), settings))
+    for other in fits[1:]:
+        for c in ("feature", "threshold", "value"):
+            assert (getattr(fits[0], c) == getattr(other, c)).all()
 
 
 def test_scores_and_saved_trees(spark, tmp_path):
