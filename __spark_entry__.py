@@ -438,7 +438,7 @@ def _checked(scores: DataFrame, name: str) -> DataFrame:
     column = dict(model.MODELS)[name]
     stored = _stored(scores.sparkSession, scores, "scores")
     deviations, train_floor = AUC_FLOOR[name]
-    sizes = stored.filter("is_test").agg(F.count_if("is_default = 1"), F.count_if("is_default = 0")).first()
+    sizes = stored.filter("is_test").agg(*[F.count_if(F.col("is_default") == v) for v in (0, 1)]).first()
     # A ranking by chance has this deviation (rank-sum test).
     chance = ((sum(sizes) + 1) / (12 * max(1, sizes[0] * sizes[1]))) ** 0.5
     separates = True
@@ -773,21 +773,47 @@ def daily_run(spark: SparkSession, sf: str) -> DataFrame:
     """The whole day on landed files: rows of everything that is served or recorded."""
     root = scratch_path(spark, "lake")
     run_at = _feed_end(spark, sf) + timedelta(hours=1)
-    daily.run_daily(spark, _landed(spark, sf), root, run_at, client_rows=ROWS_A)
+    tape = daily.Tape(LOAN_SCHEMA, newest_first=("delivery",), extra=("delivery",))
+    daily.run_daily(spark, _landed(spark, sf), root, run_at, client_rows=ROWS_A, volume_tolerance=1.0, tape=tape)
     names = [
         "stg_clients", "stg_payments", "dim_borrower", "fct_payment_history", "feature_default_prediction",
         "gov_borrower_analyst", "gov_borrower_regional", "gov_borrower_risk_analyst", "gov_payments_analyst",
-        "model_scores", "model_calibration", "model_segments", "model_split",
+        "model_scores", "model_calibration", "model_segments", "model_split", "stg_loans", "fct_loan",
     ]
     tables = {n: publish.read_published(spark, root, n) for n in names}
     tables["scores_in_range"] = tables["model_scores"].filter("pd_logreg > 0 and pd_logreg < 1 and pd_xgboost between 0 and 1")
     tables["test_rows"] = tables["model_scores"].filter("is_test")
     tables["useful_models"] = tables["model_split"].filter("auc > 0.5 and side = 'train'")
     tables["dq_results"] = spark.read.parquet(f"{root}/meta/dq_results")
-    tables["manifest_sources"] = spark.read.parquet(f"{root}/meta/manifest").select("source").distinct()
+    recorded = spark.read.parquet(f"{root}/meta/manifest")
+    tables["manifest_sources"] = recorded.select("source").distinct()
+    tables["manifest_rows"] = recorded.select(F.explode(F.sequence(F.lit(1), F.col("row_count"))))
+    tables["monitored"] = spark.read.parquet(f"{root}/meta/monitoring")
     return bronze.table_inventory(tables)
 
 
+def late_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Payment silver after three deliveries: some days; a day between them and later ones; one day anew."""
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    feed = bridge.feed(spark, sf)
+    day = F.dayofmonth("load_date")
+    corrected = feed.filter((day == 4) & (F.col("borrower_id") % 3 > 0)).withColumn("amount", F.col("amount") + 1)
+    # Every correction brings back some payments of another day, with a newer load.
+    moved = feed.filter((day == 6) & (F.col("borrower_id") % 4 == 0)).withColumns(
+        {"amount": F.col("amount") + 2, "load_date": F.to_date(F.lit("2024-01-04"))}
+    )
+    anew = corrected.unionByName(moved)
+    start = _feed_end(spark, sf) + timedelta(hours=1)
+    for n, rows in enumerate((feed.filter(day.isin(2, 4, 6, 8)), feed.filter((day == 5) | (day > 8)), anew)):
+        for d in [r[0] for r in rows.select("load_date").distinct().collect()]:
+            own = rows.filter(F.col("load_date") == F.lit(d)).drop("load_date")
+            own.write.mode("overwrite").parquet(f"{landing}/transactions/load_date={d}")
+        run_at = start + timedelta(hours=n)
+        daily.load_landed(spark, landing, root, run_at, ("transactions",))
+        place = daily.merge_silver(spark, "transactions", root, f"run{n}")
+    return publish.read_place(spark, place).select("txn_id", "client_id", "amount", "load_date")
+
+
 def stale_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Status of the loaded feed an hour, two days and a month after its newest event, with nothing landed since."""
     root = scratch_path(spark, "lake")
@@ -954,6 +980,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "volume_band": volume_band,
         "volume_band_gap": volume_band_gap,
         "daily_run": daily_run,
+        "late_days": late_days,
         "stale_feed": stale_feed,
         "repeated_publish": repeated_publish,
         "schema_check": lambda s, sf: monitoring.schema_check(bridge.raw_transactions(s, sf), RAW_TRANSACTIONS),

@@ -1,20 +1,27 @@
-"""One day's run: land to bronze, silver, checked gold, governed views, scores and their evaluation."""
+"""One day's run: land to bronze, silver, checked gold, governed views, scores, their evaluation and monitoring."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from dataclasses import dataclass
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lendscope.operators import metrics
-from lendscope.plans import model, publish, quality, silver
+from lendscope.plans import model, monitoring, portfolio, publish, quality, silver
 from lendscope.schemas import SOURCES
-from lendscope.sources import bronze, files, manifest
+from lendscope.sources import bronze, files, keyed, ledger, manifest
 
 # Rows of one key and one load time are told apart by their file and, at last, by a digest of the whole row.
 TIES = ("_source_file", "_digest")
 
+# The feed's newest day may differ so much from the days before, of which there must be so many.
+VOLUME_TOLERANCE, VOLUME_DAYS = 0.15, 7
+# Shares and population stability above these are reported.
+NULL_LIMIT, DRIFT_LIMIT = 0.05, 0.2
+
 
 def run_daily(
     spark: SparkSession,
@@ -24,29 +31,184 @@ def run_daily(
     client_rows: tuple[int, int] = quality.CLIENT_ROWS,
     rounds: int = 300,
     sources: tuple[str, ...] = tuple(SOURCES),
+    volume_tolerance: float | None = VOLUME_TOLERANCE,
+    tape: Tape | None = None,
 ) -> dict[str, int | None]:
     """Run every step in order; a failing check or test stops before anything is served.
 
+    Every landed day that the ledger lacks is loaded, whenever it landed, and only those days are merged into silver.
     Each step reads what the step before stored, so a lost executor costs its own tasks only, and a run can be
-    repeated from the start.
+    repeated from the start. Returns the rows loaded by source; None where nothing new has landed.
     """
-    loaded = bronze.load_sources(spark, sources, landing, f"{root}/bronze")
-    record_files(spark, [n for n in sources if loaded[n] is not None], landing, root, run_at)
+    run_id = quality.run_id_of(run_at)
+    loaded = load_landed(spark, landing, root, run_at, sources, tape)
+    record_files(spark, [n for n in sources if loaded[n] is not None], landing, root, run_at, tape)
+    places = {"stg_clients": merge_silver(spark, "clients", root, run_id)}
     payments = None
     if "transactions" in sources:
         require_fresh_feed(spark, root, run_at)
-        payments = silver.stg_payments(_bronze(spark, root, "transactions"), TIES)
-    clients = silver.stg_clients(_bronze(spark, root, "clients"), TIES)
-    publish.publish_gold(spark, clients, root, run_at, client_rows=client_rows, payments=payments)
+        if volume_tolerance is not None:
+            require_volume(spark, root, run_at, volume_tolerance)
+        places["stg_payments"] = merge_silver(spark, "transactions", root, run_id)
+        payments = publish.read_place(spark, places["stg_payments"])
+    clients = publish.read_place(spark, places["stg_clients"])
+    publish.publish_gold(spark, clients, root, run_at, client_rows=client_rows, payments=payments, stored=places)
+    if loaded.get("loan_tape") is not None and tape is not None:
+        publish_tape(spark, root, run_id, tape)
+    before = _published(spark, root, "model_scores")
     train_and_score(spark, root, run_at, rounds)
+    monitor(spark, root, run_id, before)
+    return loaded
+
+
+def load_landed(
+    spark: SparkSession, landing: str, root: str, run_at: datetime, sources: tuple[str, ...], tape: Tape | None = None
+) -> dict[str, int | None]:
+    """Land to bronze: all days of the dated sources that the ledger lacks, and the tape as it lies there."""
+    loaded: dict[str, int | None] = {}
+    for source in sources:
+        path = f"{landing}/{source}"
+        if source == "loan_tape":
+            schema = tape.raw_schema() if tape else None
+            loaded[source] = bronze.load_source(spark, source, path, f"{root}/bronze", run_at, schema=schema)
+        else:
+            days = ledger.load_pending(spark, source, path, root, quality.run_id_of(run_at), run_at)
+            loaded[source] = sum(days.values()) if days else None
     return loaded
 
 
+# Silver by source: its table, key and typed rows.
+SILVER = {
+    "clients": ("stg_clients", "client_id", silver.typed_clients),
+    "transactions": ("stg_payments", "txn_id", silver.typed_payments),
+}
+
+
+def merge_silver(spark: SparkSession, source: str, root: str, run_id: str) -> str:
+    """Merge the days of the ledger that silver lacks into its newest version; the place of the new version.
+
+    Only these days are read from bronze. A day that was delivered again may lack rows it had; then the buckets that
+    held its rows are made from all of bronze. Entries are noted once their version stands.
+    """
+    name, key, typed = SILVER[source]
+    store = f"{root}/silver/{name}"
+    entries = ledger.read_ledger(spark, root).filter(F.col("source") == source)
+    entries = entries.groupBy("load_date", "run").agg(F.max("again").alias("again"))
+    noted = f"{store}/merged"
+    if files.path_exists(spark, noted):
+        entries = entries.join(spark.read.schema(MERGED).json(noted), ["load_date", "run"], "left_anti")
+    todo = entries.collect()  # a row for each day since the last run
+    newest = keyed.newest_version(spark, store)
+    if not todo:
+        if newest is None:
+            raise LookupError(f"no {source} were ever loaded")
+        return publish.keyed_place(store, newest)
+    rows = typed(_bronze(spark, root, source), TIES)
+    days = sorted({r.load_date for r in todo})
+    again = sorted({r.load_date for r in todo if r.again})
+    version = keyed.merge_latest(
+        rows.filter(F.col("load_date").isin(*[_day(d) for d in days])),
+        store,
+        [key],
+        ["loaded_at", *TIES],
+        run_id,
+        withdrawn=F.col("load_date").isin(*[_day(d) for d in again]) if again else None,
+        history=rows if again else None,
+    )
+    done = spark.createDataFrame([(r.load_date, r.run) for r in todo], MERGED)
+    done.coalesce(1).write.mode("append").json(noted)
+    return publish.keyed_place(store, version)
+
+
+MERGED = "load_date string, run string"
+
+
+def _day(value: str) -> date:
+    return date.fromisoformat(value)
+
+
+def _published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The published version of a table, None before the first."""
+    if not files.path_exists(spark, f"{root}/meta/published"):
+        return None
+    try:
+        return publish.read_published(spark, root, name)
+    except LookupError:
+        return None
+
+
 def _bronze(spark: SparkSession, root: str, source: str) -> DataFrame:
     raw = spark.read.parquet(f"{root}/bronze/{SOURCES[source].table}")
     return raw.withColumn("_digest", F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]))
 
 
+def require_volume(spark: SparkSession, root: str, run_at: datetime, tolerance: float) -> None:
+    """The feed's newest day against the days before, by the ledger's counts; no feed row is read.
+
+    The first ``VOLUME_DAYS`` days of a feed have too little behind them and pass.
+    """
+    own = ledger.read_ledger(spark, root).filter(F.col("source") == "transactions")
+    newest = own.groupBy("path").agg(F.max_by(F.struct("load_date", "row_count"), F.struct("loaded_at", "run")).alias("r"))
+    volume = newest.groupBy(F.lit("transactions").alias("source"), F.col("r.load_date").cast("date").alias("day")).agg(
+        F.sum("r.row_count").alias("row_count")
+    )
+    bands = monitoring.volume_band(volume, tolerance)
+    bands = bands.withColumn("n_before", F.row_number().over(Window.partitionBy("source").orderBy("day")) - 1)
+    last = bands.orderBy(F.desc("day")).first()
+    if last is not None and last.n_before >= VOLUME_DAYS and not last.within_band:
+        raise quality.GateFailed(
+            f"volume of transactions on {last.day}: {last.row_count} rows, {last.trailing_avg} on the days before"
+        )
+
+
+@dataclass(frozen=True)
+class Tape:
+    """The declared loan tape: its cleaned columns, key, and the columns that tell rows of one loan apart.
+
+    ``extra`` names columns of the files that cleaning drops; files are read as text, so types never depend on a
+    delivery's values.
+    """
+
+    schema: T.StructType
+    key: tuple[str, ...] = ("loan_id",)
+    newest_first: tuple[str, ...] = ("_loaded_at", "_delivery")
+    extra: tuple[str, ...] = ()
+
+    def raw_schema(self) -> T.StructType:
+        return T.StructType([T.StructField(n, T.StringType()) for n in (*self.schema.names, *self.extra)])
+
+
+def publish_tape(spark: SparkSession, root: str, run_id: str, tape: Tape) -> None:
+    """The tape cleaned, its loans as facts and the overview of the portfolio."""
+    raw = spark.read.parquet(f"{root}/bronze/{SOURCES['loan_tape'].table}")
+    cleaned = portfolio.clean_loan_tape(raw, tape.schema, tape.key, tape.newest_first)
+    paths = publish.write_versions({"stg_loans": cleaned}, root, run_id)
+    loans = spark.read.parquet(paths["stg_loans"])
+    paths |= publish.write_versions(
+        {"fct_loan": portfolio.fct_loan(loans), "mart_portfolio": portfolio.portfolio_overview(loans)}, root, run_id
+    )
+    publish.point_to(spark, paths, root, run_id)
+
+
+def monitor(spark: SparkSession, root: str, run_id: str, before: DataFrame | None) -> None:
+    """Null rates of the features and drift of the scores against those published before, one partition per run.
+
+    They warn; nothing is held back.
+    """
+    nulls = monitoring.null_rate(publish.read_published(spark, root, "feature_default_prediction"), NULL_LIMIT)
+    rows = nulls.select(
+        F.lit("null_rate").alias("check"), F.col("column_name").alias("name"), F.col("null_rate").cast("double").alias("value"), "success"
+    )
+    if before is not None:
+        now = publish.read_published(spark, root, "model_scores")
+        for _, column in model.MODELS:
+            drift = metrics.score_drift(before, now, column).agg(F.sum("psi").alias("value"))
+            rows = rows.unionByName(
+                drift.select(F.lit("score_drift").alias("check"), F.lit(column).alias("name"), "value", (F.col("value") < DRIFT_LIMIT).alias("success"))
+            )
+    bronze.replace_partition(rows.withColumn("run", F.lit(run_id)), f"{root}/meta/monitoring", "run", run=run_id)
+
+
 def require_fresh_feed(spark: SparkSession, root: str, run_at: datetime) -> str:
     """Status of the payment feed by its newest event, whether or not anything landed today.
 
@@ -62,14 +224,21 @@ def require_fresh_feed(spark: SparkSession, root: str, run_at: datetime) -> str:
     return quality.require_fresh(age)
 
 
-def record_files(spark: SparkSession, sources: list[str], landing: str, root: str, run_at: datetime) -> None:
-    """Name, size, digest and load time of every landed file of the sources, one partition per run."""
+def record_files(
+    spark: SparkSession, sources: list[str], landing: str, root: str, run_at: datetime, tape: Tape | None = None
+) -> None:
+    """Name, rows, size, digest and load time of every file the run loaded, one partition per run and source."""
     run_id = quality.run_id_of(run_at)
     for source in sources:
-        path = f"{landing}/{source}"
-        if SOURCES[source].partition_by == "_load_date":
-            path = f"{path}/load_date={files.latest_partition(spark, path)}"
-        rows = manifest.file_manifest(spark, source, path, landing, loaded_at=run_at)
+        if source == "loan_tape":
+            paths = files.find_loan_tape(spark, [f"{landing}/{source}"])
+            scan = files.read_loan_tape(spark, paths, tape.raw_schema() if tape else None)
+            rows = manifest.file_manifest(spark, source, f"{landing}/{source}", landing, scan, run_at)
+        else:
+            own = ledger.read_ledger(spark, root).filter((F.col("source") == source) & (F.col("run") == run_id))
+            rows = own.select(
+                "source", "data_file", F.lit(landing).alias("origin"), "row_count", "byte_size", "sha256", "loaded_at"
+            )
         stamped = rows.withColumn("run", F.lit(f"{run_id}-{source}"))
         bronze.replace_partition(stamped, f"{root}/meta/manifest", "run", run=f"{run_id}-{source}")
 

@@ -30,6 +30,7 @@ from lendscope.plans.quality import (
     run_id_of,
 )
 from lendscope.schemas import GOLD_CONTRACTS, gold_contract, require_schema
+from lendscope.sources import keyed
 from lendscope.sources.bronze import replace_partition
 
 PUBLISHED = T.StructType(
@@ -86,21 +87,24 @@ def publish_gold(
     client_rows: tuple[int, int] = CLIENT_ROWS,
     enforce: bool = True,
     payments: DataFrame | None = None,
+    stored: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
     """Build gold beside the published version, check it, then point to it.
 
     Silver is stored once, so its dedupe runs once for all tables; with ``payments`` their silver and the role-scoped
-    views are published too. When a blocking check or a column test fails the pointer is not moved and the last good
+    views are published too. ``stored`` has the places (see ``keyed_place``) of silver that is stored by key already
+    and is not written again. When a blocking check or a column test fails the pointer is not moved and the last good
     version stays in place; the check rows are kept either way.
     """
     run_id = run_id_of(run_at)
-    paths = write_versions({"stg_clients": clients}, root, run_id)
-    paths |= write_versions(build_gold(spark.read.parquet(paths["stg_clients"])), root, run_id)
+    stored = dict(stored or {})
+    silver = {"stg_clients": clients} | ({} if payments is None else {"stg_payments": payments})
+    paths = stored | write_versions({n: df for n, df in silver.items() if n not in stored}, root, run_id)
+    paths |= write_versions(build_gold(read_place(spark, paths["stg_clients"])), root, run_id)
     if payments is not None:
-        paths |= write_versions({"stg_payments": payments}, root, run_id)
-        read = {n: spark.read.parquet(paths[n]) for n in ("dim_borrower", "stg_payments")}
+        read = {n: read_place(spark, paths[n]) for n in ("dim_borrower", "stg_payments")}
         paths |= write_versions(governed_views(read["dim_borrower"], read["stg_payments"]), root, run_id)
-    written = {name: spark.read.parquet(path) for name, path in paths.items()}
+    written = {name: read_place(spark, path) for name, path in paths.items()}
     results = dq_results(dq_suite(written, suites or gold_suites(client_rows)), run_at)
     publish_dq_results(results, f"{root}/meta/dq_results")
     stored = spark.read.parquet(f"{root}/meta/dq_results").filter(F.col("run_id") == run_id)
@@ -120,7 +124,21 @@ def point_to(spark: SparkSession, paths: Mapping[str, str], root: str, run_id: s
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The newest version of a table that passed its gate."""
-    return spark.read.parquet(published_path(spark, root, name))
+    return read_place(spark, published_path(spark, root, name))
+
+
+def keyed_place(root: str, version: str) -> str:
+    """How a pointer names a version of a table stored by key."""
+    return f"{root}@{version}"
+
+
+def read_place(spark: SparkSession, place: str) -> DataFrame:
+    """The rows a pointer names: a folder, or a version of a table stored by key, without its helper columns."""
+    root, mark, version = place.rpartition("@")
+    if not mark or "/" in version:
+        return spark.read.parquet(place)
+    rows = keyed.read_version(spark, root, version)
+    return rows.select(*[c for c in rows.columns if not c.startswith("_")])
 
 
 def published_path(spark: SparkSession, root: str, name: str) -> str:
@@ -137,6 +155,8 @@ def publish_views(spark: SparkSession, root: str, database: str, names: Sequence
     spark.sql(f"create database if not exists {database}")
     for name in names:
         path = published_path(spark, root, name)
+        if "@" in path.rsplit("/", 1)[-1]:
+            raise ValueError(f"{name} is stored by key and has no one folder; read it with read_published")
         spark.sql(f"create or replace view {database}.{name} as select * from parquet.`{path}`")
 
 

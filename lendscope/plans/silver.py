@@ -50,6 +50,16 @@ def _cast_columns(raw: DataFrame, columns: dict, extra: Sequence[str]) -> DataFr
     return raw.select(*chosen, *extra)
 
 
+def typed_clients(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Client rows with silver's names and types, not yet one per client."""
+    return _cast_columns(raw, CLIENT_COLUMNS, extra)
+
+
+def typed_payments(raw: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Payment rows with silver's names and types, not yet one per event."""
+    return _cast_columns(raw, PAYMENT_COLUMNS, extra)
+
+
 def _silver(raw: DataFrame, columns: dict, key: str, ties: Sequence[str]) -> DataFrame:
     # Casting below the window lets a filter on the key reach the scan.
     typed = _cast_columns(raw, columns, ties)

@@ -108,14 +108,20 @@ def load_source(
         return load_tape(spark, paths, target, loaded_at, schema) if paths else None
 
     load_date = latest_partition(spark, landing)
-    if load_date is None:
-        return None
+    return None if load_date is None else load_day(spark, name, landing, bronze, load_date, loaded_at)
+
+
+def load_day(
+    spark: SparkSession, name: str, landing: str, bronze: str, load_date: str, loaded_at: datetime | None = None
+) -> int:
+    """One landed day of a source to its bronze partition; its rows."""
+    spec = SOURCES[name]
     if name == "clients":
         rows = read_clients(spark, f"{landing}/load_date={load_date}", spec.schema)
     else:
         rows = require_columns(read_feed(read_partition(spark, landing, load_date)), spec.schema)
     stamped = stamp_load_metadata(rows, load_date, loaded_at=loaded_at)
-    return replace_partition(stamped, target, _load_date=load_date)
+    return replace_partition(stamped, f"{bronze}/{spec.table}", _load_date=load_date)
 
 
 def load_tape(

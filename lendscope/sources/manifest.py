@@ -53,6 +53,13 @@ def _hasher(chunk: int = _CHUNK):
     return digests
 
 
+def hashed_files(files: DataFrame) -> DataFrame:
+    """``files`` (path, byte_size, modified) with ``sha256``, read in 1 MB chunks where the task runs."""
+    return files.select("path", "byte_size", "modified").mapInPandas(
+        _hasher(), "path string, byte_size long, modified timestamp, sha256 string"
+    )
+
+
 def file_manifest(
     spark: SparkSession,
     source: str,

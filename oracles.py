@@ -494,7 +494,7 @@ DAILY_RUN = """
     select * from (
         select unnest([
             {'table_name': 'stg_clients', 'row_count': clients}, {'table_name': 'dim_borrower', 'row_count': clients},
-            {'table_name': 'stg_payments', 'row_count': newest}, {'table_name': 'gov_payments_analyst', 'row_count': newest},
+            {'table_name': 'stg_payments', 'row_count': payments}, {'table_name': 'gov_payments_analyst', 'row_count': payments},
             {'table_name': 'fct_payment_history', 'row_count': 6 * clients},
             {'table_name': 'feature_default_prediction', 'row_count': clients},
             {'table_name': 'gov_borrower_analyst', 'row_count': clients},
@@ -504,9 +504,12 @@ DAILY_RUN = """
             {'table_name': 'test_rows', 'row_count': ceil(clients * 0.25)::bigint},
             {'table_name': 'model_calibration', 'row_count': 20}, {'table_name': 'model_segments', 'row_count': bands},
             {'table_name': 'model_split', 'row_count': 4}, {'table_name': 'useful_models', 'row_count': 2},
-            {'table_name': 'dq_results', 'row_count': 18}, {'table_name': 'manifest_sources', 'row_count': 3}
+            {'table_name': 'dq_results', 'row_count': 18}, {'table_name': 'manifest_sources', 'row_count': 3},
+            {'table_name': 'stg_loans', 'row_count': loans}, {'table_name': 'fct_loan', 'row_count': loans},
+            {'table_name': 'manifest_rows', 'row_count': clients + payments + loans + twice},
+            {'table_name': 'monitored', 'row_count': 16}
         ], recursive := true)
-        from n, (select count(*) as newest from events where ts::date = (select max(ts::date) from events)),
+        from n, e, (select count(*) as loans, count(*) filter (o_orderkey % 5 = 0) as twice from orders),
             (select count(*) as west from customer where c_custkey % 4 = 3),
             (select count(distinct case when c_custkey % 89 = 3 or floor(abs(c_acctbal))::int * 50 < 50000 then 1
                 when floor(abs(c_acctbal))::int * 50 < 150000 then 2
@@ -1019,6 +1022,21 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
         "volume_band_gap": _volume_band(
             "(select * from events where event_type = 'error' or day(ts) not in (10, 11, 12))"
         ),
+        "late_days": _with(
+            "feed",
+            """with first as (select txn_id, borrower_id, amount, load_date, 0 as load from feed
+                where day(load_date) in (2, 6, 8)),
+            second as (select txn_id, borrower_id, amount, load_date, 1 from feed where day(load_date) = 5 or day(load_date) > 8),
+            anew as (
+                select txn_id, borrower_id, amount + 1, load_date, 2 from feed where day(load_date) = 4 and borrower_id % 3 > 0
+                union all
+                select txn_id, borrower_id, amount + 2, date '2024-01-04', 2 from feed
+                where day(load_date) = 6 and borrower_id % 4 = 0
+            )
+            select txn_id, borrower_id::bigint as client_id, amount, load_date
+            from (select * from first union all select * from second union all select * from anew)
+            qualify row_number() over (partition by txn_id order by load desc) = 1""",
+        ),
         "stale_feed": """select * from (values (1, 'pass'), (40, 'warn'), (720, 'refused')) t(hours, status)
             where (select count(*) from events) > 0""",
         "repeated_publish": _with("dim", "select client_id, coalesce(age, 40) as age, true as refused from dim"),
