@@ -3,31 +3,47 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lendscope.llm import exact, mixing, packing, quality, queries, simhash
 from lendscope.llm.common import stored, text_bytes
 
 
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """A column name that ``docs`` does not use."""
+    used = {c.lower() for c in docs.columns}
+    while wanted.lower() in used:
+        wanted += "_"
+    return wanted
+
+
+def row_name(doc_id: str = "doc_id", row: Column | None = None) -> Column:
+    """What names a row: its id and a hash of its text. Nulls are equal inside it."""
+    text = F.xxhash64(text_bytes("text")) if row is None else row
+    return F.struct(F.col(doc_id).cast("long").alias("doc_id"), text.alias("row"))
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts.
 
-    The model is fitted on the labelled rows among ``docs``. Decisions are joined by doc_id; a document without an id
-    cannot be named and stays, and of rows that share an id each is kept if one of them is accepted.
+    The model is fitted on the labelled rows among ``docs``. Decisions are joined by id and text, so rows that share
+    an id, or have none, are judged by their own text.
     """
     model = quality.train(docs, queries.table(spark, sf_dir, "labels"))
-    rejected = quality.score(docs, model).groupBy("doc_id").agg(F.max("predicted").alias("p")).where("p = 0")
-    return docs.join(rejected.select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    name = free_name(docs, "__row")
+    rejected = quality.score(docs, model).where("predicted = 0")
+    rejected = rejected.select(row_name(row=F.col("row")).alias(name)).distinct()
+    return docs.withColumn(name, row_name()).join(rejected, name, "left_anti").select(_all(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: the one with the smallest doc_id, and one of rows that repeat it."""
     text = F.sha2(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x20\\x09-\\x0D]+", " "), 256)
-    kept = exact.exact_groups(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    named = docs.withColumn("__text", text)
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__sha"))
-    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text"]).select(docs.columns)
+    name = free_name(docs, "__row")
+    kept = exact.exact_groups(docs).where("kept").select(row_name(row=F.col("text_sha256")).alias(name))
+    named = docs.withColumn(name, row_name(row=text))
+    return named.join(kept, name, "left_semi").dropDuplicates([name]).select(_all(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,22 +53,26 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """
     found = simhash.grouped_rows(docs, shingle=4, radius=4)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("r"))
-    # Null ids are equal inside a struct.
-    kept = first.select(F.struct("r.doc_id", "r.row").alias("__row"))
-    named = docs.withColumn(
-        "__row", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_bytes("text")).alias("row"))
-    )
-    return named.join(kept, "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
+    name = free_name(docs, "__row")
+    kept = first.select(F.struct("r.doc_id", "r.row").alias(name))
+    return docs.withColumn(name, row_name()).join(kept, name, "left_semi").dropDuplicates([name]).select(_all(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says: the shares of good, low and toxic text meet the targets."""
+    """Each document as often as its fitted rate says: the shares of good, low and toxic text meet the targets.
+
+    Good documents are never thinned; the token total grows instead. Rates are joined by id and text.
+    """
     labelled = queries.table(spark, sf_dir, "labels").withColumn("domain", mixing.domain_of())
-    rated = mixing.mixture(docs, labelled, queries.WEIGHTS)
-    copies = rated.groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    keyed = copies.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(keyed, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), F.col("__copies")))).select(docs.columns)
+    rated = mixing.mixture(docs, labelled, queries.WEIGHTS, keep=("good",))
+    name, times, copy = (free_name(docs, n) for n in ("__row", "__copies", "__copy"))
+    copies = rated.groupBy(row_name(row=F.col("row")).alias(name)).agg(F.max("copies").alias(times))
+    joined = docs.withColumn(name, row_name()).join(copies, name)
+    return joined.withColumn(copy, F.explode(F.array_repeat(F.lit(1), F.col(times)))).select(_all(docs))
+
+
+def _all(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
