@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +29,8 @@ LEAST = 5  # sampled documents a marker occurs in
 ROUNDS = 40
 PASSES = 12
 PULL = 1e-4
+GROWTHS = 8  # how often the token total is raised for domains that are not to be thinned
+CLOSE = 1e-3  # of the token total: how near a share comes to its target
 UNLABELLED = "unknown"
 _WORD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
@@ -124,7 +125,7 @@ def train(
 
 
 def memberships(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row, n_tokens, posterior) for each row; tokens are runs without white space."""
+    """(doc_id, row, n_tokens, posterior) for each row; ``row`` is a hash of the text, tokens are runs without white space."""
     kind = pa.schema(
         [("doc_id", pa.int64()), ("row", pa.int64()), ("n_tokens", pa.int64()), ("posterior", pa.list_(pa.float64()))]
     )
@@ -134,13 +135,13 @@ def memberships(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text
         for batch in batches:
             texts = batch["text"].to_pylist()
             found = sent.value.posteriors(texts).tolist()
-            row = [xxhash.xxh64_intdigest(t) >> 1 for t in texts]
             sizes = pa.array([len(t.split()) for t in texts], pa.int64())
             yield pa.record_batch(
-                [batch["doc_id"], pa.array(row, pa.int64()), sizes, pa.array(found, pa.list_(pa.float64()))], schema=kind
+                [batch["doc_id"], batch["row"], sizes, pa.array(found, pa.list_(pa.float64()))], schema=kind
             )
 
-    return doc_rows(docs, doc_id, text).mapInArrow(run, "doc_id long, row long, n_tokens long, posterior array<double>")
+    rows = doc_rows(docs, doc_id, text).withColumn("row", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, row long, n_tokens long, posterior array<double>")
 
 
 def _dot(a: F.Column, b: list[float]) -> F.Column:
@@ -151,25 +152,29 @@ def _dot(a: F.Column, b: list[float]) -> F.Column:
 
 
 def fit_rates(
-    members: DataFrame, target: np.ndarray, passes: int = PASSES, pull: float = PULL, close: float = 1e-3
+    members: DataFrame, target: np.ndarray, passes: int = PASSES, pull: float = PULL, close: float = CLOSE
 ) -> tuple[DataFrame, list[list[float]]]:
     """``members`` with a column ``rate``, and each pass's expected shares.
 
-    ``target`` holds each domain's share of the present token total. Ends when all shares are ``close``, or after
-    ``passes``.
+    ``target`` holds each domain's share of the present token total. A column ``floor`` of ``members``, if there is one, is
+    the least rate of a document, else it is 0; a column ``rate`` is where the fit starts, else at 1. Ends when all shares are ``close``, or after ``passes``; the last of the
+    returned shares says which.
     """
     d = len(target)
     weight = F.col("n_tokens").cast("double")
     p = [F.get("posterior", F.lit(i)) for i in range(d)]
-    moving = weight * (F.col("rate") > 0).cast("double")
+    floors = "floor" in members.columns
+    least = F.col("floor") if floors else F.lit(0.0)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    rated, seen = members.withColumn("rate", F.lit(1.0)), []
+    rated, seen = members if "rate" in members.columns else members.withColumn("rate", F.lit(1.0)), []
+
+    def moments(free: F.Column) -> list[F.Column]:
+        return [F.sum(weight * free.cast("double") * p[i] * p[j]) for i, j in pairs]
+
     for turn in range(passes + 1):
-        sums = rated.agg(
-            F.sum(weight),
-            *[F.sum(weight * F.col("rate") * p[i]) for i in range(d)],
-            *[F.sum(moving * p[i] * p[j]) for i, j in pairs],
-        ).first()
+        # Without floors a document that may move has a rate above 0, which the same pass over the rows sees.
+        own = () if floors else moments(F.col("rate") > 0)
+        sums = rated.agg(F.sum(weight), *[F.sum(weight * F.col("rate") * p[i]) for i in range(d)], *own).first()
         total, *rest = [x or 0.0 for x in sums]
         if not total:
             break
@@ -177,13 +182,17 @@ def fit_rates(
         seen.append(shares.tolist())
         if np.abs(shares - target).max() <= close or turn == passes:
             break
+        if floors:
+            # One on its floor moves only if the gradient lifts it.
+            lifted = _dot(F.col("posterior"), (target - shares).tolist()) > 0
+            rest[d:] = [x or 0.0 for x in rated.agg(*moments((F.col("rate") > least) | lifted)).first()]
         second = np.zeros((d, d))
         for (i, j), x in zip(pairs, rest[d:]):
             second[i, j] = second[j, i] = x / total
-        # Gradient step of length 1 in the whitened metric, then the projection onto rates >= 0.
+        # Gradient step of length 1 in the whitened metric, then the projection onto the least rates.
         direction = np.linalg.solve(second + 1e-6 * np.eye(d), target - shares).tolist()
         moved = F.col("rate") + _dot(F.col("posterior"), direction) - F.lit(pull) * (F.col("rate") - 1)
-        rated = stored(rated.withColumn("rate", F.greatest(F.lit(0.0), moved)), "rates")
+        rated = stored(rated.withColumn("rate", F.greatest(least, moved)), "rates")
     return rated, seen
 
 
@@ -194,11 +203,14 @@ def mixture(
     domain: str = "domain",
     doc_id: str = "doc_id",
     text: str = "text",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, domains, posterior, rate, copies.
+    """One row per row of ``docs``: doc_id, n_tokens, domains, posterior, rate, copies, row, targets_met.
 
     ``weights`` are target shares by domain, scaled to 1; a domain that is not named keeps its present expected
-    share, scaled with the rest. ``copies`` is the rate rounded up or down by a hash of id and text, so that its mean
+    share, scaled with the rest. The token total stays, unless domains to ``keep`` hold more than their share of it:
+    then it grows until they need not be thinned, and documents whose largest posterior is theirs get a rate of 1 or
+    more. ``targets_met`` is false on every row where the last pass left a share off its target. ``row`` is a hash of the text. ``copies`` is the rate rounded up or down by a hash of id and text, so that its mean
     is the rate; the same row always gets the same number. Null and empty texts have no tokens and the
     posterior of no words. Without labels there is one domain and all rates are 1. Repeated rows are rated as often as
     they occur; an empty table gives no rows.
@@ -213,7 +225,23 @@ def mixture(
     target = np.array([weights.get(name, share) for name, share in zip(model.names, now)], float)
     if target.sum() > 0:
         target /= target.sum()
-    rated, _ = fit_rates(members, target)
+    kept = [i for i, name in enumerate(model.names) if name in keep]
+    if kept:
+        target *= max([1.0, *(now[i] / target[i] for i in kept if target[i] > 0)])
+        most = F.array_max("posterior")
+        held = F.lit(False)
+        for i in kept:
+            held = held | (F.get("posterior", F.lit(i)) == most)
+        members = members.withColumn("floor", F.when(held, F.lit(1.0)).otherwise(F.lit(0.0)))
+    rated, seen = fit_rates(members, target, close=CLOSE)
+    for _ in range(GROWTHS if kept and seen else 0):
+        # Repeated texts of other domains count towards the kept ones in part: their share needs a larger total yet.
+        over = max(s / t for s, t in zip(seen[-1], target) if t > 0)
+        if np.abs(np.array(seen[-1]) - target).max() <= CLOSE or over <= 1:
+            break
+        target *= over * 1.02
+        rated, seen = fit_rates(rated, target, close=CLOSE)
+    met = not seen or bool(np.abs(np.array(seen[-1]) - target).max() <= CLOSE)
     rate = F.col("rate")
     draw = F.pmod(F.xxhash64("doc_id", "row"), F.lit(1 << 30)) / float(1 << 30)
     return rated.select(
@@ -224,4 +252,5 @@ def mixture(
         "rate",
         (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int").alias("copies"),
         "row",
+        F.lit(met).alias("targets_met"),
     )

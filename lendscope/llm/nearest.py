@@ -69,13 +69,21 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding"
     return rows.where("vec_id is not null and v is not null").mapInArrow(run, "vec_id long, dim int, vector binary")
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Euclidean length of each row; scaled by powers of two, so that squares neither overflow nor vanish."""
+    top = np.abs(x).max(axis=1, initial=0)
+    scale = np.where((top > 0) & np.isfinite(top), np.ldexp(1.0, np.frexp(top)[1] - 1), 1.0)
+    with np.errstate(over="ignore"):
+        return scale * np.sqrt(((x / scale[:, None]) ** 2).sum(axis=1))
+
+
 def centres(rows: DataFrame, sample: int = SAMPLE) -> dict[int, np.ndarray]:
-    """For each dimension the mean of a bounded sample."""
+    """For each dimension the component-wise median of a bounded sample, which a few enormous vectors do not move."""
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(sample).collect()
     by: dict[int, list] = {}
     for r in picked:
         by.setdefault(r.dim, []).append(np.frombuffer(r.vector))
-    return {dim: np.mean(v, axis=0) for dim, v in by.items()}
+    return {dim: np.median(v, axis=0) for dim, v in by.items()}
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -86,9 +94,11 @@ def _pack(bits: np.ndarray) -> np.ndarray:
 
 def _unit(x: np.ndarray, centre: np.ndarray | None, dim: int) -> tuple[np.ndarray, np.ndarray]:
     """(rotated unit directions from the centre, distances from it)."""
-    moved = x - (0 if centre is None else centre)
-    far = np.sqrt((moved**2).sum(axis=1))
-    return (moved / np.where(far > 0, far, 1)[:, None]) @ rotation(dim), far
+    with np.errstate(over="ignore", invalid="ignore"):
+        moved = x - (0 if centre is None else centre)
+        far = lengths(moved)
+        # Without a finite distance there is no direction; such a vector is always reranked.
+        return np.nan_to_num(moved / np.where(far > 0, far, 1)[:, None], posinf=0, neginf=0) @ rotation(dim), far
 
 
 def build_index(rows: DataFrame, middle: dict[int, np.ndarray]) -> DataFrame:
@@ -142,17 +152,25 @@ class Codes:
         product = (2 * (step * dot + low * self.ones) - (step * int(level.sum()) + low * self.dim)) / root
         estimate = product / self.safe
         error = self.error + step / 2 * root / self.safe
-        both = 2 * self.far * far
-        middle = self.far**2 + far**2 - both * estimate
-        slack = both * error + 1e-9 * (self.far**2 + far**2)
+        # In units of about the query's distance; what then still overflows has no bounds and is reranked.
+        unit = math.ldexp(1.0, math.frexp(far)[1] - 1) if far > 0 and math.isfinite(far) else 1.0
+        with np.errstate(over="ignore", invalid="ignore"):
+            own, far = self.far / unit, far / unit
+            both = 2 * own * far
+            middle = own**2 + far**2 - both * estimate
+            slack = both * error + 1e-9 * (own**2 + far**2)
+            bounded = np.isfinite(middle) & np.isfinite(slack)
+            lower = np.where(bounded, middle - slack, -np.inf)
+            upper = np.where(bounded, middle + slack, np.inf)
         other = self.names != name
-        upper = np.where(other, middle + slack, np.inf)
+        upper = np.where(other, upper, np.inf)
         n = min(k, int(other[self.first].sum()))
         if not n:
             return self.names[:0], self.far[:0]
         reach = np.partition(np.minimum.reduceat(upper, self.first), n - 1)[n - 1]
-        rows = np.flatnonzero(other & (middle - slack <= reach))
-        exact = np.sqrt(((self.vectors[rows] - query) ** 2).sum(axis=1))
+        rows = np.flatnonzero(other & (lower <= reach))
+        with np.errstate(over="ignore"):
+            exact = lengths(self.vectors[rows] - query)
         names = self.names[rows]
         first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
         names, exact = names[first], np.minimum.reduceat(exact, first)

@@ -84,24 +84,26 @@ def train(
     docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, doc_id: str = "doc_id",
     text: str = "text",
 ) -> Trees:
-    """Fit on at most ``sample`` labelled rows outside the held-out fold."""
+    """Fit on at most ``sample`` labelled rows outside the held-out fold; an id with more rows than one counts them all."""
     known = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     usable = known.where((remainder("doc_id", FOLDS) != HELD) & F.col("label").isin(0, 1))
     picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     # At most ``sample`` ids: small enough for every executor.
     rows = doc_rows(docs, doc_id, text).join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
-    found = with_statistics(rows).join(F.broadcast(picked), "doc_id").orderBy("doc_id", "label", "x").collect()
+    # An id may have any number of rows: again at most ``sample`` of them.
+    drawn = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample)
+    found = with_statistics(drawn).join(F.broadcast(picked), "doc_id").orderBy("doc_id", "label", "x").limit(sample).collect()
     x = np.array([r.x for r in found]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r.label for r in found], np.float64))
 
 
 def score(docs: DataFrame, model: Trees, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, score, predicted.
+    """One row per row of ``docs``: doc_id, held_out, score, predicted, and ``row``, a hash of the text (bytes).
 
     Null texts count as empty and are scored like any other. A null id is held out. Repeated rows are scored as
     often as they occur; an empty table gives no rows.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("row", pa.int64())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,12 +111,14 @@ def score(docs: DataFrame, model: Trees, doc_id: str = "doc_id", text: str = "te
             texts = batch["text"].to_pylist()
             if texts:
                 x = np.array([statistics(t) for t in texts])
-                yield pa.record_batch([batch["doc_id"], pa.array(sent.value.score(x))], schema=schema)
+                yield pa.record_batch([batch["doc_id"], pa.array(sent.value.score(x)), batch["row"]], schema=schema)
 
-    scored = doc_rows(docs, doc_id, text).mapInArrow(run, "doc_id long, score double")
+    rows = doc_rows(docs, doc_id, text).withColumn("row", F.xxhash64("text"))
+    scored = rows.mapInArrow(run, "doc_id long, score double, row long")
     return scored.select(
         "doc_id",
         F.coalesce(remainder("doc_id", FOLDS) == HELD, F.lit(True)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "row",
     )

@@ -43,7 +43,7 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).drop("row")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from conftest import SMOKE_DIR
-from lendscope.llm import boosting, language, mixing, nearest, packing, quality, queries, simhash
+from lendscope.llm import boosting, common, language, mixing, nearest, packing, quality, queries, simhash
 from llm_tables import DOCS, empty, hard, hard_rows, labels, row
 
 
@@ -169,6 +171,29 @@ def test_nearest_of_hard_vectors(spark):
     assert nearest.nearest(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e160, 1e-200, 1e300])
+def test_nearest_of_enormous_and_tiny_vectors(spark, size):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 8))
+    x[5:300] *= size
+    x[7] = [1e308, -1e308] * 4
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+    def distance(a, b):
+        gap = [abs(p - q) for p, q in zip(a.tolist(), b.tolist())]
+        return math.dist(gap, [0.0] * len(gap))
+
+    for block in (8_192, 64):
+        found = {}
+        for r in nearest.nearest(vectors, every=100, code_block=block).collect():
+            found.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+        assert sorted(found) == list(range(0, 600, 100))
+        for q, answers in found.items():
+            best = sorted((distance(x[i], x[q]), i) for i in range(600) if i != q)[:10]
+            assert [v for _, _, v in sorted(answers)] == [i for _, i in best]
+            assert all(s == pytest.approx(d, rel=1e-12) for (_, s, _), (d, _) in zip(sorted(answers), best))
+
+
 def test_an_id_in_many_rows_takes_one_place(spark):
     rng = np.random.default_rng(9)
     rows = [(0, rng.normal(size=6).tolist())]
@@ -201,6 +226,41 @@ def test_rates_meet_the_targets(spark):
         assert ((copies == np.floor(rate)) | (copies == np.ceil(rate))).all()
 
 
+def test_kept_domains_are_not_thinned(spark, monkeypatch):
+    labelled = table(spark, "labels").withColumn("domain", mixing.domain_of())
+    docs = table(spark, "documents")
+    weights = {"good": 0.3, "low": 0.4, "toxic": 0.3}
+    found = mixing.mixture(docs, labelled, weights, keep=("good",)).collect()
+    p, n = np.array([r.posterior for r in found]), np.array([r.n_tokens for r in found])
+    rate = np.array([r.rate for r in found])
+    own = p.argmax(axis=1) == found[0].domains.index("good")
+    assert own.any() and (rate[own] >= 1).all() and all(r.copies >= 1 for r, o in zip(found, own) if o)
+    assert found[0].targets_met
+    shares = (p * (n * rate)[:, None]).sum(axis=0)
+    assert np.abs(shares / shares.sum() - [weights[d] for d in found[0].domains]).max() < 0.01
+    # What cannot be met is said.
+    monkeypatch.setattr(mixing, "GROWTHS", 0)
+    assert not mixing.mixture(docs, labelled, weights, keep=("good",)).first().targets_met
+
+
+def test_rates_are_the_least_squares_ones(spark):
+    """The targets a plain projected gradient meets are met; the pull of the rates towards 1 costs less than 1e-4."""
+    rng = np.random.default_rng(12)
+    p = rng.dirichlet([0.4, 0.3, 0.3], 60)
+    n = rng.integers(1, 50, 60).astype(float)
+    rows = [(i, i, int(n[i]), p[i].tolist()) for i in range(60)]
+    members = spark.createDataFrame(rows, "doc_id long, row long, n_tokens long, posterior array<double>")
+    target = np.array([0.5, 0.2, 0.3])
+    rated, seen = mixing.fit_rates(members, target, passes=30, close=1e-4)
+    rate = np.array([r.rate for r in sorted(rated.collect(), key=lambda r: r.doc_id)])
+    a = p * n[:, None] / n.sum()
+    assert (rate >= 0).all() and np.abs(rate @ a - target).max() < 1e-4 and np.abs(np.array(seen[-1]) - target).max() < 1e-4
+    plain = np.ones(60)
+    for _ in range(200_000):
+        plain = np.maximum(0, plain - 20 * a @ (plain @ a - target))
+    assert np.abs(plain @ a - target).max() < 1e-6
+
+
 def test_mixture_of_hard_rows(spark):
     known = labels(spark, [(5, 1, 0, "x"), (9, 0, 0, "x"), (17, 0, 1, "x"), (None, 1, 0, "x")])
     labelled = known.withColumn("domain", mixing.domain_of())
@@ -229,6 +289,38 @@ def test_stages_on_hard_rows(spark):
     assert 18 in near and 19 not in near and 11 not in near
 
 
+def by_text(monkeypatch):
+    """Stages that decide by the text alone: rows with 'bad' are rejected, and rates are 0 or 3."""
+
+    def score(docs, model):
+        bad = F.col("text").contains("bad")
+        return docs.select("doc_id", F.when(bad, 0).otherwise(1).alias("predicted"), F.xxhash64(common.text_bytes("text")).alias("row"))
+
+    def mixture(docs, labelled, weights, keep):
+        row = F.xxhash64(common.text_bytes("text")).alias("row")
+        return docs.select("doc_id", row, F.when(F.col("text").contains("often"), 3).otherwise(0).alias("copies"))
+
+    monkeypatch.setattr(quality, "train", lambda docs, labels: None)
+    monkeypatch.setattr(quality, "score", score)
+    monkeypatch.setattr(mixing, "mixture", mixture)
+
+
+def test_stages_judge_rows_not_ids(spark, monkeypatch):
+    rows = [row(1, "fine"), row(1, "bad one"), row(1, "bad two"), row(None, "bad three"), row(None, "often"), row(None, None), row(2, "often")]
+    extra = ["__row", "__copies", "__copy", "__text", "__id"]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(c) for c in extra})
+    by_text(monkeypatch)
+    good = corpus_pipeline.keep_good(spark, docs, SMOKE_DIR)
+    assert good.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in good.collect()), key=repr) == [(1, "fine"), (2, "often"), (None, "often"), (None, None)]
+    mixed = corpus_pipeline.mix(spark, docs, SMOKE_DIR)
+    assert mixed.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in mixed.collect()) == {(None, "often"): 3, (2, "often"): 3}
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies):
+        left = stage(spark, docs, SMOKE_DIR)
+        assert left.columns == docs.columns and 0 < left.count() <= len(rows)
+
+
 def test_near_copies_are_dropped_by_row(spark):
     kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, hard(spark), SMOKE_DIR).collect()]
     assert (9, "another text under the same id") in kept
