@@ -743,6 +743,18 @@ def mart_delinquency_trend(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# The day on which loans are looked at, and the status from which a client is in default.
+SEEN_ON, DEFAULT_FROM = "1996-07-15", 3
+
+
+def expected_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Clients expected in default within 1 to 12 months, from how their statuses rolled."""
+    clients = _stored(spark, _clients(spark, sf), "clients")
+    chances = portfolio.default_horizon(portfolio.roll_rate(clients), 12, DEFAULT_FROM)
+    found = portfolio.expected_defaults(clients, chances)
+    return found.withColumn("expected_defaults", round_half_away(F.col("expected_defaults"), 4))
+
+
 # The daily path.
 
 
@@ -971,6 +983,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mart_delinquency_trend": mart_delinquency_trend,
         "vintage_curves": lambda s, sf: portfolio.vintage_curves(bridge.loan_defaults(s, sf)),
         "roll_rate": lambda s, sf: portfolio.roll_rate(_clients(s, sf)),
+        "survival_curves": lambda s, sf: portfolio.survival_curves(bridge.loan_defaults(s, sf), SEEN_ON),
+        "expected_defaults": expected_defaults,
         "dim_date": lambda s, sf: portfolio.dim_date(bridge.table(s, sf, "orders"), "o_orderdate"),
         "fct_loan": lambda s, sf: portfolio.fct_loan(_tape(s, sf)),
         "fct_payment": lambda s, sf: portfolio.fct_payment(_payments(s, sf)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -149,6 +150,75 @@ def roll_rate(clients: DataFrame) -> DataFrame:
     return counted.withColumn("roll_rate", round_half_away(F.col("n_moves") / leaving, 4))
 
 
+def default_horizon(rolls: DataFrame, horizon: int, default_from: int) -> DataFrame:
+    """(from_status, months, default_probability): the chance of default within 1 to ``horizon`` months.
+
+    ``rolls`` are the moves of ``roll_rate``. Statuses of ``default_from`` and above are default, which is not left
+    again; a status that no move leaves stays what it is, and rows without a status move nowhere. The chain's matrix
+    has a row per status, so its powers are taken on the driver.
+    """
+    spark = rolls.sparkSession
+    moves = rolls.filter("from_status IS NOT NULL AND to_status IS NOT NULL").select("from_status", "to_status", "n_moves")
+    counts = moves.collect()  # one row per pair of statuses
+    states = sorted({r.from_status for r in counts} | {r.to_status for r in counts})
+    place = {status: i for i, status in enumerate(states)}
+    matrix = np.zeros((len(states), len(states)))
+    for r in counts:
+        if r.from_status < default_from:
+            matrix[place[r.from_status], place[r.to_status]] += r.n_moves
+    still = matrix.sum(axis=1) == 0
+    matrix[still, still.nonzero()[0]] = 1.0
+    matrix /= matrix.sum(axis=1, keepdims=True)
+    late = np.array([s >= default_from for s in states], bool)
+    found, power = [], np.eye(len(states))
+    for month in range(1, horizon + 1):
+        power = power @ matrix
+        found += [(s, month, float(power[i, late].sum())) for i, s in enumerate(states) if not late[i]]
+    return spark.createDataFrame(found, "from_status int, months int, default_probability double")
+
+
+def expected_defaults(clients: DataFrame, chances: DataFrame, status: str = "repay_status_m1") -> DataFrame:
+    """Per horizon the clients not in default now and how many of them are expected to be by then."""
+    book = clients.groupBy(F.col(status).alias("from_status")).agg(F.count(F.lit(1)).alias("n"))
+    return book.join(chances, "from_status").groupBy("months").agg(
+        F.sum("n").alias("n_clients"), F.sum(F.col("n") * F.col("default_probability")).alias("expected_defaults")
+    )
+
+
+def survival_curves(
+    loans: DataFrame, as_of: str, issued: str = "issue_date", defaulted: str = "default_date", closed: str | None = None
+) -> DataFrame:
+    """Kaplan-Meier curve of each issue quarter as seen on ``as_of``: loans still open, or closed, are censored.
+
+    One row per cohort and month on book in which a loan defaulted or was last seen: loans at risk, defaults,
+    censored, hazard and survival. A loan of the same month as a default is at risk when it happens. Loans issued
+    after ``as_of`` or without a date are not in a cohort; a default or close before the issue counts in month 0.
+    """
+    seen = F.lit(as_of).cast("date")
+    ends = [F.when(F.col(c) <= seen, F.col(c)) for c in (defaulted, closed) if c]
+    last = F.coalesce(F.least(*ends) if len(ends) > 1 else ends[0], seen)
+    event = F.col(defaulted).isNotNull() & (F.col(defaulted) <= seen) & (F.col(defaulted) == last)
+    age = (F.year(last) - F.year(issued)) * 12 + F.month(last) - F.month(issued)
+    known = loans.filter(F.col(issued) <= seen)
+    counted = known.groupBy(
+        F.concat_ws("-Q", F.year(issued).cast("string"), F.quarter(issued).cast("string")).alias("cohort"),
+        F.greatest(age, F.lit(0)).alias("months_on_book"),
+    ).agg(F.count_if(event).alias("defaults"), F.count_if(~event).alias("censored"))
+    # One row per quarter and month from here on.
+    by_age = Window.partitionBy("cohort").orderBy(F.desc("months_on_book")).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("cohort").orderBy("months_on_book").rowsBetween(Window.unboundedPreceding, 0)
+    risk = counted.withColumn("at_risk", F.sum(F.col("defaults") + F.col("censored")).over(by_age))
+    hazard = risk.withColumn("hazard", F.col("defaults") / F.col("at_risk"))
+    # A product as a sum of logarithms; where all default nothing is left.
+    left = F.when(F.max(F.col("hazard") >= 1).over(upto), F.lit(0.0)).otherwise(
+        F.exp(F.sum(F.when(F.col("hazard") < 1, F.log1p(-F.col("hazard")))).over(upto))
+    )
+    return hazard.select(
+        "cohort", "months_on_book", "at_risk", "defaults", "censored",
+        round_half_away(F.col("hazard"), 6).alias("hazard"), round_half_away(left, 6).alias("survival"),
+    )
+
+
 def vintage_curves(loans: DataFrame, issued: str = "issue_date", defaulted: str = "default_date") -> DataFrame:
     """Share of each issue quarter that has defaulted by each month on book."""
     age = (F.year(defaulted) - F.year(issued)) * 12 + F.month(defaulted) - F.month(issued)

@@ -927,6 +927,45 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             from aged join book using (cohort) where months_on_book is not null
             group by cohort, months_on_book, cohort_loans""",
         ),
+        "survival_curves": _with(
+            "loan_defaults",
+            """with seen as (
+                select strftime(issue_date, '%Y') || '-Q' || quarter(issue_date) as cohort,
+                    coalesce(default_date <= date '1996-07-15', false) as defaulted,
+                    date_diff('month', date_trunc('month', issue_date), date_trunc('month',
+                        case when default_date <= date '1996-07-15' then default_date else date '1996-07-15' end))::int as m
+                from loan_defaults where issue_date <= date '1996-07-15'
+            ), by_age as (
+                select cohort, m, count(*) filter (defaulted) as defaults, count(*) filter (not defaulted) as censored,
+                    (select count(*) from seen o where o.cohort = s.cohort and o.m >= s.m) as at_risk
+                from seen s group by cohort, m
+            )
+            select cohort, m as months_on_book, at_risk, defaults, censored, round(defaults / at_risk, 6) as hazard,
+                round(product(1 - defaults / at_risk) over (partition by cohort order by m), 6) as survival
+            from by_age""",
+        ),
+        "expected_defaults": "with recursive" + _with(
+            "fact stg",
+            """with moves as (
+                select lag(repay_status) over (partition by client_id order by month_index desc) as a, repay_status as b,
+                    month_index from fact
+            ), p as (
+                select a, b, count(*) / (sum(count(*)) over (partition by a)) as rate
+                from moves where month_index < 6 and a is not null and b is not null and a < 3 group by a, b
+            ), walk as (
+                select a as start, b as state, rate as chance, 1 as months from p
+                union all
+                select start, state, sum(chance), months from (
+                    select w.start, coalesce(p.b, w.state) as state, w.chance * coalesce(p.rate, 1) as chance,
+                        w.months + 1 as months
+                    from walk w left join p on p.a = w.state where w.months < 12
+                ) group by start, state, months
+            ), chance as (
+                select start, months, coalesce(sum(chance) filter (state >= 3), 0) as chance from walk group by start, months
+            )
+            select months, count(*) as n_clients, round(sum(chance), 4) as expected_defaults
+            from stg join chance on repay_status_m1 = start group by months""",
+        ).removeprefix("with"),
         "roll_rate": _with(
             "fact",
             """with moves as (

@@ -134,3 +134,47 @@ def test_top_risk_breaks_ties_by_client(spark):
     scores = spark.createDataFrame([(i, 0.5, 0) for i in range(40, 0, -1)], "client_id int, pd_xgboost double, is_default int")
     dim = spark.createDataFrame([(i, "b", "a", "r") for i in range(2, 41)], "client_id int, credit_limit_band string, age_band string, region string")
     assert [r.client_id for r in serving.top_risk_borrowers(scores, dim).collect()] == list(range(2, 17))
+
+
+def test_survival_with_censoring(spark, rows):
+    """The textbook product over loans that default, close or stay open."""
+    day = lambda m, d=10: date(2024, m, d)
+    loans = [
+        (1, day(1), day(2), None), (2, day(1), None, None), (3, day(2), day(5), None), (4, day(2), None, day(4)),
+        (5, day(3), day(11), None), (6, day(3), day(3), day(9)), (7, day(9), None, None), (8, None, None, None),
+        (9, day(1), day(4), day(3)),
+    ]
+    df = spark.createDataFrame(loans, "loan_id int, issue_date date, default_date date, closed date")
+    found = {(r.cohort, r.months_on_book): r for r in portfolio.survival_curves(df, "2024-08-01", closed="closed").collect()}
+    # Ages: 1 defaults at 1, 2 open at 7, 3 defaults at 3, 4 closed at 2, 5 open at 5, 6 defaults at 0, 9 closed at 2.
+    exits = [(1, True), (7, False), (3, True), (2, False), (5, False), (0, True), (2, False)]
+    left = 1.0
+    for m in sorted({m for m, _ in exits}):
+        risk, lost = sum(a >= m for a, _ in exits), sum(a == m and e for a, e in exits)
+        left *= 1 - lost / risk
+        got = found["2024-Q1", m]
+        assert (got.at_risk, got.defaults, got.censored) == (risk, lost, sum(a == m and not e for a, e in exits))
+        assert (got.hazard, got.survival) == (round(lost / risk, 6), round(left, 6))
+    assert {c for c, _ in found} == {"2024-Q1"}
+    everyone = portfolio.survival_curves(df.filter("loan_id = 1"), "2024-08-01").collect()
+    assert [(r.hazard, r.survival) for r in everyone] == [(1.0, 0.0)]
+    assert portfolio.survival_curves(df.limit(0), "2024-08-01").count() == 0
+
+
+def test_default_by_horizon_is_the_chains_power(spark):
+    counts = {(0, 0): 70, (0, 1): 25, (0, 3): 5, (1, 0): 30, (1, 2): 20, (2, 4): 10, (2, 1): 10, (4, 0): 50, (5, None): 3}
+    rolls = spark.createDataFrame([(a, b, n) for (a, b), n in counts.items()], "from_status int, to_status int, n_moves long")
+    found = {(r.from_status, r.months): r.default_probability for r in portfolio.default_horizon(rolls, 6, 3).collect()}
+
+    def chance(state, months):
+        if state >= 3:
+            return 1.0
+        if not months:
+            return 0.0
+        ways = [(b, n) for (a, b), n in counts.items() if a == state and b is not None]
+        return sum(n * chance(b, months - 1) for b, n in ways) / sum(n for _, n in ways)
+
+    assert set(found) == {(s, m) for s in (0, 1, 2) for m in range(1, 7)}
+    assert all(p == pytest.approx(chance(s, m)) for (s, m), p in found.items())
+    none = portfolio.default_horizon(rolls.limit(0), 3, 3)
+    assert none.count() == 0
