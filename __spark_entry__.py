@@ -236,6 +236,20 @@ def refused_client_files(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(found, "file string, refused boolean")
 
 
+def drifted_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A month of feed files, of which one day's lacks a column, names another and has a number as text."""
+    landing = scratch_path(spark, "landing")
+    feed = bridge.feed(spark, sf)
+    odd = F.dayofmonth("load_date") == 17
+    bronze.land_feed(feed.filter(~odd), landing)
+    drifted = feed.filter(odd).drop("channel").withColumns({"amount": F.col("amount").cast("string"), "remark": F.lit("x")})
+    bronze.land_feed(drifted, landing)
+    declared = T.StructType([f for f in feed.schema.fields if f.name != "load_date"])
+    found = manifest.drifted_files(spark, landing, declared)
+    day = F.regexp_extract("path", "load_date=([^/]+)", 1).alias("load_date")
+    return found.select(day, "column_name", "declared_type", "actual_type", "status").distinct()
+
+
 def latest_partition(spark: SparkSession, sf: str) -> DataFrame:
     landing = _land_feed(spark, sf)
     newest = files.latest_partition(spark, landing)
@@ -885,6 +899,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "load_loan_tape": load_loan_tape,
         "reload_empty_day": reload_empty_day,
         "refused_client_files": refused_client_files,
+        "drifted_files": drifted_files,
         "latest_partition": latest_partition,
         "stamp_load_metadata": stamp_load_metadata,
         "replace_partition": replace_partition,

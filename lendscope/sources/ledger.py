@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from lendscope.schemas import SOURCES
 from lendscope.sources import bronze
 from lendscope.sources.bronze import replace_partition
-from lendscope.sources.files import partitions, path_exists
-from lendscope.sources.manifest import hashed_files
+from lendscope.sources.files import file_format, partitions, path_exists
+from lendscope.sources.manifest import hashed_files, require_files
 
 LEDGER = (
     "source string, load_date string, data_file string, path string, byte_size long, modified timestamp, "
@@ -79,6 +79,9 @@ def load_pending(
     stamped = {r.load_date for r in _loaded(spark, source, root).select("load_date").distinct().collect()}
     done: dict[str, int] = {}
     for day in sorted({r.load_date for r in listed if r.load_date}):
+        folder = f"{landing}/load_date={day}"
+        if file_format(spark, folder) == "parquet":
+            require_files(spark, folder, SOURCES[source].schema)
         done[day] = bronze.load_day(spark, source, landing, f"{root}/bronze", day, loaded_at)
         per_file = {
             r[0]: r[1]

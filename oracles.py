@@ -927,6 +927,13 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             from aged join book using (cohort) where months_on_book is not null
             group by cohort, months_on_book, cohort_loans""",
         ),
+        "drifted_files": _with(
+            "feed",
+            """with days as (select distinct load_date from feed where day(load_date) = 17)
+            select load_date::varchar as load_date, t.* from days, (values
+                ('channel', 'string', null, 'missing'), ('amount', 'double', 'string', 'type_changed'),
+                ('remark', null, 'string', 'unexpected')) t(column_name, declared_type, actual_type, status)""",
+        ),
         "survival_curves": _with(
             "loan_defaults",
             """with seen as (

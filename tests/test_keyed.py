@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lendscope.operators.dedupe import dedupe_latest
 from lendscope.plans import daily
+from lendscope.schemas import SchemaDrift
 from lendscope.sources import keyed, ledger
 from test_sources import feed_rows
 
@@ -133,3 +134,15 @@ def test_volume_gate_reads_the_ledger(spark, tmp_path):
     with pytest.raises(daily.quality.GateFailed, match="volume of transactions on 2024-03-09"):
         daily.require_volume(spark, root, RUN, 0.15)
     daily.require_volume(spark, root, RUN, 0.9)
+
+
+def test_one_odd_file_among_many_is_named(spark, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    for d in range(1, 5):
+        land(spark, landing, date(2024, 3, d), [f"{d}"])
+    odd = f"{landing}/transactions/load_date=2024-03-03"
+    feed_rows(spark, date(2024, 3, 3), ["x"]).drop("load_date", "amount").coalesce(1).write.mode("append").parquet(odd)
+    with pytest.raises(SchemaDrift, match="part-.*parquet: amount missing"):
+        load(spark, landing, root, 1)
+    # The days before it were loaded, nothing of its day was.
+    assert {r.load_date for r in ledger.read_ledger(spark, root).collect()} == {"2024-03-01", "2024-03-02"}
