@@ -42,7 +42,9 @@ from lendscope.streaming import feed as feed_stream  # noqa: E402
 
 try:
     from lendscope.llm import queries as llm
-except ImportError:  # the subpackage is optional; nothing else depends on it
+except ImportError as missing:  # the subpackage is optional; nothing else depends on it
+    if not (missing.name or "").startswith("lendscope.llm"):
+        raise  # it is there and lacks something itself
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
