@@ -19,7 +19,7 @@ from pyspark.sql import types as T  # noqa: E402
 import oracles  # noqa: E402
 from lendscope import bridge  # noqa: E402
 from lendscope.functions import mask, round_half_away, round_half_even  # noqa: E402
-from lendscope.operators import boosting, checks, metrics, preprocess  # noqa: E402
+from lendscope.operators import boosting, checks, metrics, preprocess, sketches  # noqa: E402
 from lendscope.operators.dedupe import dedupe_latest  # noqa: E402
 from lendscope.plans import (  # noqa: E402
     contracts,
@@ -399,8 +399,8 @@ def test_relationships(spark: SparkSession, sf: str) -> DataFrame:
 
 def fk_orphans(spark: SparkSession, sf: str) -> DataFrame:
     # Clients outside the western region are missing from the second parent.
-    clients, payments = _silver(spark, sf)
-    dim = gold.dim_borrower(clients)
+    payments = _stored(spark, _payments(spark, sf).select("client_id"), "payments")
+    dim = _stored(spark, _dim(spark, sf).select("client_id", "region"), "dim")
     whole = checks.fk_orphans(payments, "client_id", dim, "client_id")
     part = checks.fk_orphans(payments, "client_id", governance.gov_borrower_regional(dim), "client_id")
     return whole.withColumn("parent", F.lit("dim_borrower")).unionByName(part.withColumn("parent", F.lit("regional")))
@@ -744,6 +744,27 @@ def dq_anomaly(spark: SparkSession, sf: str) -> DataFrame:
     return monitoring.dq_anomaly(long, limit=2.0)
 
 
+def sketch_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Drift of the feed's amounts, newer days against older ones, from stored day sketches; shares checked on the rows."""
+    path = scratch_path(spark, "sketches")
+    feed = bridge.feed(spark, sf)
+    sketches.value_sketches(feed, ["load_date"], ["amount"]).write.parquet(path)
+    newer = F.dayofmonth("load_date") > 15
+    held = spark.read.parquet(path)
+    drift = _stored(spark, sketches.sketch_drift(held.filter(~newer), held.filter(newer)), "drift")
+    ends = [r.upto for r in drift.orderBy("bin").collect() if r.upto is not None]
+    sides = feed.filter("amount IS NOT NULL").select(F.col("amount"), newer.alias("newer"))
+    exact = sides.groupBy(metrics.bin_of(F.col("amount"), ends).alias("bin")).agg(
+        F.count_if(~F.col("newer")).alias("n_baseline"), F.count_if("newer").alias("n_current")
+    )
+    totals = sides.agg(F.count_if(~F.col("newer")), F.count_if("newer")).first()
+    off = [F.abs(F.col(f"share_{n}") - F.col(f"n_{n}") / F.lit(t)) for n, t in zip(("baseline", "current"), totals)]
+    close = F.greatest(*off) <= 2 * sketches.RANK_ERROR + 1 / min(totals)
+    return drift.join(exact, "bin").select(
+        "bin", close.alias("within_error"), (F.col("psi") < 0.1).alias("stable"), F.lit(sum(totals)).cast("long").alias("n_rows")
+    )
+
+
 def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "clustered")
     tape = _tape(spark, sf)
@@ -1024,6 +1045,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "dq_anomaly": dq_anomaly,
         "score_drift": score_drift,
+        "sketch_drift": sketch_drift,
     }
 
 

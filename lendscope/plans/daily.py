@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscope.operators import metrics
+from lendscope.operators import metrics, sketches
 from lendscope.plans import model, monitoring, portfolio, publish, quality, silver
 from lendscope.schemas import SOURCES
 from lendscope.sources import bronze, files, keyed, ledger, manifest
@@ -55,9 +55,8 @@ def run_daily(
     publish.publish_gold(spark, clients, root, run_at, client_rows=client_rows, payments=payments, stored=places)
     if loaded.get("loan_tape") is not None and tape is not None:
         publish_tape(spark, root, run_id, tape)
-    before = _published(spark, root, "model_scores")
     train_and_score(spark, root, run_at, rounds)
-    monitor(spark, root, run_id, before)
+    monitor(spark, root, run_id)
     return loaded
 
 
@@ -127,16 +126,6 @@ def _day(value: str) -> date:
     return date.fromisoformat(value)
 
 
-def _published(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The published version of a table, None before the first."""
-    if not files.path_exists(spark, f"{root}/meta/published"):
-        return None
-    try:
-        return publish.read_published(spark, root, name)
-    except LookupError:
-        return None
-
-
 def _bronze(spark: SparkSession, root: str, source: str) -> DataFrame:
     raw = spark.read.parquet(f"{root}/bronze/{SOURCES[source].table}")
     return raw.withColumn("_digest", F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns]))
@@ -190,22 +179,24 @@ def publish_tape(spark: SparkSession, root: str, run_id: str, tape: Tape) -> Non
     publish.point_to(spark, paths, root, run_id)
 
 
-def monitor(spark: SparkSession, root: str, run_id: str, before: DataFrame | None) -> None:
-    """Null rates of the features and drift of the scores against those published before, one partition per run.
+def monitor(spark: SparkSession, root: str, run_id: str) -> None:
+    """Null rates of the features and drift of the scores against the run before, one partition per run.
 
-    They warn; nothing is held back.
+    Scores of earlier runs are not read: a run leaves sketches of its own. These checks warn; nothing is held back.
     """
     nulls = monitoring.null_rate(publish.read_published(spark, root, "feature_default_prediction"), NULL_LIMIT)
     rows = nulls.select(
         F.lit("null_rate").alias("check"), F.col("column_name").alias("name"), F.col("null_rate").cast("double").alias("value"), "success"
     )
+    path = f"{root}/meta/score_sketches"
+    before = max((r for r in files.partitions(spark, path, "run") if r < run_id), default=None)
+    scores = publish.read_published(spark, root, "model_scores").withColumn("run", F.lit(run_id))
+    own = sketches.value_sketches(scores, ["run"], [column for _, column in model.MODELS])
+    bronze.replace_partition(own, path, "run", run=run_id)
     if before is not None:
-        now = publish.read_published(spark, root, "model_scores")
-        for _, column in model.MODELS:
-            drift = metrics.score_drift(before, now, column).agg(F.sum("psi").alias("value"))
-            rows = rows.unionByName(
-                drift.select(F.lit("score_drift").alias("check"), F.lit(column).alias("name"), "value", (F.col("value") < DRIFT_LIMIT).alias("success"))
-            )
+        stored = [spark.read.parquet(bronze.partition_folder(spark, path, "run", r)) for r in (before, run_id)]
+        drift = sketches.sketch_drift(*stored).groupBy(F.col("column_name").alias("name")).agg(F.sum("psi").alias("value"))
+        rows = rows.unionByName(drift.select(F.lit("score_drift").alias("check"), "name", "value", (F.col("value") < DRIFT_LIMIT).alias("success")))
     bronze.replace_partition(rows.withColumn("run", F.lit(run_id)), f"{root}/meta/monitoring", "run", run=run_id)
 
 

@@ -1117,6 +1117,11 @@ def _oracles(stamps: str, raw_columns: str, results) -> dict[str, str]:
             select metric, day, value, round(if(spread > 1e-9, (value - mean) / spread, null), 4) as z_score,
                 coalesce(spread > 1e-9 and abs((value - mean) / spread) > 2, false) as is_anomaly
             from scored""",
+        "sketch_drift": _with(
+            "feed",
+            """select bin::int as bin, true as within_error, true as stable, count(amount) as n_rows
+            from feed, range(10) t(bin) group by bin""",
+        ),
         "score_drift": _with(
             "scores",
             """with edges as (

@@ -60,6 +60,12 @@ def test_a_day_from_files_to_scores(spark, tmp_path):
     with pytest.raises(quality.StaleSource):
         daily.run_daily(spark, str(landing), root, RUN + timedelta(days=30), sources=("clients", "transactions"))
 
+    # Monitored again, the run finds the drift of its scores from the run before in the stored sketches.
+    daily.monitor(spark, root, "99999999T000000")
+    found = spark.read.parquet(f"{root}/meta/monitoring").filter("check = 'score_drift'").collect()
+    assert {r.name for r in found} == {"pd_logreg", "pd_xgboost"}
+    assert all(r.success and abs(r.value) < 1e-9 for r in found)
+
 
 def test_clustered_files_are_sorted(spark, tmp_path):
     path = str(tmp_path / "clustered")
