@@ -9,6 +9,7 @@ which is undone when they are read.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,18 +18,22 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lendscope.llm.common import width
+from lendscope.llm.token_counts import WORDS
 
 # Characters of conversations encoded by one call of the library.
 BATCH_CHARS = 2_000_000
+CACHED_WORDS = 400_000  # a worker's cache starts anew at this size
+LONGEST = 64  # characters of a word worth keeping
 
 ENCODED = "conv_id long, formatted string, ids binary, loss binary"
 READ = "conv_id long, turns array<struct<role: string, text: string>>, trained array<string>, formatted string"
 
-_coders: dict[tuple, object] = {}
+_coders: dict[tuple, "OffsetEncoder"] = {}
 
 
 @dataclass(frozen=True)
@@ -88,15 +93,66 @@ def loss_mask(offsets: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     return ((at < len(end)) & (begin[np.minimum(at, len(end) - 1)] < offsets[:, 1])).astype(np.uint8)
 
 
-def _coder(vocabulary: str, mark: str):
-    """This worker's library object for a vocabulary; the mark must be one of its special tokens."""
+class OffsetEncoder:
+    """Token ids of whole texts with the characters each token covers, as the library gives them.
+
+    A byte-level vocabulary without a normaliser splits a text into words by a fixed rule and encodes each by itself,
+    so a word's ids and offsets are kept and shared by all texts. Any other vocabulary encodes whole texts.
+    """
+
+    def __init__(self, path: str, library, mark: str):
+        self.library, self.mark = library, mark
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        step = rules.get("pre_tokenizer") or {}
+        plain = step.get("type") == "ByteLevel" and step.get("use_regex", True) and not step.get("add_prefix_space")
+        added = [(a["content"], a["lstrip"] or a["rstrip"] or a["single_word"]) for a in rules.get("added_tokens", [])]
+        self.by_word = plain and not rules.get("normalizer") and not rules.get("post_processor") and added == [(mark, False)]
+        self.split = regex.compile(WORDS)
+        self.known: dict[str, tuple[bytes, bytes, int]] = {}
+
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[bytes, bytes, int]]:
+        for e in self.library.encode_batch(texts, add_special_tokens=False):
+            yield np.array(e.ids, "<u4").tobytes(), np.array(e.offsets, "<i8").tobytes(), len(e.ids)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray]]:
+        """(ids, (token, 2) first character and end) of each text."""
+        if not self.by_word:
+            for ids, offsets, n in self._encoded(texts):
+                yield ids, np.frombuffer(offsets, "<i8").reshape(n, 2)
+            return
+        if len(self.known) > CACHED_WORDS:
+            self.known = {}
+        known = self.known
+        split = []
+        for text in texts:
+            words: list[str] = []
+            for i, part in enumerate(text.split(self.mark)):
+                if i:
+                    words.append(self.mark)
+                words += self.split.findall(part)
+            split.append(words)
+        new = list({w for words in split for w in words}.difference(known))
+        known.update(zip(new, self._encoded(new)))
+        for words in split:
+            ids, offsets, counts = zip(*map(known.__getitem__, words)) if words else ((), (), ())
+            sizes = np.fromiter(map(len, words), np.int64, len(words))
+            at = np.repeat(np.cumsum(sizes) - sizes, np.array(counts, np.int64))
+            yield b"".join(ids), np.frombuffer(b"".join(offsets), "<i8").reshape(-1, 2) + at[:, None]
+        for w in new:
+            if len(w) > LONGEST:
+                del known[w]
+
+
+def _coder(vocabulary: str, mark: str) -> OffsetEncoder:
+    """This worker's encoder for a vocabulary; the mark must be one of its special tokens."""
     if (vocabulary, mark) not in _coders:
         from lendscope.llm.tokens import encoder
 
         library = encoder(vocabulary).library
         if not any(t.content == mark and t.special for t in library.get_added_tokens_decoder().values()):
             raise ValueError(f"{mark!r} is not a special token of the vocabulary")
-        _coders[vocabulary, mark] = library
+        _coders[vocabulary, mark] = OffsetEncoder(vocabulary, library, mark)
     return _coders[vocabulary, mark]
 
 
@@ -110,11 +166,12 @@ def format_chats(rows: DataFrame, vocabulary: str, template: Template = Template
     schema = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("ids", pa.binary()), ("loss", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _coder(vocabulary, template.mark)
+        coder = _coder(vocabulary, template.mark)
         for chats in _portions(_chats(batches, template)):
-            encoded = library.encode_batch([c[1] for c in chats], add_special_tokens=False)
-            masks = [loss_mask(np.array(e.offsets).reshape(-1, 2), c[2]).tobytes() for e, c in zip(encoded, chats)]
-            ids = [np.array(e.ids, "<u4").tobytes() for e in encoded]
+            ids, masks = [], []
+            for (own, offsets), chat in zip(coder.encode([c[1] for c in chats]), chats):
+                ids.append(own)
+                masks.append(loss_mask(offsets, chat[2]).tobytes())
             names, texts, _ = zip(*chats)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip((names, texts, ids, masks), schema)], schema=schema)
 
@@ -154,7 +211,7 @@ def read_chats(chats: DataFrame, vocabulary: str, template: Template = Template(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = _coder(vocabulary, template.mark)
+        library = _coder(vocabulary, template.mark).library
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

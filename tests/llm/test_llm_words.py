@@ -214,9 +214,11 @@ def test_template_round_trip(turns):
     assert [template.unescape(formatted[a:b]) for a, b in spans] == [t for r, t in turns if r == "assistant" and t]
     for _, text in turns:
         assert not any(c in template.escape(text) for c in CONTROLS)
-    library = chat._coder(BYTE, template.mark)
+    coder = chat._coder(BYTE, template.mark)
+    library = coder.library
     encoded = library.encode(formatted, add_special_tokens=False)
-    offsets = np.array(encoded.offsets).reshape(-1, 2)
+    ((ids, offsets),) = coder.encode([formatted])
+    assert np.frombuffer(ids, "<u4").tolist() == encoded.ids and list(map(tuple, offsets.tolist())) == encoded.offsets
     mask = chat.loss_mask(offsets, spans)
     assert mask.tolist() == [int(any(a < e and s < b for a, b in spans)) for s, e in encoded.offsets]
     runs = chat.runs_of(np.array(encoded.ids, "<u4").tobytes(), mask.tobytes())
@@ -275,9 +277,25 @@ def test_chats(spark, tmp_path):
         assert got.formatted_chars == len(chat.Template().render(turns)[0])
 
 
+def test_words_of_any_kind_keep_the_librarys_offsets(monkeypatch):
+    monkeypatch.setattr(chat, "CACHED_WORDS", 3)
+    coder = chat.OffsetEncoder(BYTE, chat._coder(BYTE, "<|endoftext|>").library, "<|endoftext|>")
+    assert coder.by_word
+    rng = random.Random(5)
+    signs = ["a", "The", "'s", "'", " ", "  ", "\n", "\t", "1", "é", "日本", "😀", ".", "!!", "<|endoftext|>", "\x1c", "\x85", "\u3000", "x" * 80]
+    texts = ["", *["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(300)]]
+    for part in (texts[:100], texts[100:]):
+        for text, (ids, offsets) in zip(part, coder.encode(part)):
+            want = coder.library.encode(text, add_special_tokens=False)
+            assert np.frombuffer(ids, "<u4").tolist() == want.ids
+            assert list(map(tuple, offsets.tolist())) == want.offsets
+    whole = chat.OffsetEncoder(BYTE, coder.library, "<other>")
+    assert not whole.by_word and next(whole.encode(["a b"]))[1].tolist() == [[0, 1], [1, 3]]
+
+
 def test_chat_ids_are_the_librarys(spark):
     frame = spark.createDataFrame(chat_rows(), TURNS)
-    library = chat._coder(BYTE, "<|endoftext|>")
+    library = chat._coder(BYTE, "<|endoftext|>").library
     for r in chat.format_chats(frame, BYTE).collect():
         ids = np.frombuffer(r.ids, "<u4").tolist()
         assert ids == library.encode(r.formatted, add_special_tokens=False).ids and len(r.loss) == len(ids)
