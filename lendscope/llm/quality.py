@@ -91,8 +91,8 @@ def train(
     # At most ``sample`` ids: small enough for every executor.
     rows = doc_rows(docs, doc_id, text).join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi")
     # An id may have any number of rows: again at most ``sample`` of them.
-    drawn = rows.orderBy(F.xxhash64("doc_id", "text"), "doc_id", "text").limit(sample)
-    found = with_statistics(drawn).join(F.broadcast(picked), "doc_id").orderBy("doc_id", "label", "x").limit(sample).collect()
+    drawn = with_statistics(rows).orderBy(F.xxhash64("doc_id", "x"), "doc_id", "x").limit(sample)
+    found = drawn.join(F.broadcast(picked), "doc_id").orderBy("doc_id", "label", "x").limit(sample).collect()
     x = np.array([r.x for r in found]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r.label for r in found], np.float64))
 
