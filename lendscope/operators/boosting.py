@@ -1,10 +1,12 @@
 """Second-order boosted trees for a 0/1 label, fitted on Spark by histograms.
 
-Features are cut into bins once. A tree grows a level at a time: every task adds up the gradients and hessians of its
-rows by node, feature and bin, the sums of all tasks are folded, and the driver, which sees nothing but these sums,
-picks the splits. Gradients are whole multiples of 2^-24, so their sums are exact and a model does not depend on how
-the rows are dealt out. Margins are kept beside the binned rows and written to the checkpoint folder every ``KEEP``
-rounds; what a lost executor held is built again from there.
+Features are cut into bins once; features of few bins are counted together, in one cell for each combination of
+their bins. A tree grows a level at a time: every task adds up the gradients and hessians of its rows by node and
+cell, the sums of all tasks are folded, and the driver, which sees nothing but these sums, picks the splits. Of two
+children only the lighter one is added up; the other's sums are what their parent has more. Gradients are whole
+multiples of 2^-24, so all sums are exact and a model does not depend on how the rows are dealt out. Margins are kept
+beside the cells: each round adds the last tree's values to the rows held from the round before, and every ``KEEP``
+rounds they are written to the checkpoint folder; what a lost executor held is built again from there.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ KEEP = 25  # rounds between two checkpoints of the margins
 BLOCK = 50_000  # rows of one block; a table of no more is fitted by one task, with the same result
 _ONE = float(1 << 24)  # one, in the unit of gradient sums
 _FEW = 64  # partitions whose sums the driver folds by itself
+CELLS = 256  # cells of features that are counted together, at most
+PART = 1_000_000  # rows of one partition, about; fewer where there are cores for more partitions
 
 
 @dataclass(frozen=True)
@@ -106,7 +110,7 @@ def bin_edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
 
 @dataclass
 class Block:
-    """Some rows: the bin of each feature in one numbering for all features, label, draw key and margin."""
+    """Some rows: their cell in each group of features, in one numbering for all groups, label, draw key and margin."""
 
     bins: np.ndarray
     label: np.ndarray
@@ -116,19 +120,84 @@ class Block:
 
 @dataclass
 class _Tree:
-    """A tree on bins: right if the row's bin of ``feature`` is larger than ``cut``."""
+    """A tree on bins: right if the row's bin of ``feature`` is larger than ``cut``.
+
+    On cells: right if ``right`` holds for the node and the row's cell in the node's ``group``.
+    """
 
     feature: np.ndarray
     cut: np.ndarray
     value: np.ndarray
-
-    def nodes(self, bins: np.ndarray, depth: int) -> np.ndarray:
-        node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
-        for _ in range(depth):
-            node = 2 * node + 1 + (bins[rows, self.feature[node]] > self.cut[node])
+    group: np.ndarray | None = None
+    right: np.ndarray | None = None
+
+    def nodes(self, cells: np.ndarray, depth: int) -> np.ndarray:
+        node, rows = np.zeros(len(cells), np.int64), np.arange(len(cells))
+        for level in range(depth):
+            own = cells[rows, self.group[node]] if level else cells[:, self.group[0]]
+            node = 2 * node + 1 + self.right[node, own]
         return node
 
 
+class Layout:
+    """Which features are counted together: a group has a cell for each combination of its features' bins.
+
+    ``starts``: numbers of each feature's first bin, and of the end. A feature of many bins is a group by itself.
+    """
+
+    def __init__(self, starts: np.ndarray) -> None:
+        self.starts, sizes = starts, np.diff(starts).tolist()
+        self.groups: list[list[int]] = []
+        widths: list[int] = []
+        for f in sorted(range(len(sizes)), key=lambda f: sizes[f]):
+            if widths and widths[-1] * sizes[f] <= CELLS:
+                self.groups[-1].append(f)
+                widths[-1] *= sizes[f]
+            else:
+                self.groups.append([f])
+                widths.append(sizes[f])
+        self.first = np.cumsum([0, *widths])
+        # By feature: its group, and the combinations of the features before and after it there.
+        self.place: dict[int, tuple[int, int, int]] = {}
+        for g, features in enumerate(self.groups):
+            before = 1
+            for f in features:
+                self.place[f] = (g, before, widths[g] // before // sizes[f])
+                before *= sizes[f]
+
+    @property
+    def cells(self) -> int:
+        return int(self.first[-1])
+
+    def cells_of(self, bins: np.ndarray) -> np.ndarray:
+        """(rows, groups) from the (rows, features) bins, each feature's counted from 0."""
+        found = np.zeros((len(bins), len(self.groups)), np.int64) + self.first[:-1]
+        for f, (g, _, after) in self.place.items():
+            found[:, g] += bins[:, f].astype(np.int64) * after
+        return found.astype("<u2" if self.cells <= 1 << 16 else "<i4")
+
+    def by_bin(self, sums: np.ndarray) -> np.ndarray:
+        """Sums (nodes, bins, 2) from those by cell."""
+        found = np.empty((len(sums), int(self.starts[-1]), 2), sums.dtype)
+        for f, (g, before, after) in self.place.items():
+            own = sums[:, self.first[g] : self.first[g + 1]].reshape(len(sums), before, -1, after, 2)
+            found[:, self.starts[f] : self.starts[f + 1]] = own.sum(axis=(1, 3))
+        return found
+
+    def tree(self, inner: int) -> _Tree:
+        """A tree that splits nowhere."""
+        tree = _Tree(np.zeros(inner, np.int64), np.full(inner, self.starts[-1]), np.zeros(inner + 1))
+        tree.group, tree.right = np.zeros(inner, np.int64), np.zeros((inner, self.cells), bool)
+        return tree
+
+    def split(self, tree: _Tree, node: int, feature: int, cut: int) -> None:
+        """Let a node split its rows by a feature's bins."""
+        g, before, after = self.place[feature]
+        larger = np.arange(self.starts[feature], self.starts[feature + 1]) > cut
+        tree.feature[node], tree.cut[node], tree.group[node] = feature, cut, g
+        tree.right[node, self.first[g] : self.first[g + 1]] = np.tile(np.repeat(larger, after), before)
+
+
 def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
     """Trees for ``rows`` with columns ``key`` (long), ``label`` (0 or 1) and ``features`` (array of doubles).
 
@@ -151,57 +220,63 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
         return Trees(np.zeros((0, inner), np.int64), np.zeros((0, inner)), np.zeros((0, leaves)), base)
 
     edges = bin_edges(_sampled(rows, n), settings.bins)
-    blocks = _blocks(rows, edges, base)
     # Numbers of each feature's first bin, and of the end.
     starts = np.concatenate([[0], np.cumsum([len(e) + 1 for e in edges])])
+    layout = Layout(starts)
+    packed = _packed(rows, edges, layout)
     if n <= BLOCK:
         # One block needs no exchange of sums: its task grows the same trees by itself.
-        made = blocks.coalesce(1).mapPartitions(lambda part: _alone(part, starts, settings)).collect()
+        made = _blocks(packed, layout, base).coalesce(1).mapPartitions(lambda part: _alone(part, layout, settings)).collect()
         return _on_values(made, edges, starts, base)
-    return _on_values(_together(blocks, starts, settings), edges, starts, base)
+    # Every level of every tree is a job: as many tasks as the cores and the rows ask for, however the table lies.
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(n / PART))
+    return _on_values(_together(_blocks(packed.repartition(parts), layout, base), layout, settings), edges, starts, base)
 
 
-def _alone(part: Iterator[Block], starts: np.ndarray, settings: Settings) -> Iterator[_Tree]:
+def _alone(part: Iterator[Block], layout: Layout, settings: Settings) -> Iterator[_Tree]:
     """The trees of a few rows that lie in one partition."""
     parts = list(part)
     block = Block(*(np.concatenate([getattr(b, c) for b in parts]) for c in ("bins", "label", "key", "margin")))
     for round_ in range(settings.rounds):
 
-        def sums(tree: _Tree, level: int, round_=round_) -> np.ndarray:
-            return histograms(block, [], tree, level, int(starts[-1]), round_, settings)
+        def sums(tree: _Tree, level: int, skipped: np.ndarray, round_=round_) -> np.ndarray:
+            return histograms(block, [], tree, level, layout.cells, round_, settings, skipped)
 
-        tree = _grow(sums, starts, round_, settings)
+        tree = _grow(sums, layout, round_, settings)
         block = _moved(block, [tree], settings.depth)
         yield tree
 
 
-def _together(blocks: RDD, starts: np.ndarray, settings: Settings) -> list[_Tree]:
+def _together(blocks: RDD, layout: Layout, settings: Settings) -> list[_Tree]:
     """The trees of blocks in many partitions: a job for each level, margins checkpointed every ``KEEP`` rounds."""
     made: list[_Tree] = []
     held: list[RDD] = []
-    bins = int(starts[-1])
+    cells = layout.cells
     try:
         for round_ in range(settings.rounds):
+            last = made[-1:]
+            blocks = blocks.map(lambda b, last=last: _moved(b, last, settings.depth))
+            blocks.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(blocks)
             if round_ % KEEP == 0:
-                since = made[round_ - KEEP : round_]
-                blocks = blocks.map(lambda b, since=since: _moved(b, since, settings.depth)) if since else blocks
-                blocks.persist(StorageLevel.MEMORY_AND_DISK)
                 blocks.checkpoint()
                 blocks.count()
-                held.append(blocks)
-                while len(held) > 1:
-                    held.pop(0).unpersist()
-            since = made[round_ - round_ % KEEP :]
 
-            def sums(tree: _Tree, level: int, round_=round_, since=since, blocks=blocks) -> np.ndarray:
+            def sums(tree: _Tree, level: int, skipped: np.ndarray, round_=round_, blocks=blocks) -> np.ndarray:
                 def of(part: Iterator[Block]) -> Iterator[np.ndarray]:
-                    found = [histograms(b, since, tree, level, bins, round_, settings) for b in part]
-                    if found:
-                        yield np.sum(found, axis=0)
+                    found = None
+                    for b in part:
+                        own = histograms(b, [], tree, level, cells, round_, settings, skipped)
+                        found = own if found is None else found + own
+                    if found is not None:
+                        yield found
 
                 return blocks.mapPartitions(of).treeReduce(np.add, 1 if blocks.getNumPartitions() <= _FEW else 2)
 
-            made.append(_grow(sums, starts, round_, settings))
+            made.append(_grow(sums, layout, round_, settings))
+            # The first level's job has moved all rows; those of the round before are needed no more.
+            while len(held) > 1:
+                held.pop(0).unpersist()
     finally:
         for kept in held:
             kept.unpersist()
@@ -223,27 +298,31 @@ def _matrix(values: pa.ListArray) -> np.ndarray:
     return np.where(np.isnan(x), -np.inf, x)
 
 
-def _blocks(rows: DataFrame, edges: list[np.ndarray], base: float) -> RDD:
-    """The rows as blocks of binned features."""
-    starts = np.cumsum([0] + [len(e) + 1 for e in edges[:-1]])
+def _packed(rows: DataFrame, edges: list[np.ndarray], layout: Layout) -> DataFrame:
+    """The rows as blocks of cells, one row per block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch["features"])
-            bins = np.stack([np.searchsorted(e, c, side="left") + s for e, s, c in zip(edges, starts, x.T)], axis=1)
-            for at in range(0, len(bins), BLOCK):
+            cells = layout.cells_of(np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1))
+            for at in range(0, len(cells), BLOCK):
                 part = slice(at, at + BLOCK)
                 label, key = (batch[c].to_numpy(zero_copy_only=False)[part] for c in ("label", "key"))
-                columns = [bins[part].astype("<i4"), label.astype("<f8"), key.astype("<i8")]
-                yield pa.record_batch([pa.array([c.tobytes()]) for c in columns], names=["bins", "label", "key"])
+                columns = [cells[part], label.astype("<f8"), key.astype("<i8")]
+                yield pa.record_batch([pa.array([c.tobytes()]) for c in columns], names=["cells", "label", "key"])
+
+    return rows.mapInArrow(run, "cells binary, label binary, key binary")
 
-    packed = rows.mapInArrow(run, "bins binary, label binary, key binary")
-    return packed.rdd.map(lambda r: _unpacked(r, len(edges), base))
 
+def _blocks(packed: DataFrame, layout: Layout, base: float) -> RDD:
+    kind, groups = layout.cells_of(np.zeros((0, len(layout.place)))).dtype, len(layout.groups)
 
-def _unpacked(row, d: int, base: float) -> Block:
-    label = np.frombuffer(row.label, "<f8")
-    return Block(np.frombuffer(row.bins, "<i4").reshape(len(label), d), label, np.frombuffer(row.key, "<u8"), np.full(len(label), base))
+    def block(row) -> Block:
+        label = np.frombuffer(row.label, "<f8")
+        cells = np.frombuffer(row.cells, kind).reshape(len(label), groups)
+        return Block(cells, label, np.frombuffer(row.key, "<u8"), np.full(len(label), base))
+
+    return packed.rdd.map(block)
 
 
 def _moved(block: Block, trees: list[_Tree], depth: int) -> Block:
@@ -265,35 +344,58 @@ def _drawn(key: np.ndarray, round_: int, share: float) -> np.ndarray:
 
 
 def histograms(
-    block: Block, trees: list[_Tree], tree: _Tree, level: int, bins: int, round_: int, settings: Settings
+    block: Block,
+    trees: list[_Tree],
+    tree: _Tree,
+    level: int,
+    cells: int,
+    round_: int,
+    settings: Settings,
+    skipped: np.ndarray | None = None,
 ) -> np.ndarray:
-    """Gradient and hessian sums (nodes of the level, bins, 2) of the rows a round draws, in whole units."""
+    """Gradient and hessian sums (nodes of the level, cells, 2) of the rows a round draws, in whole units.
+
+    The sums of ``skipped`` nodes are left at 0.
+    """
     block = _moved(block, trees, settings.depth)
     drawn = _drawn(block.key, round_, settings.rows)
-    own, p = block.bins[drawn], 1 / (1 + np.exp(-block.margin[drawn]))
     width = 1 << level
-    at = (tree.nodes(own, level) - (width - 1))[:, None] * bins + own
+    node = tree.nodes(block.bins, level) - (width - 1)
+    if skipped is not None and skipped.any():
+        drawn &= ~skipped[node]
+    own, p = block.bins[drawn], 1 / (1 + np.exp(-block.margin[drawn]))
+    at = ((node[drawn] * cells)[:, None] + own).ravel()
     sums = []
     for weight in (p - block.label[drawn], p * (1 - p)):
         whole = np.repeat(np.rint(weight * _ONE), own.shape[1])
         # Whole numbers below 2^53 add up exactly in doubles.
-        sums.append(np.bincount(at.ravel(), whole, width * bins).astype(np.int64).reshape(width, bins))
+        sums.append(np.bincount(at, whole, width * cells).astype(np.int64).reshape(width, cells))
     return np.stack(sums, axis=2)
 
 
-def _grow(sums_of: Callable[[_Tree, int], np.ndarray], starts: np.ndarray, round_: int, settings: Settings) -> _Tree:
-    """One more tree; ``sums_of`` gives the histograms of a level of the tree so far."""
-    inner, bins = (1 << settings.depth) - 1, int(starts[-1])
-    tree = _Tree(np.zeros(inner, np.int64), np.full(inner, bins), np.zeros(inner + 1))
-    allowed = np.zeros(bins, bool)
+def _grow(
+    sums_of: Callable[[_Tree, int, np.ndarray], np.ndarray], layout: Layout, round_: int, settings: Settings
+) -> _Tree:
+    """One more tree; ``sums_of`` gives the sums by cell of a level of the tree so far, but for the nodes it skips."""
+    inner, starts = (1 << settings.depth) - 1, layout.starts
+    tree = layout.tree(inner)
+    allowed = np.zeros(int(starts[-1]), bool)
     d = len(starts) - 1
     some = np.random.default_rng([settings.seed, round_]).permutation(d)[: max(1, round(d * settings.columns))]
     for f in some:
         allowed[starts[f] : starts[f + 1] - 1] = True  # nothing is larger than the last bin
+    above, skipped = None, np.zeros(1, bool)
     for level in range(settings.depth):
-        feature, cut, left, right = best_splits(sums_of(tree, level) / _ONE, starts, allowed, settings)
-        first = (1 << level) - 1
-        tree.feature[first : 2 * first + 1], tree.cut[first : 2 * first + 1] = feature, cut
+        sums = sums_of(tree, level, skipped)
+        if above is not None:
+            children = np.arange(len(sums))
+            sums[skipped] = (np.repeat(above, 2, axis=0) - sums[children ^ 1])[skipped]
+        feature, cut, left, right = best_splits(layout.by_bin(sums) / _ONE, starts, allowed, settings)
+        for node, (f, c) in enumerate(zip(feature, cut), (1 << level) - 1):
+            layout.split(tree, node, int(f), int(c))
+        # The heavier child's sums follow from its parent's.
+        above, lighter = sums, left[:, 1] < right[:, 1]
+        skipped = np.stack([~lighter, lighter], axis=1).ravel()
     for side, totals in enumerate((left, right)):
         tree.value[side::2] = -settings.rate * totals[:, 0] / (totals[:, 1] + settings.ridge)
     return tree

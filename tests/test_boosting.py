@@ -134,3 +134,45 @@ def test_gradient_sums_are_exact_at_any_size():
     whole = boosting.histograms(block, [], tree, 0, 2, 0, settings)
     p = 1 / (1 + np.exp(-3.0))
     assert whole[0, 0].tolist() == [100_000 * round(p * 2**24), 100_000 * round(p * (1 - p) * 2**24)]
+
+
+def test_features_of_few_bins_are_counted_together(spark, monkeypatch):
+    """Twenty flags and one number in 40 partitions: four groups of cells, as many tasks as there are cores."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([rng.integers(0, 2, (900, 20)), rng.normal(size=(900, 1))], axis=1).round(4)
+    y = (rng.random(900) < 1 / (1 + np.exp(-(x[:, 0] + x[:, 20])))).astype(float)
+    settings, seen = Settings(rounds=5, depth=3, rate=0.3), []
+    alone = boosting.fit(frame(spark, x, y, 2), settings)
+    together = boosting._together
+    monkeypatch.setattr(boosting, "BLOCK", 100)
+    monkeypatch.setattr(boosting, "_together", lambda blocks, *a: seen.append(blocks) or together(blocks, *a))
+    spread = boosting.fit(frame(spark, x, y, 40), settings)
+    assert seen[0].getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert seen[0].map(lambda b: b.bins.shape[1]).distinct().collect() == [4]
+    for c in ("feature", "threshold", "value"):
+        assert (getattr(alone, c) == getattr(spread, c)).all()
+
+
+def test_sums_by_cell_are_sums_by_bin():
+    rng = np.random.default_rng(2)
+    sizes = np.array([2, 1, 300, 2, 5, 40])
+    bins = np.stack([rng.integers(0, n, 500) for n in sizes], axis=1)
+    layout = boosting.Layout(np.concatenate([[0], np.cumsum(sizes)]))
+    settings, n = Settings(depth=2, rows=1.0), len(bins)
+    label = rng.integers(0, 2, n).astype(float)
+    block = boosting.Block(layout.cells_of(bins), label, rng.integers(0, 99, n).astype(np.uint64), rng.normal(size=n))
+    tree = layout.tree(3)
+    layout.split(tree, 0, 4, int(layout.starts[4]) + 1)
+    found = layout.by_bin(boosting.histograms(block, [], tree, 1, layout.cells, 0, settings))
+    p = 1 / (1 + np.exp(-block.margin))
+    for node in range(2):
+        own = (bins[:, 4] > 1) == bool(node)
+        for f, size in enumerate(sizes):
+            for b in range(size):
+                rows = own & (bins[:, f] == b)
+                want = [np.rint(w[rows] * 2**24).sum() for w in (p - label, p * (1 - p))]
+                assert found[node, layout.starts[f] + b].tolist() == want
+    # A skipped node's sums are what its parent has more than its sibling.
+    parent = boosting.histograms(block, [], tree, 0, layout.cells, 0, settings)
+    one = boosting.histograms(block, [], tree, 1, layout.cells, 0, settings, np.array([False, True]))
+    assert (one[1] == 0).all() and (layout.by_bin(parent - one[:1])[0] == found[1]).all()
