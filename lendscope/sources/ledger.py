@@ -8,8 +8,10 @@ exactly the rows of its files.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ LEDGER = (
 )
 
 
+DAYS = 4  # days that are loaded at the same time
+
+
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """All rows ever written; a file that was delivered again has one for each delivery."""
     path = f"{root}/meta/ledger"
@@ -68,32 +73,42 @@ def pending_files(spark: SparkSession, source: str, landing: str, root: str) ->
 def load_pending(
     spark: SparkSession, source: str, landing: str, root: str, run: str, loaded_at: datetime
 ) -> dict[str, int]:
-    """Load every day of a source that holds a file the ledger lacks, oldest first; rows by day.
+    """Load every day of a source that holds a file the ledger lacks; rows by day.
 
-    The days and files of a run are few: what landed since the last one. Each day is entered in the ledger once its
-    bronze partition stands; a run that breaks off in between loads that day again, to the same partition.
+    The days and files of a run are few: what landed since the last one. ``DAYS`` of them are loaded at a time, since
+    one day alone seldom has work for every core. Each day is entered in the ledger once its bronze partition stands,
+    oldest first and none after a day that fails; a run that breaks off in between loads the days that are not
+    entered again, to the same partitions.
     """
     if not partitions(spark, landing):
         return {}
     listed = pending_files(spark, source, landing, root).collect()
     stamped = {r.load_date for r in _loaded(spark, source, root).select("load_date").distinct().collect()}
-    done: dict[str, int] = {}
-    for day in sorted({r.load_date for r in listed if r.load_date}):
+    days = sorted({r.load_date for r in listed if r.load_date})
+
+    def load(day: str) -> tuple[int, dict[str, int]]:
+        """The day's rows, also by file."""
         folder = f"{landing}/load_date={day}"
         if file_format(spark, folder) == "parquet":
             require_files(spark, folder, SOURCES[source].schema)
-        done[day] = bronze.load_day(spark, source, landing, f"{root}/bronze", day, loaded_at)
-        per_file = {
-            r[0]: r[1]
-            for r in spark.read.parquet(bronze.partition_folder(spark, f"{root}/bronze/{SOURCES[source].table}", "_load_date", day))
-            .groupBy("_source_file").count().collect()
-        }
-        rows = [
-            (source, day, f.data_file, f.path, f.byte_size, f.modified, f.sha256, per_file.get(f.data_file, 0), loaded_at, day in stamped, run)
-            for f in listed
-            if f.load_date == day
-        ]
-        entry = f"{run}-{source}-{day}"
-        table = spark.createDataFrame(rows, LEDGER).coalesce(1).withColumn("entry", F.lit(entry))
-        replace_partition(table, f"{root}/meta/ledger", "entry", entry=entry)
+        rows = bronze.load_day(spark, source, landing, f"{root}/bronze", day, loaded_at)
+        stored = spark.read.parquet(bronze.partition_folder(spark, f"{root}/bronze/{SOURCES[source].table}", "_load_date", day))
+        return rows, {r[0]: r[1] for r in stored.groupBy("_source_file").count().collect()}
+
+    done: dict[str, int] = {}
+    pool = ThreadPoolExecutor(DAYS)
+    try:
+        loads = [pool.submit(inheritable_thread_target(spark)(load), day) for day in days]
+        for day, one in zip(days, loads):
+            done[day], per_file = one.result()
+            rows = [
+                (source, day, f.data_file, f.path, f.byte_size, f.modified, f.sha256, per_file.get(f.data_file, 0), loaded_at, day in stamped, run)
+                for f in listed
+                if f.load_date == day
+            ]
+            entry = f"{run}-{source}-{day}"
+            table = spark.createDataFrame(rows, LEDGER).coalesce(1).withColumn("entry", F.lit(entry))
+            replace_partition(table, f"{root}/meta/ledger", "entry", entry=entry)
+    finally:
+        pool.shutdown(cancel_futures=True)
     return done

@@ -1,6 +1,7 @@
 """Silver merged day by day against the dedupe of everything, and the ledger of landed files."""
 
 import random
+import threading
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lendscope.operators.dedupe import dedupe_latest
 from lendscope.plans import daily
 from lendscope.schemas import SchemaDrift
-from lendscope.sources import keyed, ledger
+from lendscope.sources import bronze, keyed, ledger
 from test_sources import feed_rows
 
 ROWS = "k string, at long, tie string, v long, day int"
@@ -146,3 +147,26 @@ def test_one_odd_file_among_many_is_named(spark, tmp_path):
         load(spark, landing, root, 1)
     # The days before it were loaded, nothing of its day was.
     assert {r.load_date for r in ledger.read_ledger(spark, root).collect()} == {"2024-03-01", "2024-03-02"}
+
+
+def test_days_are_loaded_side_by_side_and_entered_in_order(spark, tmp_path, monkeypatch):
+    top, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    landing = f"{top}/transactions"
+    for day in (1, 2, 3):
+        land(spark, top, date(2024, 1, day), [day])
+    both, load_day = threading.Barrier(2, timeout=60), bronze.load_day
+
+    def meeting(spark, name, landing, target, day, loaded_at=None):
+        if day < "2024-01-03":
+            both.wait()  # broken unless another day is loaded at the same time
+        else:
+            raise ValueError(day)
+        return load_day(spark, name, landing, target, day, loaded_at)
+
+    at = datetime(2024, 1, 5)
+    monkeypatch.setattr(bronze, "load_day", meeting)
+    with pytest.raises(ValueError, match="2024-01-03"):
+        ledger.load_pending(spark, "transactions", landing, root, "run1", at)
+    assert {r.load_date for r in ledger.read_ledger(spark, root).collect()} == {"2024-01-01", "2024-01-02"}
+    monkeypatch.setattr(bronze, "load_day", load_day)
+    assert ledger.load_pending(spark, "transactions", landing, root, "run2", at) == {"2024-01-03": 1}
