@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -36,32 +36,116 @@ DEPTHS = (1, 4, 10)  # words of a prefix and of its extensions, before the last
 DIGIT = 8  # bits by which a level tells the extensions of one prefix apart: a task counts 256 below each
 CELL = 16  # neighbouring prefixes whose counts travel in one row
 HELD_COUNTS = 2_000_000  # prefixes that a counting task holds
+DENSE = 1 << 20  # prefixes of a level or a pass that are looked up or counted in a table with a place for each
+CHUNK = 1_000_000  # bytes of text that are cut into words at a time, about
 
 _U64 = np.uint64
 _MIX = np.random.default_rng(20).integers(1, 1 << 63, 4096, dtype=np.uint64) * _U64(2) + _U64(1)
+_LINE = 8_192  # suffixes whose hashes are added up at a time: they stay in the processor's cache
+_KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], _U64)  # the first bytes of eight
 _TABLE = pa.schema([("part", pa.int32()), ("rank", pa.int32()), ("data", pa.binary())])
 PARTS = "part int, rank int, data binary"
 LAST = np.int64((1 << 63) - 1)  # stands for a null doc_id: after all others
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), _U64, len(words))
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    return _hashes(np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+
+
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each word of ``data``, eight bytes of all words at a time."""
+    eights = np.zeros(len(data) // 8 + 2, _U64)
+    eights.view(np.uint8)[: len(data)] = data
+    out = size.astype(_U64) * _U64(0x9E3779B97F4A7C15)
+    rows, at, left = slice(None), start, size
+    while len(left):
+        place, shift = at >> 3, (at & 7).astype(_U64) << _U64(3)
+        part = eights[place] >> shift
+        part |= (eights[place + 1] << _U64(1)) << (_U64(63) - shift)
+        part &= _KEEP[np.minimum(left, 8)]
+        mixed = (out[rows] ^ part) * _U64(0xBF58476D1CE4E5B9)
+        out[rows] = mixed ^ (mixed >> _U64(32))
+        more = np.flatnonzero(left > 8)
+        rows = more if isinstance(rows, slice) else rows[more]
+        at, left = at[more] + 8, left[more] - 8
+    out ^= out >> _U64(30)
+    out *= _U64(0xBF58476D1CE4E5B9)
+    out ^= out >> _U64(27)
+    out *= _U64(0x94D049BB133111EB)
+    return out ^ (out >> _U64(31))
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, one after the other in ``data``, cut as bytes.split() does: starts and sizes of words, words of each text."""
+    first = np.zeros(len(data) + 1, np.int8)
+    first[offsets] = 1  # a word ends with its text
+    word = (data != 32) & ((data - np.uint8(9)) >= 5)
+    edge = np.empty(len(data) + 1, bool)
+    edge[0], edge[-1] = word[:1].any(), False
+    edge[1:-1] = word[1:] & (~word[:-1] | first[1:-1].view(bool))
+    start = np.flatnonzero(edge)
+    edge[-1] = word[-1:].any()
+    edge[1:-1] = word[:-1] & (~word[1:] | first[1:-1].view(bool))
+    edge[0] = False
+    size = np.flatnonzero(edge) - start
+    return start, size, np.diff(np.searchsorted(start, offsets))
+
+
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, memoryview, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, data, offsets of the texts in it, hashes of their words, words of each): a batch's texts by ``CHUNK``."""
+    texts = batch["text"].cast(pa.large_binary())
+    if not len(texts) or texts.buffers()[2] is None:
+        return
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data, at = memoryview(texts.buffers()[2]), 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, "right")) - 1)
+        own = data[offsets[at] : offsets[end]]
+        raw, inside = np.frombuffer(own, np.uint8), offsets[at : end + 1] - offsets[at]
+        if len(raw):
+            start, size, count = _words(raw, inside)
+            yield at, own, inside, _hashes(raw, start, size), count
+        at = end
 
 
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
     """A hash of each ``n`` consecutive words."""
-    count = len(words) - n + 1
-    out = np.zeros(max(0, count), _U64)
-    if count > 0:
-        mixed = words ^ (words >> _U64(31))
-        for k in range(n):
-            out += mixed[k : k + count] * _MIX[k % len(_MIX)]
-        out ^= out >> _U64(32)
-        out *= _U64(0x9E3779B97F4A7C15)
-        out ^= out >> _U64(29)
+    return prefix_hashes(words, max(0, len(words) - n + 1), [n])[0]
+
+
+def prefix_hashes(words: np.ndarray, count: int, depths: list[int]) -> list[np.ndarray]:
+    """Hashes of the first words of each of the first ``count`` suffixes, for ascending depths; one sum serves them all."""
+    mixed = words ^ (words >> _U64(31))
+    out = [np.empty(count, _U64) for _ in depths]
+    total, product = np.empty(_LINE, _U64), np.empty(_LINE, _U64)
+    for at in range(0, count, _LINE):
+        n, done = min(_LINE, count - at), 0
+        total[:n] = 0
+        for depth, found in zip(depths, out):
+            for k in range(done, depth):
+                np.multiply(mixed[at + k : at + k + n], _MIX[k % len(_MIX)], out=product[:n])
+                total[:n] += product[:n]
+            done = depth
+            part = total[:n] ^ (total[:n] >> _U64(32))
+            part *= _U64(0x9E3779B97F4A7C15)
+            found[at : at + n] = part ^ (part >> _U64(29))
     return out
 
 
+def _suffixes(count: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of texts of so many words, one after the other: suffixes of each that hold a window, and the place of each suffix."""
+    own = np.maximum(count - window + 1, 0)
+    skipped = np.cumsum(count) - count - (np.cumsum(own) - own)
+    return own, np.arange(int(own.sum())) + np.repeat(skipped, own)
+
+
+def _order(key: np.ndarray) -> np.ndarray:
+    """Rows by a key's upper bits, as many as a row's number leaves room for; equal ones as they lie."""
+    low = _U64((1 << max(1, len(key).bit_length())) - 1)
+    return (np.sort((key & ~low) | np.arange(len(key), dtype=_U64)) & low).astype(np.int64)
+
+
 @dataclass
 class Groups:
     """The prefixes above the limit, level by level, and the groups below each of them.
@@ -74,42 +158,73 @@ class Groups:
     extended: list[np.ndarray]  # for each level the extended prefixes, ascending
     first: list[np.ndarray]  # for each level and parent, its first group
     count: list[np.ndarray]  # and how many groups it has
+    tables: dict = field(default_factory=dict, repr=False, compare=False)
 
     def depths(self) -> list[int]:
         return [d for d in DEPTHS if d < self.window] + [self.window]
 
-    def children(self, words: np.ndarray, count: int, level: int, parent: np.ndarray) -> np.ndarray:
-        """Numbers of the prefixes at a level of suffixes whose parents are extended."""
-        depth = self.depths()[level]
-        digit = run_hashes(words[: count + depth - 1], depth) >> _U64(64 - DIGIT)
-        return parent << DIGIT | digit.astype(np.int64)
-
-    def frontier(self, words: np.ndarray, count: int) -> np.ndarray:
-        """Prefixes, at the first level that is not counted yet, of suffixes whose prefixes so far are all extended."""
-        parent, at = np.zeros(count, np.int64), np.arange(count)
-        for level, extended in enumerate(self.extended):
-            number = self.children(words, count, level, parent)[at]
-            place, hit = _places(extended, number)
-            at, parent = at[hit], np.zeros(count, np.int64)
-            parent[at] = place[hit]
-        return self.children(words, count, len(self.extended), parent)[at] if len(at) else at
+    def prefixes(self, words: np.ndarray, count: int) -> list[np.ndarray]:
+        """Hashes of the prefixes of the first ``count`` suffixes, an array for each level."""
+        return prefix_hashes(words, count, self.depths())
+
+    def _below(self, prefixes: list[np.ndarray], level: int, at, parent) -> np.ndarray:
+        """Numbers of the prefixes at a level, of suffixes ``at`` whose parents are extended."""
+        return parent << DIGIT | (prefixes[level][at] >> _U64(64 - DIGIT)).astype(np.int64)
+
+    def _looked_up(self, name: str, level: int, parents: int, number: np.ndarray, found) -> np.ndarray:
+        """``found(level, number)``, from a table over all numbers where that is small."""
+        if parents << DIGIT > DENSE:
+            return found(level, number)
+        if (name, level) not in self.tables:
+            self.tables[name, level] = found(level, np.arange(parents << DIGIT))
+        return self.tables[name, level][number]
+
+    def _group(self, level: int, number: np.ndarray) -> np.ndarray:
+        up = number >> DIGIT
+        mixed = (number.astype(_U64) * _U64(0x9E3779B97F4A7C15)) >> _U64(33)
+        return (self.first[level][up] + mixed.astype(np.int64) % self.count[level][up]).astype(np.int32)
+
+    def _place(self, level: int, number: np.ndarray) -> np.ndarray:
+        """Where each number stands among the extended prefixes; -1 if it is none."""
+        place, hit = _places(self.extended[level], number)
+        return np.where(hit, place, -1)
+
+    def _parents(self, level: int) -> int:
+        return len(self.extended[level - 1]) if level else 1
+
+    def _extended(self, level: int, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the numbers are extended, their places)."""
+        place = self._looked_up("place", level, self._parents(level), number, self._place)
+        hit = np.flatnonzero(place >= 0)
+        return hit, place[hit]
+
+    def frontier(self, prefixes: list[np.ndarray], levels: int = 1) -> np.ndarray:
+        """Prefixes, at the first ``levels`` that are not counted yet, of suffixes whose prefixes so far are all extended."""
+        number, at = 0, slice(None)
+        for level in range(len(self.extended)):
+            hit, number = self._extended(level, self._below(prefixes, level, at, number))
+            at = at[hit] if level else hit
+        for level in range(len(self.extended), len(self.extended) + levels):
+            number = self._below(prefixes, level, at, number)
+        return number
 
     def of(self, words: np.ndarray, count: int) -> np.ndarray:
         """The group of each of the first ``count`` suffixes."""
-        out, parent, at = np.zeros(count, np.int32), np.zeros(count, np.int64), np.arange(count)
+        return self.grouped(self.prefixes(words, count))
+
+    def grouped(self, prefixes: list[np.ndarray]) -> np.ndarray:
+        """The group of each suffix, from the hashes of its prefixes."""
+        out = np.zeros(len(prefixes[0]), np.int32)
+        parent, at = 0, slice(None)
         for level in range(len(self.first)):
+            number = self._below(prefixes, level, at, parent)
+            out[at] = self._looked_up("group", level, self._parents(level), number, self._group)
+            if level == len(self.extended):
+                break
+            hit, parent = self._extended(level, number)
+            at = at[hit] if level else hit
             if not len(at):
                 break
-            number = self.children(words, count, level, parent)[at]
-            up = parent[at]
-            mixed = (number.astype(_U64) * _U64(0x9E3779B97F4A7C15)) >> _U64(33)
-            out[at] = self.first[level][up] + (mixed.astype(np.int64) % self.count[level][up])
-            if level < len(self.extended):
-                place, hit = _places(self.extended[level], number)
-                at, parent = at[hit], np.zeros(count, np.int64)
-                parent[at] = place[hit]
-            else:
-                at = at[:0]
         return out
 
 
@@ -143,40 +258,54 @@ def group_starts(keys: np.ndarray, groups: int) -> np.ndarray:
 KINDS = (np.int64, np.uint32, np.uint32, np.uint64)
 
 
-def _planes(column: np.ndarray) -> bytes:
+def _planes(column: np.ndarray) -> np.ndarray:
     """High bytes first apart from low ones: they repeat, so the shuffle's compression takes them out."""
-    return np.ascontiguousarray(column.view(np.uint8).reshape(len(column), column.itemsize).T).tobytes()
+    return column.view(np.uint8).reshape(len(column), column.itemsize).T
+
 
+def _packed(part: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray, *more: np.ndarray) -> Iterator[tuple]:
+    """(part, bytes) for rows in the order of their part, of one document after the other.
 
-def _packed(doc: np.ndarray, tag: np.ndarray, at: np.ndarray, *more: np.ndarray) -> bytes:
-    """Rows of one document after the other: each document once with its number of rows, positions as steps."""
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
-    first = np.flatnonzero(new)
+    Each document once with its number of rows, positions as steps.
+    """
+    if not len(doc):
+        return
+    edge, new = np.ones(len(doc), bool), np.ones(len(doc), bool)
+    edge[1:] = part[1:] != part[:-1]
+    new[1:] = edge[1:] | (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])
+    first, begin = np.flatnonzero(new), np.flatnonzero(edge)
     size = np.diff(np.append(first, len(doc))).astype(np.uint32)
     step = np.diff(at, prepend=np.uint32(0))
     step[first] = at[first]
-    head = np.array([len(doc), len(first)], np.int64).tobytes()
-    return head + b"".join(map(_planes, (doc[first], tag[first], size, step, *more)))
-
-
-def _unpacked(data: bytes, columns: int) -> list[np.ndarray]:
-    n, runs = np.frombuffer(data, np.int64, 2).tolist()
-    at = 16
-
-    def take(kind: type, n: int) -> np.ndarray:
-        nonlocal at
-        size = np.dtype(kind).itemsize
-        planes = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
-        at += n * size
+    runs = np.concatenate([_planes(c) for c in (doc[first], tag[first], size)])
+    rows = np.concatenate([_planes(c) for c in (step, *more)])
+    ends = np.append(begin[1:], len(doc))
+    of_runs = np.searchsorted(first, np.append(begin, len(doc)))
+    heads = np.stack([ends - begin, np.diff(of_runs)], axis=1).astype(np.int64)
+    edges = zip(begin.tolist(), ends.tolist(), of_runs[:-1].tolist(), of_runs[1:].tolist())
+    for name, head, (a, b, c, d) in zip(part[begin].tolist(), heads, edges):
+        yield name, b"".join((head.tobytes(), runs[:, c:d].tobytes(), rows[:, a:b].tobytes()))
+
+
+def _unpacked(packed: list[bytes], columns: int) -> list[np.ndarray]:
+    """The rows of all of ``packed``, one after the other."""
+    heads, tails = [], []
+    bytes_of = [np.dtype(k).itemsize for k in KINDS[2:columns]]
+    for data in packed:
+        n, runs = np.frombuffer(data, np.int64, 2).tolist()
+        heads.append(np.frombuffer(data, np.uint8, 16 * runs, 16).reshape(16, runs))
+        tails.append(np.frombuffer(data, np.uint8, sum(bytes_of) * n, 16 + 16 * runs).reshape(-1, n))
+    head, tail = (np.concatenate(p, axis=1) if len(p) > 1 else p[0] for p in (heads, tails))
+
+    def column(planes: np.ndarray, kind: type) -> np.ndarray:
         return np.ascontiguousarray(planes.T).view(kind).ravel()
 
-    doc, tag, size = (take(kind, runs) for kind in (np.int64, np.uint32, np.uint32))
-    step = take(np.uint32, n)
+    doc, tag, size = column(head[:8], np.int64), column(head[8:12], np.uint32), column(head[12:], np.uint32)
+    step = column(tail[:4], np.uint32)
     first = np.cumsum(size, dtype=np.int64) - size
     total = np.cumsum(step, dtype=np.uint32)
     at_row = total - np.repeat(total[first] - step[first], size)
-    more = [take(kind, n) for kind in KINDS[3:columns]]
+    more = [column(tail[4 + 8 * i : 12 + 8 * i], kind) for i, kind in enumerate(KINDS[3:columns])]
     return [np.repeat(doc, size), np.repeat(tag, size), at_row, *more]
 
 
@@ -204,35 +333,23 @@ def _rows(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*parts), _TABLE)], schema=_TABLE)
 
 
-def _each(names: np.ndarray, texts: pa.Array, rows: int = 256) -> Iterator[tuple[int, bytes]]:
-    """Names and texts of a batch, a few texts in Python's memory at a time."""
-    for at in range(0, len(names), rows):
-        yield from zip(names[at : at + rows], texts.slice(at, rows).to_pylist())
-
-
 def _send(groups: Groups, limit: int):
     """Task side: the suffixes of its texts, one row per group and round."""
     window = groups.window
 
     def flush(held: list) -> Iterator[pa.RecordBatch]:
         doc, tag, at, key, group = (np.concatenate(c) for c in zip(*held))
-        order, _, equal = deep_nodes(key, group)
         # Copies that meet here: only the first of a window goes on, the others are marked already.
-        own = order[equal]
-        sure = later(doc, tag, at, key, group, own)
-        alone = np.ones(len(key), bool)
-        alone[own] = False
-        firsts = np.concatenate([np.flatnonzero(alone), sure[1]])
-        yield from emit(group, (doc, tag, at, key), np.sort(firsts), 0)
-        if len(sure[0]):
-            yield from emit(group, (doc, tag, at), np.sort(sure[0]), 1)
+        behind, firsts, alike = copies(doc, tag, at, key, group)
+        on = np.ones(len(key), bool)
+        on[alike] = False
+        on[firsts] = True
+        yield from emit(group, (doc, tag, at, key), np.flatnonzero(on), 0)
+        yield from emit(group, (doc, tag, at), np.sort(behind), 1)
 
     def emit(group: np.ndarray, columns: tuple, rows: np.ndarray, rank: int) -> Iterator[pa.RecordBatch]:
-        by = rows[np.argsort(group[rows], kind="stable")]
-        found, begin = np.unique(group[by], return_index=True)
-        parts = []
-        for g, some in zip(found.tolist(), np.split(by, begin[1:])):
-            parts.append((g, rank, _packed(*(c[some] for c in columns))))
+        by = rows[_order(group[rows].astype(_U64) << _U64(33))]
+        parts = [(g, rank, data) for g, data in _packed(group[by], *(c[by] for c in columns))]
         for i in range(0, len(parts), 64):
             yield _rows(parts[i : i + 64])
 
@@ -240,23 +357,25 @@ def _send(groups: Groups, limit: int):
         held, n_held = [], 0
         for batch in batches:
             names = array(batch["doc_id"], int(LAST))
-            for name, text in _each(names, batch["text"]):
-                words = text.split()
-                count = len(words) - window + 1
-                if count <= 0:
+            for row, data, offsets, words, count in _chunks(batch):
+                own, at = _suffixes(count, window)
+                if not len(at):
                     continue
-                hashes = word_hashes(words)
-                tag = xxhash.xxh32_intdigest(text)
+                prefixes = [p[at] for p in groups.prefixes(words, len(words) - window + 1)]
+                some = np.flatnonzero(own)
+                edges = zip(offsets[some].tolist(), offsets[some + 1].tolist())
+                tags = np.fromiter((xxhash.xxh32_intdigest(data[a:b]) for a, b in edges), np.uint32, len(some))
+                first = np.cumsum(count) - count
                 held.append(
                     (
-                        np.full(count, name, np.int64),
-                        np.full(count, tag, np.uint32),
-                        np.arange(count, dtype=np.uint32),
-                        run_hashes(hashes, window),
-                        groups.of(hashes, count),
+                        np.repeat(names[row + some], own[some]),
+                        np.repeat(tags, own[some]),
+                        (at - np.repeat(first, own)).astype(np.uint32),
+                        prefixes[-1],
+                        groups.grouped(prefixes),
                     )
                 )
-                n_held += count
+                n_held += len(at)
                 if n_held >= limit:
                     yield from flush(held)
                     held, n_held = [], 0
@@ -266,48 +385,66 @@ def _send(groups: Groups, limit: int):
     return run
 
 
-def deep_nodes(key: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, starts of runs, which of the ordered suffixes share their window's hash with another)."""
-    order = np.argsort(key, kind="stable")
-    equal = key[order[1:]] == key[order[:-1]]
-    if group is not None:
-        equal &= group[order[1:]] == group[order[:-1]]
-    deep = np.zeros(len(key), bool)
-    deep[1:] |= equal
-    deep[:-1] |= equal
-    return order, np.flatnonzero(~np.concatenate([[False], equal])), deep
-
-
-def later(doc, tag, at, key, group, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of ``rows``, suffixes of equal hashes: those that are not the first of their hash, and the firsts."""
-    if not len(rows):
-        return rows, rows
-    order = rows[np.lexsort((at[rows], tag[rows], doc[rows], key[rows]))]
-    new = np.concatenate([[True], (key[order[1:]] != key[order[:-1]]) | (group[order[1:]] != group[order[:-1]])])
+def copies(doc, tag, at, key, group) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes that share group and hash with another: those that are not the first of their hash, the firsts, and all.
+
+    The same place in a repeated row is no earlier place: its suffixes are neither behind the first nor firsts.
+    """
+    order = _order(key)
+    # The upper bits are compared first; what agrees in them is compared whole.
+    low = _U64((1 << max(1, len(key).bit_length())) - 1)
+    upper = key[order] & ~low
+    near = upper[1:] == upper[:-1]
+    same = np.zeros(len(key), bool)
+    same[1:] |= near
+    same[:-1] |= near
+    order = order[same]
+    if not len(order):
+        return order, order, order
+    new = np.ones(len(order), bool)
+
+    def differ() -> np.ndarray:
+        return (key[order[1:]] != key[order[:-1]]) | (group[order[1:]] != group[order[:-1]])
+
+    new[1:] = differ()
+    if (new[1:] & (upper[same][1:] == upper[same][:-1])).any():
+        order = order[np.lexsort((group[order], key[order]))]
+        new[1:] = differ()
     run = np.flatnonzero(new)
-    lead = order[np.repeat(run, np.diff(np.append(run, len(order))))]
-    # The same place in a repeated row is no earlier place.
-    behind = (doc[order] != doc[lead]) | (tag[order] != tag[lead]) | (at[order] != at[lead])
-    return order[behind], order[run]
+    size = np.diff(np.append(run, len(order)))
+    if (size == 1).any():
+        kept = np.repeat(size > 1, size)
+        order, size = order[kept], size[size > 1]
+        run = np.cumsum(size) - size
+    if not len(order):
+        return order, order, order
+    lead = np.ones(len(order), bool)
+    for column in (doc, tag, at):
+        own = column[order]
+        least = np.where(lead, own, np.iinfo(own.dtype).max)
+        lead &= own == np.repeat(np.minimum.reduceat(least, run), size)
+    found = np.flatnonzero(lead)
+    of_run = np.repeat(np.arange(len(run)), size)[found]
+    firsts = found[np.append(True, of_run[1:] != of_run[:-1])]
+    return order[~lead], order[firsts], order
 
 
 def _repeats(buckets: int):
     """Group side: order a group's suffixes by hash and mark every one but the first of equal hashes."""
 
     def subtree(suffixes: list[bytes]) -> tuple[np.ndarray, ...]:
-        doc, tag, at, key = (np.concatenate(c) for c in zip(*(_unpacked(s, 4) for s in suffixes)))
-        order, _, deep = deep_nodes(key)
-        marked, _ = later(doc, tag, at, key, np.zeros(len(key), np.int8), order[deep])
+        doc, tag, at, key = _unpacked(suffixes, 4)
+        marked = np.sort(copies(doc, tag, at, key, np.zeros(len(key), np.int8))[0])
         return doc[marked], tag[marked], at[marked]
 
     def back(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, tag, at = (np.concatenate(c) for c in zip(*held))
         bucket = _bucket(doc, buckets)
-        order = np.lexsort((at, tag, doc, bucket))
-        found, begin = np.unique(bucket[order], return_index=True)
-        parts = []
-        for b, some in zip(found.tolist(), np.split(order, begin[1:])):
-            parts.append((b, 0, _packed(doc[some], tag[some], at[some])))
+        # Of a bucket one document after the other, by a hash.
+        bits = _U64(buckets.bit_length())
+        mixed = (doc.view(_U64) ^ tag.astype(_U64)) * _U64(0x9E3779B97F4A7C15)
+        order = _order(bucket.astype(_U64) << (_U64(64) - bits) | mixed >> bits)
+        parts = [(b, 0, data) for b, data in _packed(bucket[order], doc[order], tag[order], at[order])]
         for i in range(0, len(parts), 64):
             yield _rows(parts[i : i + 64])
 
@@ -321,7 +458,7 @@ def _repeats(buckets: int):
                         n_marks += len(marks[-1][0])
                     group, suffixes = part, []
                 if rank:
-                    marks.append(tuple(_unpacked(data, 3)))
+                    marks.append(tuple(_unpacked([data], 3)))
                     n_marks += len(marks[-1][0])
                 else:
                     suffixes.append(data)
@@ -355,8 +492,8 @@ def _apply(window: int, digest: bool):
     def table(marks: list[bytes]) -> tuple[np.ndarray, ...]:
         if not marks:
             return np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-        doc, tag, at = (np.concatenate(c) for c in zip(*(_unpacked(m, 3) for m in marks)))
-        order = np.lexsort((at, tag, doc))
+        doc, tag, at = _unpacked(marks, 3)
+        order = np.argsort(doc, kind="stable")
         return doc[order], tag[order], at[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,31 +580,40 @@ def _remove(
 def find_groups(source: DataFrame, n: int, window: int, group: int) -> Groups:
     """Groups of about ``group`` suffixes or fewer, and at least about ``2 n`` of them.
 
-    Each pass counts, over all documents, the prefixes of one level below those that were too large. The driver gets
+    Each pass counts, over all documents, the prefixes of one level below those that were too large, and the first one
+    those of two levels. The driver gets
     only the prefixes that are too large again; each holds more than half a group, so they are few. What is as long as
     the window needs no limit: of equal windows a task sends one a round.
     """
     groups = Groups(window, [], [], [])
-    size, sums, made = 0, None, 0
-    while len(groups.extended) < len(groups.depths()) - 1:
+    size, sums, made, counted_levels = 0, None, 0, len(groups.depths()) - 1
+    while len(groups.extended) < counted_levels:
+        # The first pass counts two levels: the numbers of both make a short table.
+        levels = 1 if groups.extended else min(2, counted_levels)
         names = [f"n{i}" for i in range(CELL)]
-        cells = source.mapInArrow(_counts(groups), "cell long, " + ", ".join(f"{c} long" for c in names))
+        cells = source.mapInArrow(_counts(groups, levels), "cell long, " + ", ".join(f"{c} long" for c in names))
         summed = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in names])
         single = summed.select("cell", F.posexplode(F.array(*names)).alias("i", "n")).where("n > 0")
         counted = stored(single.select((F.col("cell") * CELL + F.col("i")).alias("prefix"), "n"), "prefixes")
         if not size:
             total = counted.agg(F.sum("n")).first()[0] or 0
             size, sums = max(1, min(group, -(-total // (2 * n)))), np.array([total], np.int64)
-        rows = counted.where(F.col("n") > size // 2).orderBy("prefix").collect()
-        large = np.array([r.prefix for r in rows], np.int64)
-        inside = np.array([r.n for r in rows], np.int64)
-        rest = sums.copy()
-        np.subtract.at(rest, large >> DIGIT, inside)
-        made = _add(groups, rest, size, made)
-        groups.extended.append(large)
-        sums = inside
-        if not len(large):
-            return groups
+        for above in reversed(range(levels)):
+            number = F.shiftright("prefix", DIGIT * above).alias("prefix")
+            level = counted.groupBy(number).agg(F.sum("n").alias("n")) if above else counted
+            rows = level.where(F.col("n") > size // 2).orderBy("prefix").collect()
+            large = np.array([r.prefix for r in rows], np.int64)
+            inside = np.array([r.n for r in rows], np.int64)
+            if above + 1 < levels:
+                # Numbered by the parent's place; a parent is no smaller than its prefixes.
+                large = _places(groups.extended[-1], large >> DIGIT)[0] << DIGIT | large & ((1 << DIGIT) - 1)
+            rest = sums.copy()
+            np.subtract.at(rest, large >> DIGIT, inside)
+            made = _add(groups, rest, size, made)
+            groups.extended.append(large)
+            sums = inside
+            if not len(large):
+                return groups
     if not size:
         # A window of one word: its prefixes are whole windows.
         sums, size = np.array([group * 2 * n], np.int64), group
@@ -482,9 +628,10 @@ def _add(groups: Groups, sizes: np.ndarray, size: int, made: int) -> int:
     return made + int(count.sum())
 
 
-def _counts(groups: Groups):
-    """How often each prefix of the next level occurs in a task's texts, ``CELL`` neighbouring prefixes to a row."""
+def _counts(groups: Groups, levels: int = 1):
+    """How often each prefix of the next levels occurs in a task's texts, ``CELL`` neighbouring prefixes to a row."""
     kind = pa.schema([("cell", pa.int64()), *[(f"n{i}", pa.int64()) for i in range(CELL)]])
+    space = (len(groups.extended[-1]) if groups.extended else 1) << DIGIT * levels
 
     def rows(known: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
         cell, back = np.unique(known[0] // CELL, return_inverse=True)
@@ -499,22 +646,32 @@ def _counts(groups: Groups):
         np.add.at(total, back, np.concatenate([known[1], n]))
         return prefix, total
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            for *_, words, count in _chunks(batch):
+                _, at = _suffixes(count, groups.window)
+                if len(at):
+                    yield groups.frontier([p[at] for p in groups.prefixes(words, len(words) - groups.window + 1)], levels)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if space <= DENSE:
+            total = np.zeros(space, np.int64)
+            for numbers in found(batches):
+                total += np.bincount(numbers, minlength=space)
+            some = np.flatnonzero(total)
+            if len(some):
+                yield rows((some, total[some]))
+            return
         nothing = np.zeros(0, np.int64), np.zeros(0, np.int64)
         held, n_held, known = [], 0, nothing
-        for batch in batches:
-            for _, text in _each(np.zeros(len(batch), np.int64), batch["text"]):
-                words = text.split()
-                count = len(words) - groups.window + 1
-                if count <= 0:
-                    continue
-                held.append(groups.frontier(word_hashes(words), count))
-                n_held += len(held[-1])
-                if n_held >= HELD_WORDS:
-                    known, held, n_held = folded(held, known), [], 0
-                    if len(known[0]) >= HELD_COUNTS:
-                        yield rows(known)
-                        known = nothing
+        for numbers in found(batches):
+            held.append(numbers)
+            n_held += len(numbers)
+            if n_held >= HELD_WORDS:
+                known, held, n_held = folded(held, known), [], 0
+                if len(known[0]) >= HELD_COUNTS:
+                    yield rows(known)
+                    known = nothing
         if held:
             known = folded(held, known)
         if len(known[0]):

@@ -215,6 +215,64 @@ def test_groups_stay_small_where_texts_share_a_line(spark):
     assert [len(x) for x in groups.extended] == [4, 1, 0]
 
 
+def test_two_levels_are_counted_in_one_pass(spark, monkeypatch):
+    # All texts begin one of four words; no four words are frequent.
+    rng = random.Random(9)
+    rows = [row(i, " ".join(rng.choice("abcd") + f" {rng.randrange(10**6)}" for _ in range(20))) for i in range(500)]
+    source = spark.createDataFrame(rows, DOCS).repartition(4).selectExpr("doc_id", "cast(text as binary) as text")
+    passes, written = [], substrings.stored
+    monkeypatch.setattr(substrings, "stored", lambda df, name: passes.append(name) or written(df, name))
+    groups = substrings.find_groups(source, 4, 20, 1_000)
+    assert [len(x) for x in groups.extended] == [4, 0]
+    assert len(passes) == 1
+
+
+@pytest.mark.parametrize("chunk", [1, 12, 1_000_000])
+def test_words_of_many_texts_are_cut_at_once(monkeypatch, chunk):
+    monkeypatch.setattr(substrings, "CHUNK", chunk)
+    pieces = [b"a", b"bc", b" ", b"\n", b"\t\r", b"\x0b\x0c", b"eightsof", b"more than eight letters", b"\xc3\xa9", b"\0", b"\x85", b"\x1f"]
+    rng = random.Random(3)
+    texts = [b"".join(rng.choices(pieces, k=rng.randrange(9))) for _ in range(200)]
+    batch = substrings.pa.record_batch([[b"other", *texts, b"other"]], names=["text"]).slice(1, len(texts))
+    found = {}
+    for row_, data, offsets, hashes, count in substrings._chunks(batch):
+        for i, own in enumerate(np.split(hashes, np.cumsum(count)[:-1])):
+            assert bytes(data[offsets[i] : offsets[i + 1]]) == texts[row_ + i]
+            found[row_ + i] = own.tolist()
+    assert [found.get(i, []) for i in range(len(texts))] == [substrings.word_hashes(t.split()).tolist() for t in texts]
+    words = list({w for t in texts for w in t.split()} | {b"\0" * i for i in range(20)})
+    assert len(np.unique(substrings.word_hashes(words))) == len(words)
+
+
+def test_copies_are_all_but_the_first_place():
+    rng = np.random.default_rng(4)
+    for n in rng.integers(1, 60, 200):
+        doc, tag, at = rng.integers(-2, 3, n), rng.integers(0, 2, n).astype(np.uint32), rng.integers(0, 3, n).astype(np.uint32)
+        # Hashes that differ in their lowest bit only.
+        key = rng.choice(np.array([1, 2, 1 << 63, (1 << 63) + 1, (1 << 64) - 1], np.uint64), n)
+        group = rng.integers(0, 2, n).astype(np.int32)
+        same = {}
+        for i in range(n):
+            same.setdefault((key[i], group[i]), []).append((doc[i], tag[i], at[i], i))
+        same = [s for s in same.values() if len(s) > 1]
+        behind, firsts, alike = substrings.copies(doc, tag, at, key, group)
+        assert sorted(alike) == sorted(p[3] for s in same for p in s)
+        assert sorted(behind) == sorted(p[3] for s in same for p in s if p[:3] != min(s)[:3])
+        assert sorted((doc[i], tag[i], at[i]) for i in firsts) == sorted(min(s)[:3] for s in same)
+
+
+def test_packed_rows_come_back():
+    rng = np.random.default_rng(7)
+    part, doc = np.repeat([3, 5, 9], [4, 1, 7]), np.array([1, 1, 1, 1, 1, 1, 1, -4, -4, 1, 2, 2])
+    tag, at = rng.integers(0, 1 << 32, (2, 12), dtype=np.uint32)
+    tag[:4], key = 8, rng.integers(0, 1 << 64, 12, dtype=np.uint64)
+    packed = list(substrings._packed(part, doc, tag, at, key))
+    assert [p for p, _ in packed] == [3, 5, 9]
+    for found, want in zip(substrings._unpacked([data for _, data in packed], 4), (doc, tag, at, key)):
+        assert found.tolist() == want.tolist()
+    assert substrings._unpacked([packed[1][1]], 4)[3].tolist() == [key[4]]
+
+
 def test_frequent_prefixes_are_extended():
     keys = np.concatenate([np.full(900, 5 << 16) + np.arange(900), np.arange(100) << 16]).astype(np.uint32)
     starts = substrings.group_starts(keys, 10)
