@@ -26,7 +26,8 @@ from lendscope.session import ensure_checkpoint_dir
 
 SAMPLE = 100_000  # rows that the bin edges are taken from; all rows where there are no more
 KEEP = 25  # rounds between two checkpoints of the margins
-BLOCK = 50_000  # rows of one block; a table of no more is fitted by one task, with the same result
+BLOCK = 1_000_000  # rows of one block; a table of no more is fitted by one task, with the same result,
+ALONE = 12_000_000  # if it has no more cells: up to there one task counts a level sooner than a job for it takes
 _ONE = float(1 << 24)  # one, in the unit of gradient sums
 _FEW = 64  # partitions whose sums the driver folds by itself
 CELLS = 256  # cells of features that are counted together, at most
@@ -224,9 +225,10 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
     starts = np.concatenate([[0], np.cumsum([len(e) + 1 for e in edges])])
     layout = Layout(starts)
     packed = _packed(rows, edges, layout)
-    if n <= BLOCK:
+    if n <= BLOCK and n * len(layout.groups) <= ALONE:
         # One block needs no exchange of sums: its task grows the same trees by itself.
-        made = _blocks(packed, layout, base).coalesce(1).mapPartitions(lambda part: _alone(part, layout, settings)).collect()
+        one = _blocks(packed.repartition(1), layout, base)
+        made = one.mapPartitions(lambda part: _alone(part, layout, settings)).collect()
         return _on_values(made, edges, starts, base)
     # Every level of every tree is a job: as many tasks as the cores and the rows ask for, however the table lies.
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(n / PART))
@@ -236,14 +238,31 @@ def fit(rows: DataFrame, settings: Settings = Settings()) -> Trees:
 def _alone(part: Iterator[Block], layout: Layout, settings: Settings) -> Iterator[_Tree]:
     """The trees of a few rows that lie in one partition."""
     parts = list(part)
-    block = Block(*(np.concatenate([getattr(b, c) for b in parts]) for c in ("bins", "label", "key", "margin")))
+    bins = np.concatenate([b.bins for b in parts]).T.copy()  # the rows' cells in one group lie together
+    label, key, margin = (np.concatenate([getattr(b, c) for b in parts]) for c in ("label", "key", "margin"))
+    del parts
     for round_ in range(settings.rounds):
-
-        def sums(tree: _Tree, level: int, skipped: np.ndarray, round_=round_) -> np.ndarray:
-            return histograms(block, [], tree, level, layout.cells, round_, settings, skipped)
+        weights = _weights(label, margin, _drawn(key, round_, settings.rows))
+        node = np.zeros(len(label), np.int64)  # in the level that was reached last
+
+        def down(tree: _Tree, level: int) -> None:
+            """Move the rows to the children of a level's nodes."""
+            inner = node + ((1 << level) - 1)
+            right = np.zeros(len(node), bool)
+            for g in np.unique(tree.group[(1 << level) - 1 : (2 << level) - 1]):
+                own = np.flatnonzero(tree.group[inner] == g) if level else slice(None)
+                right[own] = tree.right[inner[own], bins[g][own]]
+            node[:] = 2 * node + right
+
+        def sums(tree: _Tree, level: int, skipped: np.ndarray) -> np.ndarray:
+            if level:
+                down(tree, level - 1)
+            rows = np.flatnonzero(~skipped[node]) if skipped.any() else slice(None)
+            return _counted(bins, rows, node[rows], [w[rows] for w in weights], 1 << level, layout.cells)
 
         tree = _grow(sums, layout, round_, settings)
-        block = _moved(block, [tree], settings.depth)
+        down(tree, settings.depth - 1)
+        margin = margin + tree.value[node]
         yield tree
 
 
@@ -363,14 +382,30 @@ def histograms(
     node = tree.nodes(block.bins, level) - (width - 1)
     if skipped is not None and skipped.any():
         drawn &= ~skipped[node]
-    own, p = block.bins[drawn], 1 / (1 + np.exp(-block.margin[drawn]))
-    at = ((node[drawn] * cells)[:, None] + own).ravel()
-    sums = []
-    for weight in (p - block.label[drawn], p * (1 - p)):
-        whole = np.repeat(np.rint(weight * _ONE), own.shape[1])
-        # Whole numbers below 2^53 add up exactly in doubles.
-        sums.append(np.bincount(at, whole, width * cells).astype(np.int64).reshape(width, cells))
-    return np.stack(sums, axis=2)
+    rows = np.flatnonzero(drawn)
+    weights = _weights(block.label[rows], block.margin[rows])
+    return _counted(block.bins.T, rows, node[rows], weights, width, cells)
+
+
+def _weights(label: np.ndarray, margin: np.ndarray, drawn: np.ndarray | None = None) -> list[np.ndarray]:
+    """Gradients and hessians in whole units; 0 for rows that are not drawn."""
+    p = 1 / (1 + np.exp(-margin))
+    whole = [np.rint(w * _ONE) for w in (p - label, p * (1 - p))]
+    return whole if drawn is None else [w * drawn for w in whole]
+
+
+def _counted(bins: np.ndarray, rows, node: np.ndarray, weights: list[np.ndarray], width: int, cells: int) -> np.ndarray:
+    """Sums (nodes, cells, 2) of the rows' weights by node and cell; ``bins`` holds one group of features after the other."""
+    found = np.zeros((width, cells, 2), np.int64)
+    for own in bins if len(node) else ():
+        own = own[rows]
+        first, end = int(own.min()), int(own.max()) + 1
+        at = node * (end - first) + own - first
+        for side, weight in enumerate(weights):
+            # Whole numbers below 2^53 add up exactly in doubles.
+            sums = np.bincount(at, weight, width * (end - first))
+            found[:, first:end, side] += sums.astype(np.int64).reshape(width, -1)
+    return found
 
 
 def _grow(

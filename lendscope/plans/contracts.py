@@ -17,6 +17,7 @@ from lendscope.operators.checks import (
     not_null_failures,
     unique_failures,
 )
+from lendscope.session import side_by_side
 
 # The tests declared per model.
 NOT_NULL_COLUMNS = {
@@ -103,14 +104,12 @@ def relationship_tests(models: Mapping[str, DataFrame]) -> DataFrame:
 
 def failing_column_tests(models: Mapping[str, DataFrame], most: int = 20) -> list[str]:
     """The tests that do not pass on the given models; at most ``most`` values of each kind are named."""
-    found = []
-    for kind, report in (("not_null", not_null_tests(models)), ("unique", unique_tests(models))):
-        rows = report.filter("failures > 0").collect()  # one row per declared column
-        found += [f"{kind} {r.model}.{r.column_name}: {r.failures}" for r in rows]
-    for r in accepted_values_tests(models).limit(most).collect():
-        found.append(f"accepted_values {r.model}.{r.column_name}: {r.value} in {r.n_records} rows")
-    for r in relationship_tests(models).limit(most).collect():
-        found.append(f"relationships {r.model}.{r.column_name}: {r.orphan} in {r.n_rows} rows")
+    reports = {
+        "not_null": not_null_tests(models).filter("failures > 0"),  # one row per declared column
+        "unique": unique_tests(models).filter("failures > 0"),
+        "accepted_values": accepted_values_tests(models).limit(most),
+        "relationships": relationship_tests(models).limit(most),
+    }
     single: dict[str, DataFrame] = {}
     if "stg_payments" in models:
         single["non_negative_amount"] = negative_amounts(models["stg_payments"])
@@ -118,7 +117,15 @@ def failing_column_tests(models: Mapping[str, DataFrame], most: int = 20) -> lis
         single["pii_leaks"] = pii_leaks(models["gov_borrower_analyst"], models["gov_payments_analyst"])
     if "gov_borrower_regional" in models:
         single["row_access_leaks"] = row_access_leaks(models["gov_borrower_regional"])
-    found += [f"{name}: rows found" for name, rows in single.items() if not rows.isEmpty()]
+    asked = [df.collect for df in reports.values()] + [df.isEmpty for df in single.values()]
+    answers = side_by_side(next(iter(models.values())).sparkSession, asked)
+    rows = dict(zip(reports, answers))
+    found = [f"{kind} {r.model}.{r.column_name}: {r.failures}" for kind in ("not_null", "unique") for r in rows[kind]]
+    for r in rows["accepted_values"]:
+        found.append(f"accepted_values {r.model}.{r.column_name}: {r.value} in {r.n_records} rows")
+    for r in rows["relationships"]:
+        found.append(f"relationships {r.model}.{r.column_name}: {r.orphan} in {r.n_rows} rows")
+    found += [f"{name}: rows found" for name, empty in zip(single, answers[len(reports) :]) if not empty]
     return sorted(found)
 
 

@@ -30,6 +30,7 @@ from lendscope.plans.quality import (
     run_id_of,
 )
 from lendscope.schemas import GOLD_CONTRACTS, gold_contract, require_schema
+from lendscope.session import side_by_side
 from lendscope.sources import keyed
 from lendscope.sources.bronze import replace_partition
 
@@ -56,17 +57,17 @@ def build_gold(clients: DataFrame) -> dict[str, DataFrame]:
 def write_versions(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, str]:
     """Write each table to a new folder; nobody reads it yet.
 
-    A table that breaks its column contract is not written at all. The folder's name is new each time, so a repeated
+    A table that breaks its column contract is not written at all. Tables are written side by side. The folder's name is new each time, so a repeated
     run never touches what is published.
     """
     version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
         if name in GOLD_CONTRACTS:
             require_schema(df, gold_contract(name))
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{root}/marts/{name}/version={version}"
-        df.write.parquet(paths[name])
+    paths = {name: f"{root}/marts/{name}/version={version}" for name in tables}
+    writes = [lambda df=df, path=paths[name]: df.write.parquet(path) for name, df in tables.items()]
+    if tables:
+        side_by_side(next(iter(tables.values())).sparkSession, writes)
     return paths
 
 

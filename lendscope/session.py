@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+T = TypeVar("T")
+
 # Everything the jobs rely on. Partition counts are left to AQE on a cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -51,6 +57,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def side_by_side(spark: SparkSession, calls: Sequence[Callable[[], T]], most: int = 4) -> list[T]:
+    """The answers of calls that do not need each other and mostly wait for Spark, ``most`` of them at a time.
+
+    An error is that of the first call that failed, in their order; no call is begun after it is known.
+    """
+    pool = ThreadPoolExecutor(most)
+    try:
+        answers = [pool.submit(inheritable_thread_target(spark)(call)) for call in calls]
+        return [a.result() for a in answers]
+    finally:
+        pool.shutdown(cancel_futures=True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let long iterative fits cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

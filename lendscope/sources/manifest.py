@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 from urllib.parse import quote
 
@@ -141,12 +141,13 @@ def _footers():
     return read
 
 
-def parquet_columns(spark: SparkSession, path: str) -> DataFrame:
+def parquet_columns(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(path, column_name, actual_type, n_rows): one row per Parquet file and column, from the files' footers alone.
 
     Footers are read where the task runs; no data page is. A file without columns has one row without a name.
     """
-    store_uri(path)
+    for folder in [path] if isinstance(path, str) else path:
+        store_uri(folder)
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     files = listed.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
     name = F.element_at(F.split("path", "/"), -1)
@@ -154,7 +155,7 @@ def parquet_columns(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInPandas(_footers(), FOOTERS)
 
 
-def drifted_files(spark: SparkSession, path: str, declared: T.StructType) -> DataFrame:
+def drifted_files(spark: SparkSession, path: str | Sequence[str], declared: T.StructType) -> DataFrame:
     """(path, column_name, declared_type, actual_type, status) of each file's columns that are not as declared.
 
     ``status`` is ``missing``, ``unexpected`` or ``type_changed``, so one odd part file among many is named before

@@ -1,6 +1,7 @@
 """Boosted trees on Spark against a plain fit, one node and one candidate at a time."""
 
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lendscope.operators import boosting
 from lendscope.operators.boosting import Settings
+from lendscope.plans import model
 
 
 def table(n=240, seed=5):
@@ -176,3 +178,44 @@ def test_sums_by_cell_are_sums_by_bin():
     parent = boosting.histograms(block, [], tree, 0, layout.cells, 0, settings)
     one = boosting.histograms(block, [], tree, 1, layout.cells, 0, settings, np.array([False, True]))
     assert (one[1] == 0).all() and (layout.by_bin(parent - one[:1])[0] == found[1]).all()
+
+
+def test_one_task_fits_up_to_its_cells(spark, monkeypatch):
+    """60,000 rows of two features need no job for each level; a table of more cells has one, with the same model."""
+    rows = spark.range(60_000).selectExpr(
+        "id as key", "cast(id * 7919 % 100 < id % 50 as double) as label", "array(id % 50, id * 7919 % 37) as features"
+    )
+    settings, seen = Settings(rounds=3, depth=3, rate=0.3), []
+    together = boosting._together
+    monkeypatch.setattr(boosting, "_together", lambda *a: seen.append(1) or together(*a))
+    alone = boosting.fit(rows, settings)
+    assert not seen
+    monkeypatch.setattr(boosting, "ALONE", 119_999)
+    spread = boosting.fit(rows, settings)
+    assert seen
+    for c in ("feature", "threshold", "value"):
+        assert (getattr(alone, c) == getattr(spread, c)).all()
+
+
+def test_both_models_are_fitted_side_by_side(spark, monkeypatch):
+    rows = spark.range(200).selectExpr(
+        "id as client_id", "cast(id % 3 = 0 as int) as is_default",
+        *[f"cast(id * 7919 % {i + 5} as double) as {c}" for i, c in enumerate(model.NUMERIC_FEATURES)],
+        *[f"cast(id % 3 as string) as {c}" for c in model.CATEGORICAL_FEATURES],
+    )
+    apart = {name: model.fit_models(rows, 2, only=(name,))[name] for name, _ in model.MODELS}
+    both = threading.Barrier(2, timeout=60)
+
+    def meeting(fit):
+        def met(*a):
+            both.wait()  # broken unless the other model is fitted at the same time
+            return fit(*a)
+
+        return met
+
+    monkeypatch.setattr(model, "logistic_regression", meeting(model.logistic_regression))
+    monkeypatch.setattr(model.boosting, "fit", meeting(model.boosting.fit))
+    found = model.fit_models(rows, 2)
+    assert list(found) == ["logreg", "xgboost"]
+    assert (found["xgboost"].trees.value == apart["xgboost"].trees.value).all()
+    assert found["logreg"].stages[-1].intercept == pytest.approx(apart["logreg"].stages[-1].intercept)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lendscope.operators.dedupe import dedupe_latest
 from lendscope.plans import daily
 from lendscope.schemas import SchemaDrift
+from lendscope.session import side_by_side
 from lendscope.sources import bronze, keyed, ledger
 from test_sources import feed_rows
 
@@ -170,3 +171,38 @@ def test_days_are_loaded_side_by_side_and_entered_in_order(spark, tmp_path, monk
     assert {r.load_date for r in ledger.read_ledger(spark, root).collect()} == {"2024-01-01", "2024-01-02"}
     monkeypatch.setattr(bronze, "load_day", load_day)
     assert ledger.load_pending(spark, "transactions", landing, root, "run2", at) == {"2024-01-03": 1}
+
+
+def test_footers_of_all_days_are_read_by_one_job(spark, tmp_path, monkeypatch):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    for d in range(1, 6):
+        land(spark, landing, date(2024, 3, d), [f"{d}.{i}" for i in range(d)])
+    looked, entered = [], []
+    require_files, replace = ledger.require_files, ledger.replace_partition
+    monkeypatch.setattr(ledger, "require_files", lambda *a: looked.append(a) or require_files(*a))
+    monkeypatch.setattr(ledger, "replace_partition", lambda df, *a, **k: entered.append(df.count()) or replace(df, *a, **k))
+    assert load(spark, landing, root, 1)
+    assert not looked
+    assert sum(entered) == 5
+    found = ledger.read_ledger(spark, root).groupBy("load_date").agg({"row_count": "sum"}).collect()
+    assert {r[0]: r[1] for r in found} == {f"2024-03-0{d}": d for d in range(1, 6)}
+    # A file without a footer is an error of its own day: the days before it are loaded and entered.
+    for d in (6, 7, 8):
+        land(spark, landing, date(2024, 3, d), [f"{d}"])
+    (tmp_path / "landing/transactions/load_date=2024-03-07/odd.parquet").write_bytes(b"no footer")
+    with pytest.raises(Exception):
+        load(spark, landing, root, 2)
+    assert {r.load_date for r in ledger.read_ledger(spark, root).collect()} == {f"2024-03-0{d}" for d in range(1, 7)}
+
+
+def test_side_by_side(spark):
+    both = threading.Barrier(2, timeout=60)
+
+    def meeting(i):
+        both.wait()  # broken unless another call runs at the same time
+        return i
+
+    assert side_by_side(spark, [lambda i=i: meeting(i) for i in range(4)], most=2) == [0, 1, 2, 3]
+    with pytest.raises(ZeroDivisionError):
+        side_by_side(spark, [lambda: 1, lambda: 1 // 0, lambda: spark.range(3).count()])
+    assert side_by_side(spark, []) == []
